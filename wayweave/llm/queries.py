@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayweave.llm.exact_dedup import exact_dedup
 from wayweave.llm.license_scan import scan_licenses
+from wayweave.llm.ngram_join import jaccard_components
 from wayweave.llm.sharding import assign_shards
 from wayweave.llm.url_filter import judge_urls
 
@@ -29,6 +30,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_exact_dedup": op3_exact_dedup,
+        "op5_ngram_join": op5_ngram_join,
         "op6_license_scan": op6_license_scan,
         "op7_sharding": op7_sharding,
         "op9_url_filter": op9_url_filter,
