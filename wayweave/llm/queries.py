@@ -10,6 +10,7 @@ from wayweave.llm.exact_dedup import exact_dedup
 from wayweave.llm.license_scan import scan_licenses
 from wayweave.llm.ngram_join import jaccard_components
 from wayweave.llm.sharding import assign_shards
+from wayweave.llm.suffix_dedup import remove_repeats
 from wayweave.llm.url_filter import judge_urls
 
 #: Verdict, host and path of the url rules.
@@ -42,6 +43,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -52,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_ngram_join": op5_ngram_join,
         "op6_license_scan": op6_license_scan,
         "op7_sharding": op7_sharding,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op9_url_filter": op9_url_filter,
     }
 
