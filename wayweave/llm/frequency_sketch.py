@@ -57,20 +57,21 @@ def unpack(blob: bytes) -> np.ndarray:
 
 
 def _sum(key: tuple, t: pa.Table) -> pa.Table:
-    total = np.zeros(SLICE, np.int64)
+    total = np.int64(0)
     for blob in t["counts"]:
-        total += unpack(blob.as_py())
+        total = total + unpack(blob.as_py())
     return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([0], pa.int64()), "counts": pa.array([pack(total)], pa.binary())})
 
 
-def total(parts: DataFrame, groups: int = 64) -> np.ndarray:
-    """The 2**20 sums of all tasks' counters; parts has slice, part and counts."""
+def total(parts: DataFrame, groups: int = 64, size: int = 1 << BITS) -> np.ndarray:
+    """The sums of all tasks' counters, ``size`` of them; parts has slice, part and counts."""
     dealt = parts.select("slice", F.pmod("part", F.lit(groups)).alias("part"), "counts")
     some = dealt.groupBy("slice", "part").applyInArrow(_sum, SCHEMA)
     rows = some.groupBy("slice").applyInArrow(_sum, SCHEMA).collect()  # SLICES rows, 8 MB at most
-    out = np.zeros(1 << BITS, np.int64)
+    out = np.zeros(size, np.int64)
     for r in rows:
-        out[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = unpack(bytes(r["counts"]))
+        counts = unpack(bytes(r["counts"]))
+        out[r["slice"] * len(counts) : (r["slice"] + 1) * len(counts)] = counts
     return out
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wayweave.llm import language_id, toxicity
 from wayweave.llm.exact_dedup import exact_dedup
 from wayweave.llm.license_scan import scan_licenses
 from wayweave.llm.ngram_join import jaccard_components
@@ -27,6 +29,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    kept = language_id.held_out(F.col("doc_id"))
+    model = language_id.fit(docs.filter(~kept))
+    found = docs.select("doc_id", kept.alias("held_out"), language_id.identify(spark, F.col("text"), model).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score", "found.rejected")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    kept = language_id.held_out(F.col("doc_id"))
+    model = toxicity.fit(docs, labels.filter(~kept))
+    scored = docs.select("doc_id", kept.alias("held_out"), toxicity.toxicity(spark, F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -53,6 +71,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": op1_language_id,
+        "op2_toxicity": op2_toxicity,
         "op3_exact_dedup": op3_exact_dedup,
         "op5_ngram_join": op5_ngram_join,
         "op6_license_scan": op6_license_scan,
