@@ -78,8 +78,13 @@ def pieces(offs: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def _words(d: np.ndarray, bounds: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fingerprint, start and end of each word of lowered bytes; texts begin at ``bounds``."""
+def _words(
+    d: np.ndarray, bounds: np.ndarray, is_word: np.ndarray, head: int = 0
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprint, start and end of each word of lowered bytes; texts begin at ``bounds``.
+
+    With ``head`` the fingerprint is that of the word's first bytes, and differs from a word's.
+    """
     w = is_word[d]
     cut = bounds[(bounds > 0) & (bounds < len(d))]
     first = w.copy()
@@ -89,15 +94,17 @@ def _words(d: np.ndarray, bounds: np.ndarray, is_word: np.ndarray) -> tuple[np.n
     last[:-1] &= ~w[1:]
     last[cut - 1] = w[cut - 1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    if head:
+        end = np.minimum(end, start + head)
     up, down = powers(len(d) + 1)
     sums = np.zeros(len(d) + 1, U64)
     with np.errstate(over="ignore"):
         np.cumsum((d.astype(U64) + U64(1)) * up[: len(d)], out=sums[1:])
         h = (sums[end] - sums[start]) * down[start]
-        return mix(h + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93)), start, end
+        return mix(h + (end - start + (head << 32)).astype(U64) * U64(0xD6E8FEB86659FD93)), start, end
 
 
-def word_pieces(column: pa.Array, is_word: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def word_pieces(column: pa.Array, is_word: np.ndarray, head: int = 0) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Yields (first text, past text, word fingerprints, word offsets by text).
 
     A text longer than a piece is cut between words inside and comes back as one range of its own.
@@ -110,7 +117,7 @@ def word_pieces(column: pa.Array, is_word: np.ndarray) -> Iterator[tuple[int, in
                 yield i, j, np.zeros(0, U64), np.zeros(j - i + 1, np.int64)
                 continue
             rel = offs[i : j + 1] - offs[i]
-            h, start, _ = _words(d, rel[1:-1], is_word)
+            h, start, _ = _words(d, rel[1:-1], is_word, head)
             yield i, j, h, np.searchsorted(start, rel)
             continue
         parts, a, stop = [], int(offs[i]), int(offs[j])
@@ -119,7 +126,7 @@ def word_pieces(column: pa.Array, is_word: np.ndarray) -> Iterator[tuple[int, in
             while b < stop and is_word[LOWER[data[b]]] and is_word[LOWER[data[b - 1]]]:
                 after = np.flatnonzero(~is_word[LOWER[data[b : b + PIECE]]])
                 b = b + int(after[0]) if len(after) else min(b + PIECE, stop)
-            parts.append(_words(LOWER[data[a:b]], np.zeros(0, np.int64), is_word)[0])
+            parts.append(_words(LOWER[data[a:b]], np.zeros(0, np.int64), is_word, head)[0])
             a = b
         h = np.concatenate(parts)
         yield i, j, h, np.array([0, len(h)])

@@ -1,6 +1,6 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A text is the set of its words, hashed to 2**18 buckets. Each bucket the machine keeps has a
+A text is the set of its words and of their first five bytes (stems), hashed to 2**18 buckets. Each bucket the machine keeps has a
 weight and a short vector; the inner product of two vectors is the weight of the pair, so a word
 that is harmless alone and an insult beside another is learned as such.
 """
@@ -20,12 +20,15 @@ from wayweave.plans.workspace import Workspace
 
 BITS = 18
 FACTORS = 4
+STEM = 5
 
 
 def _terms(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(texts, text number, bucket) of the words of each piece."""
-    for i, j, h, at in word_pieces(column, ALNUM):
-        yield j - i, np.repeat(np.arange(j - i), np.diff(at)), (h >> U64(64 - BITS)).astype(np.int64)
+    """(texts, text number, bucket) of the words and stems of each piece."""
+    for (i, j, h, at), (_, _, stem, _) in zip(word_pieces(column, ALNUM), word_pieces(column, ALNUM, STEM), strict=True):
+        text = np.repeat(np.arange(j - i), np.diff(at))
+        both = np.stack([h, stem], 1).ravel()
+        yield j - i, np.repeat(text, 2), (both >> U64(64 - BITS)).astype(np.int64)
 
 
 @dataclass
