@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayweave.llm import language_id, toxicity
+from wayweave.llm.decontamination import find_items
 from wayweave.llm.exact_dedup import exact_dedup
 from wayweave.llm.license_scan import scan_licenses
 from wayweave.llm.ngram_join import jaccard_components
@@ -49,6 +50,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -74,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_id": op1_language_id,
         "op2_toxicity": op2_toxicity,
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_decontamination": op4_decontamination,
         "op5_ngram_join": op5_ngram_join,
         "op6_license_scan": op6_license_scan,
         "op7_sharding": op7_sharding,
