@@ -38,7 +38,7 @@ _tables: dict[str, np.ndarray] = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and its inverse, modulo 2**64, for i < n at least."""
     if not _tables:
-        _tables.update(up=_powers(BASE, PIECE * 2), down=_powers(_INVERSE, PIECE * 2))
+        _tables.update(up=_powers(BASE, PIECE * 4), down=_powers(_INVERSE, PIECE * 4))
     if n > len(_tables["up"]):  # one word longer than two pieces
         return _powers(BASE, n), _powers(_INVERSE, n)
     return _tables["up"], _tables["down"]

@@ -277,14 +277,19 @@ def drop_contaminated(
     """The documents that hold no benchmark item, with all their columns; see find_items."""
     spark = docs.sparkSession
     for found in blocks(benchmark, item_col, item_text, rate, block):
-        shared = spark.sparkContext.broadcast(found)
-
-        @F.arrow_udf("boolean")
-        def clean(column: pa.Array, shared=shared) -> pa.Array:
-            out = np.ones(len(column), bool)
-            for row, *_ in matches(column, shared.value):
-                out[row] = False
-            return pa.array(out)
-
+        clean = _clean(spark.sparkContext.broadcast(found))
         docs = docs.filter(clean(F.coalesce(F.col(text_col), F.lit(""))))
     return docs
+
+
+def _clean(shared):
+    """Whether a text holds none of a broadcast block's items."""
+
+    @F.arrow_udf("boolean")
+    def clean(column: pa.Array) -> pa.Array:
+        out = np.ones(len(column), bool)
+        for row, *_ in matches(column, shared.value):
+            out[row] = False
+        return pa.array(out)
+
+    return clean

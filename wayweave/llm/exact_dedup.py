@@ -74,3 +74,18 @@ def exact_dedup(
             "text_sha256",
         )
     )
+
+
+#: Keys of dropped rows to broadcast at most, 48 bytes each; beyond them they are joined by shuffle.
+BROADCAST_KEYS = 500_000
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that exact_dedup keeps, with all their columns; rows that repeat id and text all stay."""
+    ws = Workspace(docs.sparkSession, "drop-copies")
+    found = exact_dedup(docs, id_col, text_col).filter("NOT kept")
+    gone = ws.save(found.select(F.col("doc_id").alias("gone_id"), "text_sha256").distinct(), "gone")
+    few = gone.count() <= BROADCAST_KEYS
+    digest = F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).cast("binary"), 256)
+    same = F.col(id_col).eqNullSafe(F.col("gone_id")) & (digest == F.col("text_sha256"))
+    return docs.join(F.broadcast(gone) if few else gone, same, "left_anti")

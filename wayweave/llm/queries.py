@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from wayweave.llm.decontamination import find_items
 from wayweave.llm.exact_dedup import exact_dedup
 from wayweave.llm.license_scan import scan_licenses
 from wayweave.llm.ngram_join import jaccard_components
+from wayweave.llm.sentence_pieces import encode_documents, load
 from wayweave.llm.sharding import assign_shards
 from wayweave.llm.suffix_dedup import remove_repeats
 from wayweave.llm.url_filter import judge_urls
@@ -25,6 +27,9 @@ URL_RULES = [
     ("block", "com", "/de/"),
 ]
 
+#: Vocabulary of op10; a parameter of the operator.
+PIECES = os.environ.get("WAYWEAVE_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -74,6 +79,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), load(PIECES))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -85,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_sharding": op7_sharding,
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_url_filter": op9_url_filter,
+        "op10_sentence_pieces": op10_sentence_pieces,
     }
 
 
