@@ -26,6 +26,13 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Hand rows to Python in Arrow batches of at most ``rows``, as whole texts may be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 class Workspace:
     """Saves tables under one folder; ``drop`` removes those that are no longer read."""
 
