@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 
 from wayweave.llm import frequency_sketch as sketch
 from wayweave.llm.bytetext import BASE, PIECE, U64, as_long, buffers, mix, pieces
-from wayweave.plans.workspace import Workspace
+from wayweave.plans.workspace import Workspace, small_batches
 
 K = 24
 HOT_SALTS = 32
-#: Rows to broadcast at most, 50 bytes each; beyond them the rows and the texts are joined by shuffle.
+#: Spans to broadcast at most, 8 bytes each; beyond them the spans and the texts are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 NO_ID = -(1 << 63)
 
@@ -451,8 +451,6 @@ def repeated_spans(docs: DataFrame, ws: Workspace, length: int = 100, many: int
     per_doc = unlike.groupBy("doc_id").agg(
         F.collect_list(F.struct("gram", "start", (F.col("shape").cast("int") / 256).cast("int").alias("off"), extent.alias("extent"), "rows")).alias("wanted")
     )
-    if unlike.count() <= BROADCAST_ROWS:
-        per_doc = F.broadcast(per_doc)
     strings = (
         docs.join(per_doc, "doc_id")
         .select("doc_id", "text", F.explode("wanted").alias("r"))
@@ -496,6 +494,7 @@ def remove_repeats(
     if not 2 * K <= length <= 256:
         raise ValueError(f"length must be from {2 * K} to 256")
     ws = Workspace(docs.sparkSession, "suffix-dedup")
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"),
         F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"),
