@@ -2,7 +2,7 @@
 
 Texts are handled as one byte array with offsets. Words are maximal runs of word bytes; their
 64-bit fingerprints come from prefix sums of a polynomial over the bytes, so no Python string
-is made. Work goes in pieces of about a megabyte, cut between texts, or between words of a
+is made. Work goes in pieces of a quarter of a megabyte, cut between texts, or between words of a
 longer text, so memory follows the piece and not the text.
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15)
 U64 = np.uint64
 
@@ -39,8 +39,10 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and its inverse, modulo 2**64, for i < n at least."""
     if not _tables:
         _tables.update(up=_powers(BASE, PIECE * 4), down=_powers(_INVERSE, PIECE * 4))
-    if n > len(_tables["up"]):  # one word longer than two pieces
-        return _powers(BASE, n), _powers(_INVERSE, n)
+    if n > len(_tables["up"]):
+        if n > PIECE * 16:  # one very long word
+            return _powers(BASE, n), _powers(_INVERSE, n)
+        _tables.update(up=_powers(BASE, n), down=_powers(_INVERSE, n))
     return _tables["up"], _tables["down"]
 
 

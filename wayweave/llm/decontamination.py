@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayweave.llm.bytetext import ALNUM, BASE, LOWER, PIECE, U64, buffers, mix, pieces
+from wayweave.plans.workspace import small_batches
 
 Q = 12
 PLAIN = np.where(ALNUM[LOWER], LOWER, 0x20).astype(np.uint8)
@@ -251,6 +252,7 @@ def find_items(
     each. Empty tables give no rows; other columns are ignored.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     shape = "doc_id long, item_id long, start long, stop long, edits int"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     out = spark.createDataFrame([], shape)
@@ -276,6 +278,7 @@ def drop_contaminated(
 ) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns; see find_items."""
     spark = docs.sparkSession
+    small_batches(spark)
     for found in blocks(benchmark, item_col, item_text, rate, block):
         clean = _clean(spark.sparkContext.broadcast(found))
         docs = docs.filter(clean(F.coalesce(F.col(text_col), F.lit(""))))

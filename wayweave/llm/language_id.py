@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 
 from wayweave.llm import frequency_sketch as sketch
 from wayweave.llm.bytetext import PIECE, buffers, pieces
-from wayweave.plans.workspace import Workspace
+from wayweave.plans.workspace import Workspace, small_batches
 
 DIMS = 1 << 12
+SALTS = 60
 LETTERS = np.full(256, 0x20, np.uint8)
 LETTERS[97:123] = np.arange(97, 123)
 LETTERS[65:91] = np.arange(97, 123)
@@ -40,7 +41,8 @@ def _features(d: np.ndarray) -> Iterator[np.ndarray]:
 def counts(column: pa.Array) -> Iterator[np.ndarray]:
     """n-gram counts, a (texts, DIMS) array for each piece of the column, in order."""
     data, offs = buffers(column)
-    for i, j in pieces(offs, PIECE // 4):
+    parts = ((k, min(k + 256, j)) for i, j in pieces(offs) for k in range(i, j, 256))
+    for i, j in parts:
         a, b = int(offs[i]), int(offs[j])
         out = np.zeros((j - i) * DIMS, np.int64)
         step = PIECE
@@ -141,14 +143,17 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", per_la
     ``per_lang`` rows of each language, taken by hash of the text, and on the ``langs``
     commonest languages. Rows without language are left out; null texts are empty.
     """
+    small_batches(train.sparkSession)
     rows = train.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(lang_col).alias("lang")).filter("lang IS NOT NULL")
     df = sketch.total(rows.select("text").mapInArrow(_frequencies, sketch.SCHEMA), size=DIMS + 1)
     idf = np.log((1 + df[DIMS]) / (1 + df[:DIMS])).astype(np.float32) + np.float32(1)
     common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(langs).select("lang")
-    # sample by a hash first, so that texts are not sorted: rows whose hash is among the least of the language
+    # sample by hashes first, so that texts are not sorted, and from SALTS parts of a language,
+    # so that no task orders a whole language
     mark = rows.select("lang", F.xxhash64("text").alias("mark")).distinct()
-    first = Window.partitionBy("lang").orderBy("mark")
-    chosen = mark.join(F.broadcast(common), "lang").withColumn("k", F.row_number().over(first)).filter(F.col("k") <= per_lang).drop("k")
+    first = Window.partitionBy("lang", F.pmod("mark", F.lit(SALTS))).orderBy("mark")
+    chosen = mark.join(F.broadcast(common), "lang").withColumn("k", F.row_number().over(first))
+    chosen = chosen.filter(F.col("k") <= max(1, per_lang // SALTS)).drop("k")
     sample = (
         rows.withColumn("mark", F.xxhash64("text"))
         .join(F.broadcast(chosen), ["lang", "mark"])  # langs * per_lang rows at most
@@ -171,6 +176,7 @@ def identify(spark, text: Column, model: Centroids) -> Column:
     without a model; score is the cosine, from 0 to 1; rejected tells that the text lies beyond
     the centroid's reach (always with `und`).
     """
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang:string,score:double,rejected:boolean>")

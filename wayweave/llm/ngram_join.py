@@ -8,7 +8,8 @@ fingerprint (the shuffle partitions). Only products that can matter are formed:
 * a row takes part with its ``n - ceil(t n) + 1`` rarest columns, since two rows with similarity
   t or more share one of those; rare is judged by a sketch of all columns (any common order is
   lossless);
-* pairs whose sizes, or whose columns' positions, put the overlap below the bound are discarded.
+* overlap counts accumulate over the blocks, and pairs whose sizes, columns' positions or count
+  put the overlap below the bound are discarded.
 
 The product runs in two rounds. First each column multiplies its neighbours in size order, and
 the first of them, which is linear in the column's length and joins large groups of near copies.
@@ -23,13 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayweave.llm import frequency_sketch as sketch
 from wayweave.llm.bytetext import NOT_SPACE, U64, as_long, mix, shingles, word_pieces
 from wayweave.operators.components import connected_components
-from wayweave.plans.workspace import Workspace
+from wayweave.plans.workspace import Workspace, small_batches
 
 #: Ids of documents to verify are broadcast up to this number, 8 bytes each; beyond it they are joined.
 BROADCAST_IDS = 2_000_000
@@ -108,35 +109,26 @@ def _prefixes(size: int, percent: int, ranks):
     return run
 
 
-def _rows_of(size: int):
-    """Rows (cls, prints): whole sets as sorted fingerprints."""
+def _overlaps(size: int):
+    """Rows (a, b, overlap, na, nb) of pairs with both texts; overlaps are over whole sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s.tobytes() for s in _sets(batch.column("text"), size)]
-            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(sets, pa.binary())], ["cls", "prints"])
+            out, na, nb = [], [], []
+            for p, q in zip(_sets(batch.column("text_a"), size), _sets(batch.column("text_b"), size), strict=True):
+                both = np.concatenate([p, q])
+                both.sort(kind="stable")
+                out.append(int((both[1:] == both[:-1]).sum()))
+                na.append(len(p))
+                nb.append(len(q))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(out, pa.int64()), pa.array(na, pa.int64()), pa.array(nb, pa.int64())],
+                ["a", "b", "overlap", "na", "nb"],
+            )
 
     return run
 
 
-def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (a, b, overlap, na, nb) of pairs with both sets."""
-    for batch in batches:
-        out, na, nb = [], [], []
-        for x, y in zip(batch.column("prints_a"), batch.column("prints_b"), strict=True):
-            p = np.frombuffer(x.as_buffer(), U64)
-            q = np.frombuffer(y.as_buffer(), U64)
-            both = np.concatenate([p, q])
-            both.sort(kind="stable")
-            out.append(int((both[1:] == both[:-1]).sum()))
-            na.append(len(p))
-            nb.append(len(q))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(out, pa.int64()), pa.array(na, pa.int64()), pa.array(nb, pa.int64())],
-            ["a", "b", "overlap", "na", "nb"],
-        )
-
-
 class JaccardJoin:
     """The join over one table; ``components()`` runs it."""
 
@@ -145,6 +137,7 @@ class JaccardJoin:
         self.percent, self.size = percent, size
         self.spark = docs.sparkSession
         self.ws = Workspace(self.spark, "ngram-join")
+        small_batches(self.spark)
 
     def profile(self) -> DataFrame:
         """(doc_id, n, cls) of every row; also gathers the sketch."""
@@ -176,14 +169,27 @@ class JaccardJoin:
         )
         return self.ws.save(shared, "columns")
 
-    def near(self, x: str, y: str):
+    def near(self, x: str, y: str) -> Column:
         """Sizes that allow the similarity."""
         return F.least(x, y) * 100 >= F.greatest(x, y) * self.percent
 
+    def enough(self, n: str, m: str, shared: Column) -> Column:
+        """Whether ``shared`` prefix columns leave the overlap that the sizes need within reach.
+
+        All common columns up to the smaller of the two last prefix columns are prefix columns
+        of both; beyond it one row has ``n - prefix`` columns left, ``ceil(t n) - 1``.
+        """
+        need = F.ceil((F.col(n) + F.col(m)) * self.percent / (100.0 + self.percent) - 1e-9)
+        left = F.ceil(F.greatest(n, m) * self.percent / 100.0 - 1e-9) - 1
+        return shared + left >= need
+
     def first_round(self, columns: DataFrame) -> DataFrame:
-        """Pairs of neighbours and of each row with its column's first; linear in the columns."""
+        """Pairs of neighbours and of each row with its column's first; linear in the columns.
+
+        Pairs that these columns alone don't support are left to the second round.
+        """
         to_prev = columns.select("cls", F.col("prev").alias("other"), "n", F.col("prev_n").alias("m"))
-        to_first = columns.select("cls", F.col("first").alias("other"), "n", F.col("first_n").alias("m"))
+        to_first = columns.filter("NOT (first <=> prev)").select("cls", F.col("first").alias("other"), "n", F.col("first_n").alias("m"))
         # the salts of a hot column meet through their firsts
         heads = columns.filter(F.shiftrightunsigned("col", 56) > 0).groupBy("col", "salt").agg(
             F.first("first").alias("cls"), F.first("first_n").alias("n")
@@ -191,12 +197,16 @@ class JaccardJoin:
         chain = Window.partitionBy("col").orderBy("n", "cls")
         to_head = heads.select("cls", F.lag("cls").over(chain).alias("other"), "n", F.lag("n").over(chain).alias("m"))
         pairs = to_prev.union(to_first).union(to_head).filter("other IS NOT NULL AND other <> cls")
-        return pairs.filter(self.near("n", "m")).select(
-            F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")
-        ).distinct()
+        return (
+            pairs.filter(self.near("n", "m"))
+            .groupBy(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b"))
+            .agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("m").alias("m"))
+            .filter(self.enough("n", "m", F.col("shared")))
+            .select("a", "b")
+        )
 
     def second_round(self, columns: DataFrame, labels: DataFrame, done: DataFrame) -> DataFrame:
-        """Pairs that a column holds across components, within the size and position bounds."""
+        """Pairs across components: counts of all their shared columns, against the bounds."""
         cells = (
             columns.select("col", "cls", "n", "pos").distinct()
             .join(labels, "cls", "left")
@@ -212,26 +222,28 @@ class JaccardJoin:
             left.join(right, "col")
             .filter("cls < cls2 AND comp <> comp2")
             .filter(self.near("n", "n2") & (F.least("pos", "pos2") + rest >= need))
-            .select(F.col("cls").alias("a"), F.col("cls2").alias("b"))
-            .distinct()
+            .groupBy(F.col("cls").alias("a"), F.col("cls2").alias("b"))
+            .agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("n2").alias("m"))
+            .filter(self.enough("n", "m", F.col("shared")))
+            .select("a", "b")
         )
         return pairs.join(done, ["a", "b"], "left_anti")
 
     def links(self, pairs: DataFrame, members: DataFrame, name: str) -> DataFrame:
-        """The pairs whose exact similarity reaches the bound."""
+        """The pairs whose exact similarity reaches the bound; one text of each class is fetched."""
         ids = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct().join(members, "cls")
         ids = self.ws.save(ids.select("cls", "doc_id"), f"ids-{name}")
         few = ids.count() <= BROADCAST_IDS
         found = self.docs.join(F.broadcast(ids) if few else ids, "doc_id").select("cls", "text")
-        rows = self.ws.save(found.mapInArrow(_rows_of(self.size), "cls long, prints binary").dropDuplicates(["cls"]), f"rows-{name}")
-        with_a = pairs.join(rows.select(F.col("cls").alias("a"), F.col("prints").alias("prints_a")), "a")
-        with_both = with_a.join(rows.select(F.col("cls").alias("b"), F.col("prints").alias("prints_b")), "b")
-        counted = with_both.select("a", "b", "prints_a", "prints_b").mapInArrow(
-            _overlaps, "a long, b long, overlap long, na long, nb long"
+        texts = self.ws.save(found, f"texts-{name}")
+        with_a = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
+        with_both = with_a.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
+        counted = with_both.select("a", "b", "text_a", "text_b").mapInArrow(
+            _overlaps(self.size), "a long, b long, overlap long, na long, nb long"
         )
         linked = counted.filter(F.col("overlap") * 100 >= (F.col("na") + F.col("nb") - F.col("overlap")) * self.percent)
-        linked = self.ws.save(linked, f"links-{name}")
-        self.ws.drop(f"rows-{name}", f"ids-{name}")
+        linked = self.ws.save(linked.select("a", "b").distinct(), f"links-{name}")
+        self.ws.drop(f"texts-{name}", f"ids-{name}")
         return linked
 
     def components(self) -> DataFrame:
@@ -273,3 +285,15 @@ def jaccard_components(docs: DataFrame, percent: int = 75, size: int = 5, id_col
     columns are ignored. N-grams and sets are compared by 64-bit fingerprints.
     """
     return JaccardJoin(docs, percent, size, id_col, text_col).components()
+
+
+def drop_near_copies(docs: DataFrame, percent: int = 75, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each component, that with the smallest id, with all its columns.
+
+    Rows without any shingle stay, and so do all rows of the id that stays.
+    """
+    ws = Workspace(docs.sparkSession, "drop-near-copies")
+    found = jaccard_components(docs, percent, size, id_col, text_col)
+    gone = ws.save(found.filter("component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    few = gone.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, F.col(id_col) == F.col("gone_id"), "left_anti")

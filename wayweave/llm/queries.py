@@ -13,6 +13,7 @@ from wayweave.llm.decontamination import find_items
 from wayweave.llm.exact_dedup import exact_dedup
 from wayweave.llm.license_scan import scan_licenses
 from wayweave.llm.ngram_join import jaccard_components
+from wayweave.llm.oracles import ORACLES as ORACLES
 from wayweave.llm.sentence_pieces import encode_documents, load
 from wayweave.llm.sharding import assign_shards
 from wayweave.llm.suffix_dedup import remove_repeats
@@ -96,6 +97,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_url_filter": op9_url_filter,
         "op10_sentence_pieces": op10_sentence_pieces,
     }
-
-
-ORACLES: dict[str, str] = {}

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayweave.llm.bytetext import PIECE, U64, buffers, mix, pieces, powers
+from wayweave.plans.workspace import small_batches
 
 LOW = -1e18
 TABLE_BITS = 20
@@ -43,10 +44,7 @@ class Vocabulary:
     lengths: list[int]
     slot: np.ndarray
     prints: np.ndarray
-
-    @property
-    def n(self) -> int:
-        return len(self.spelled)
+    cache: UnitCache | None = None
 
 
 def _print(piece: bytes) -> int:
@@ -80,14 +78,12 @@ def vocabulary(pieces_: list[tuple[str, float, str]]) -> Vocabulary:
     score = np.where((score > LOW) & (score < byte_score), byte_score / 2, score)
     slot = np.full(1 << TABLE_BITS, -1, np.int32)
     prints = np.zeros(len(spelled), U64)
-    clash: dict[int, int] = {}
     for i in np.flatnonzero(score > LOW):
         h = _print(spelled[i])
         prints[i] = h
         at = h >> (64 - TABLE_BITS)
         while slot[at] >= 0:
             at = (at + 1) & ((1 << TABLE_BITS) - 1)
-            clash[int(at)] = 1
         slot[at] = i
     lengths = sorted({len(spelled[i]) for i in np.flatnonzero(score > LOW)})
     return Vocabulary(spelled, score, byte_id, byte_score, lengths, slot, prints)
@@ -300,13 +296,53 @@ class Units:
         return self.known[u]
 
 
+class UnitCache:
+    """Best paths of units seen before by this process, by fingerprint; emptied when it is full."""
+
+    UNITS, PIECES = 500_000, 8_000_000
+
+    def __init__(self) -> None:
+        self.prints = np.zeros(0, U64)
+        self.top, self.gap = np.zeros(0), np.zeros(0)
+        self.start, self.many = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
+
+    def find(self, prints: np.ndarray) -> np.ndarray:
+        """Place of each fingerprint, -1 if it is not known."""
+        if not len(self.prints):
+            return np.full(len(prints), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.prints, prints), len(self.prints) - 1)
+        return np.where(self.prints[at] == prints, at, -1)
+
+    def add(self, prints: np.ndarray, x: Units) -> None:
+        every = np.concatenate([self.prints, prints])
+        order = np.argsort(every, kind="stable")
+        self.prints = every[order]
+        self.top = np.concatenate([self.top, x.top])[order]
+        self.gap = np.concatenate([self.gap, x.gap])[order]
+        self.start = np.concatenate([self.start, x.cut[:-1] + len(self.ids)])[order]
+        self.many = np.concatenate([self.many, np.diff(x.cut)])[order]
+        self.ids = np.concatenate([self.ids, x.ids.astype(np.int32)])
+
+
+def _best_of(v: Vocabulary, d: np.ndarray, sums: np.ndarray, prints: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[UnitCache, np.ndarray]:
+    """The cache with all these distinct units in it, and their places."""
+    cache = v.cache
+    if cache is None or len(cache.prints) > UnitCache.UNITS or len(cache.ids) > UnitCache.PIECES:
+        cache = v.cache = UnitCache()
+    new = np.flatnonzero(cache.find(prints) < 0)
+    if len(new):
+        cache.add(prints[new], Units(v, d, sums, start[new], size[new]))
+    return cache, cache.find(prints)
+
+
 def encode(v: Vocabulary, column: pa.Array, nbest: int) -> Iterator[list[tuple[float, np.ndarray]]]:
     """For each text, its ``nbest`` best segmentations as (score, piece ids); fewer if there are no more.
 
     A space is put before a text that has any byte, as the vocabulary's words begin with one.
     """
     data, offs = buffers(column)
-    for i, j in pieces(offs, 2 * PIECE):
+    for i, j in pieces(offs, 8 * PIECE):
         size = np.diff(offs[i : j + 1])
         new = offs[i : j + 1] - offs[i] + np.concatenate([[0], np.cumsum(size > 0)])
         d = np.full(int(new[-1]), 0x20, np.uint8)
@@ -318,39 +354,41 @@ def encode(v: Vocabulary, column: pa.Array, nbest: int) -> Iterator[list[tuple[f
         heads[1:] &= ~space[:-1]
         heads[new[:-1][size > 0]] = True
         start = np.flatnonzero(heads)
-        stop = np.append(start[1:], len(d))
+        length = np.diff(np.append(start, len(d)))
         up, down = powers(len(d) + 1)
         with np.errstate(over="ignore"):
             sums = np.concatenate([np.zeros(1, U64), np.cumsum((d.astype(U64) + U64(1)) * up[: len(d)])])
-            h = mix((sums[stop] - sums[start]) * down[start] + (stop - start).astype(U64))
-        _, where, which = np.unique(h, return_index=True, return_inverse=True)
-        x = Units(v, d, sums, start[where], (stop - start)[where])
-        ids, cut, top = x.ids, x.cut, x.top
+            h = mix((sums[start + length] - sums[start]) * down[start] + length.astype(U64))
+        prints, where, which = np.unique(h, return_index=True, return_inverse=True)
+        cache, place = _best_of(v, d, sums, prints, start[where], length[where])
         text_at = np.searchsorted(start, new)
+        gap = cache.gap[place]
+        chosen = []
         for t in range(j - i):
             mine = which[text_at[t] : text_at[t + 1]]
-            if not len(mine):
-                yield [(0.0, np.zeros(0, np.int64))]
-                continue
-            lens = cut[mine + 1] - cut[mine]
+            k = min(nbest - 1, len(mine))
+            cheap = np.sort(np.argpartition(gap[mine], k - 1)[:k]) if k > 0 else np.zeros(0, np.int64)
+            chosen.append(cheap[np.isfinite(gap[mine[cheap]])] if k > 0 else cheap)
+        picked = np.unique(np.concatenate([which[text_at[t] + c] for t, c in enumerate(chosen)])) if chosen else np.zeros(0, np.int64)
+        open_units = Units(v, d, sums, start[where[picked]], length[where[picked]])
+        for t, cheap in enumerate(chosen):
+            mine = which[text_at[t] : text_at[t + 1]]
+            at = place[mine]
+            lens = cache.many[at]
             into = np.cumsum(lens) - lens
-            best = ids[np.repeat(cut[mine] - into, lens) + np.arange(lens.sum())]
-            total = float(top[mine].sum())
+            best = cache.ids[np.repeat(cache.start[at] - into, lens) + np.arange(lens.sum())]
+            top = cache.top[at]
+            total = float(top.sum())
             out = [(total, best)]
-            if nbest > 1:
-                gaps = x.gap[mine]
-                k = min(nbest - 1, len(mine))
-                cheap = np.sort(np.argsort(gaps, kind="stable")[:k])
-                cheap = cheap[np.isfinite(gaps[cheap])]
-                if len(cheap):
-                    units = [x.edges(u) for u in mine[cheap].tolist()]
-                    rest = total - float(top[mine[cheap]].sum())
-                    for score, split in a_star(units, nbest)[1:]:
-                        parts, at = [], 0
-                        for c, p in zip(cheap, split, strict=True):
-                            parts += [best[at : into[c]], np.array(p, np.int64)]
-                            at = into[c] + lens[c]
-                        out.append((rest + score, np.concatenate([*parts, best[at:]])))
+            if len(cheap):
+                units = [open_units.edges(u) for u in np.searchsorted(picked, mine[cheap]).tolist()]
+                rest = total - float(top[cheap].sum())
+                for score, split in a_star(units, nbest)[1:]:
+                    parts, done = [], 0
+                    for c, p in zip(cheap, split, strict=True):
+                        parts += [best[done : into[c]], np.array(p, np.int32)]
+                        done = into[c] + lens[c]
+                    out.append((rest + score, np.concatenate([*parts, best[done:]])))
             yield out
 
 
@@ -365,6 +403,7 @@ def encoded(spark, text: Column, v: Vocabulary, nbest: int = 4) -> Column:
     Null and empty texts have one empty segmentation of score 0. Every text can be encoded, and
     every segmentation decodes to it exactly.
     """
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(v)
 
     @F.arrow_udf("array<struct<score:double,ids:array<int>>>")
@@ -403,6 +442,7 @@ def encode_documents(docs: DataFrame, v: Vocabulary, nbest: int = 4, id_col: str
     counts as empty: no pieces, score 0. Repeated rows give a row each; an empty table gives no
     rows; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(v)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayweave.llm.bytetext import ALNUM, U64, word_pieces
-from wayweave.plans.workspace import Workspace
+from wayweave.plans.workspace import Workspace, small_batches
 
 BITS = 18
 FACTORS = 4
@@ -64,6 +64,9 @@ def train_machine(label: np.ndarray, sets: list[np.ndarray], keep: int, prior: f
     labelled rows; the bias answers for a sample with another share.
     """
     n = len(label)
+    prior = min(max(prior, 1e-6), 1 - 1e-6)
+    if not n:
+        return Machine(float(np.log(prior / (1 - prior))), np.full(1 << BITS, -1, np.int32), np.zeros(0), np.zeros((0, FACTORS)))
     text = np.repeat(np.arange(n), [len(s) for s in sets])
     bucket = np.concatenate(sets) if sets else np.zeros(0, np.int64)
     df = np.bincount(bucket, minlength=1 << BITS).astype(float)
@@ -107,7 +110,6 @@ def train_machine(label: np.ndarray, sets: list[np.ndarray], keep: int, prior: f
             gv[touched] += g**2
             v[touched] -= 0.05 * g / np.sqrt(gv[touched])
     share = min(max(n1 / max(n, 1), 1e-6), 1 - 1e-6)
-    prior = min(max(prior, 1e-6), 1 - 1e-6)
     bias += np.log(prior / (1 - prior)) - np.log(share / (1 - share))
     return Machine(float(bias), slot, w, v)
 
@@ -142,6 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     the largest holds. Without both labels the machine scores the prior for every text.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     ws = Workspace(spark, "toxicity")
     told = (
         labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("double").alias("label"))
@@ -157,6 +160,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     terms = ws.save(sample.mapInArrow(_sets_of, "doc_id long, label double, terms binary"), "terms")
     fitted = terms.coalesce(1).mapInArrow(_learn(keep, prior), "bias binary, kept binary, weight binary, vector binary").first()
     ws.drop("terms")
+    if fitted is None:
+        return train_machine(np.zeros(0), [], keep, prior)
     slot = np.full(1 << BITS, -1, np.int32)
     kept = np.frombuffer(fitted["kept"], "<i8")
     slot[kept] = np.arange(len(kept))
@@ -167,6 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def toxicity(spark, text: Column, model: Machine) -> Column:
     """Probability of label 1, from 0 to 1, for every text; null counts as empty (the bias alone)."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # 2**18 slots and ``keep`` vectors
 
     @F.arrow_udf("double")
