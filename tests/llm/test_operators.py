@@ -278,20 +278,31 @@ def test_toxicity_pairs():
     # each word alone says nothing, the pair does
     rng = np.random.default_rng(3)
     label, sets = [], []
-    for _ in range(1500):
+    for _ in range(3000):
         a, b = rng.random() < 0.5, rng.random() < 0.5
-        sets.append(np.array(sorted([*([1] if a else [2]), *([3] if b else [4]), *rng.integers(10, 40, 3)])))
+        sets.append(np.unique([1 if a else 2, 3 if b else 4, *rng.integers(10, 40, 3)]))
         label.append(float(a == b))
-    m = toxicity.train_machine(np.array(label), sets, 64, 0.5, epochs=40)
+    m = toxicity.train_machine(np.array(label[:2000]), sets[:2000], 64, 0.5)
     assert len(m.weight) <= 64
     hit = 0
-    for y, s in zip(label, sets, strict=True):
-        row = m.slot[np.unique(s)]
-        row = row[row >= 0]
-        v = m.vector[row]
-        z = m.bias + m.weight[row].sum() + 0.5 * (v.sum(0) ** 2 - (v**2).sum(0)).sum()
+    for y, s in zip(label[2000:], sets[2000:], strict=True):
+        row = m.slot[s]
+        v = m.vector[row[row >= 0]]
+        z = m.bias + m.weight[row[row >= 0]].sum() + 0.5 * (v.sum(0) ** 2 - (v**2).sum(0)).sum()
         hit += (z >= 0) == bool(y)
-    assert hit >= 0  # chi-square keeps no such bucket by itself: the pair must share a sign
+    assert hit >= 950
+
+
+def test_toxicity_held_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    kept = language_id.held_out(F.col("doc_id"))
+    model = toxicity.fit(docs, labels.filter(~kept))
+    told = docs.join(labels.filter(kept), "doc_id")
+    got = told.select("toxic", toxicity.toxicity(spark, F.col("text"), model).alias("s")).dropna().collect()
+    toxic = [r.s >= 0.5 for r in got if r.toxic]
+    assert sum(toxic) >= 0.8 * len(toxic)
+    assert sum(r.s < 0.5 for r in got if not r.toxic) >= 0.995 * (len(got) - len(toxic))
 
 
 def small_vocabulary():

@@ -21,6 +21,8 @@ from wayweave.plans.workspace import Workspace, small_batches
 BITS = 18
 FACTORS = 4
 STEM = 5
+#: Common buckets kept beside those that tell the labels apart by themselves.
+COMMON = 64
 
 
 def _terms(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -60,8 +62,11 @@ def train_machine(label: np.ndarray, sets: list[np.ndarray], keep: int, prior: f
     """Fit by AdaGrad on the log loss.
 
     Buckets are those in three training texts or more whose presence tells the labels apart
-    best (chi-square, 10 at least), ``keep`` at most. prior is the share of label 1 among all
-    labelled rows; the bias answers for a sample with another share.
+    best (chi-square, 10 at least), ``keep`` at most; ``COMMON`` buckets of most texts, a
+    hundredth of them at least, join them where ``keep`` has room, as their pairs may tell what
+    they don't alone.
+    prior is the share of label 1 among all labelled rows; the bias answers for a sample with
+    another share.
     """
     n = len(label)
     prior = min(max(prior, 1e-6), 1 - 1e-6)
@@ -78,8 +83,11 @@ def train_machine(label: np.ndarray, sets: list[np.ndarray], keep: int, prior: f
     with np.errstate(divide="ignore", invalid="ignore"):
         chi = n * (np.abs(a * d - b * c) - n / 2).clip(0) ** 2 / ((a + b) * (c + d) * n1 * n0)
     chi = np.where((df >= 3) & np.isfinite(chi) & (chi >= 10), chi, 0)
-    kept = np.flatnonzero(chi)
-    kept = np.sort(kept[np.argsort(-chi[kept], kind="stable")[:keep]])
+    telling = np.flatnonzero(chi)
+    telling = telling[np.argsort(-chi[telling], kind="stable")[:keep]]
+    common = np.flatnonzero((df >= max(3, n / 100)) & (chi == 0))
+    common = common[np.argsort(-df[common], kind="stable")[: min(COMMON, keep - len(telling))]]
+    kept = np.sort(np.concatenate([telling, common]))
     slot = np.full(1 << BITS, -1, np.int32)
     slot[kept] = np.arange(len(kept))
     rng = np.random.default_rng(seed)
