@@ -11,9 +11,12 @@ fingerprint (the shuffle partitions). Only products that can matter are formed:
 * overlap counts accumulate over the blocks, and pairs whose sizes, columns' positions or count
   put the overlap below the bound are discarded.
 
-The product runs in two rounds. First each column multiplies its neighbours in size order, and
-the first of them, which is linear in the column's length and joins large groups of near copies.
-Then columns that still hold rows of different components multiply those rows across components.
+The product runs in rounds. First each column multiplies its neighbours in size order, and
+the first of them, which is linear in the column's length. Where different components still
+share many columns, star rounds multiply each column with the rows that come first in a few
+orders common to all columns, linear again: a row that leads one column of a group leads most of
+them, so its overlaps come out whole and large groups of near copies fall together. Then columns
+that still hold rows of different components multiply those rows across components.
 Pairs inside one component are never listed, yet no link that joins two components is lost.
 Overlaps of the remaining pairs are counted exactly over the whole rows.
 """
@@ -35,6 +38,9 @@ from wayweave.plans.workspace import Workspace, small_batches
 #: Ids of documents to verify are broadcast up to this number, 8 bytes each; beyond it they are joined.
 BROADCAST_IDS = 2_000_000
 HOT_SALTS = 16
+#: Orders of a star round; products across components for each cell from which one pays; it goes on
+#: while a round leaves at most this share of them.
+STARS, STAR_WORK, STAR_GAIN = 8, 32, 0.8
 
 
 def _sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -205,14 +211,40 @@ class JaccardJoin:
             .select("a", "b")
         )
 
-    def second_round(self, columns: DataFrame, labels: DataFrame, done: DataFrame) -> DataFrame:
-        """Pairs across components: counts of all their shared columns, against the bounds."""
-        cells = (
-            columns.select("col", "cls", "n", "pos").distinct()
-            .join(labels, "cls", "left")
-            .withColumn("comp", F.coalesce("comp", "cls"))
+    def labelled(self, columns: DataFrame, linked: DataFrame, name: str) -> tuple[DataFrame, int, int]:
+        """Cells (col, cls, n, pos, comp) after the links, their number, and that of the products across components."""
+        labels = connected_components(linked, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
+        cells = columns.select("col", "cls", "n", "pos").distinct().join(labels, "cls", "left")
+        cells = self.ws.save(cells.withColumn("comp", F.coalesce("comp", "cls")), name)
+        by_comp = cells.groupBy("col", "comp").agg(F.count("*").cast("double").alias("k"))
+        by_col = by_comp.groupBy("col").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("own"))
+        size, across = by_col.agg(F.sum("k"), F.sum((F.col("k") * F.col("k") - F.col("own")) / 2)).first()
+        return cells, int(size or 0), int(across or 0)
+
+    def star_round(self, cells: DataFrame, number: int) -> DataFrame:
+        """Pairs of each row with its columns' first rows in STARS orders that all columns share."""
+        firsts = [
+            F.min(F.struct(F.xxhash64("cls", F.lit(number * STARS + i)).alias("h"), "cls", "n", "comp")).alias(f"first{i}")
+            for i in range(STARS)
+        ]
+        heads = (
+            cells.groupBy("col").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), *firsts)
+            .filter("x <> y")
+            .select("col", F.posexplode(F.array(*[f"first{i}" for i in range(STARS)])).alias("star", "head"))
+            .select("col", "star", F.col("head.cls").alias("other"), F.col("head.n").alias("m"), F.col("head.comp").alias("comp2"))
+        )
+        return (
+            cells.join(heads, "col")
+            .filter((F.col("comp") != F.col("comp2")) & self.near("n", "m"))
+            .groupBy("star", F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b"))
+            .agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("m").alias("m"))
+            .filter(self.enough("n", "m", F.col("shared")))
+            .select("a", "b")
+            .distinct()
         )
-        cells = self.ws.save(cells, "cells")
+
+    def second_round(self, cells: DataFrame, done: DataFrame) -> DataFrame:
+        """Pairs across components: counts of all their shared columns, against the bounds."""
         open_cols = cells.groupBy("col").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("col")
         left = cells.join(open_cols, "col", "left_semi")
         right = left.select("col", *[F.col(c).alias(f"{c}2") for c in ("cls", "n", "pos", "comp")])
@@ -252,9 +284,17 @@ class JaccardJoin:
         columns = self.columns()
         pairs = self.ws.save(self.first_round(columns), "pairs")
         one = self.links(pairs, members, "one")
-        labels = connected_components(one, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
-        labels = self.ws.save(labels, "labels")
-        more = self.ws.save(self.second_round(columns, labels, pairs), "more")
+        cells, size, across = self.labelled(columns, one, "cells")
+        star, before = 0, None
+        # star rounds while they pay: each is linear in the cells, the second round in the products
+        while across > STAR_WORK * size and (before is None or across <= STAR_GAIN * before):
+            new = self.ws.save(self.star_round(cells, star).join(pairs, ["a", "b"], "left_anti"), f"star-{star}")
+            one = one.union(self.links(new, members, f"star-{star}"))
+            pairs, before = pairs.union(new), across
+            self.ws.drop("cells" if star == 0 else f"cells-{star - 1}")
+            cells, size, across = self.labelled(columns, one, f"cells-{star}")
+            star += 1
+        more = self.ws.save(self.second_round(cells, pairs), "more")
         two = self.links(more, members, "two")
         joined = one.select("a", "b").union(two.select("a", "b"))
         final = connected_components(joined, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
@@ -266,7 +306,7 @@ class JaccardJoin:
         )
         by_class = members.select("cls").join(final, "cls", "left").select("cls", F.coalesce("comp", "cls").alias("label"))
         by_class = self.ws.save(by_class.join(least, "label").select("cls", "component_id"), "by_class")
-        self.ws.drop("columns", "cells", "pairs", "more", "labels", "final")
+        self.ws.drop("columns", "cells", "pairs", "more", "final", *[f"cells-{i}" for i in range(star)], *[f"star-{i}" for i in range(star)])
         return rows.join(by_class, "cls", "left").select(
             "doc_id",
             F.col("n").alias("n_shingles"),
