@@ -103,12 +103,13 @@ def chains(edges: DataFrame) -> DataFrame:
     return told.withColumn("chain", F.coalesce(inside, solo)).drop("u_chain", "v_chain")
 
 
-def contract(edges: DataFrame) -> DataFrame:
+def contract(edges: DataFrame, told: DataFrame | None = None) -> DataFrame:
     """(ward, chain, u, v, length_m, width_m): streets with two different ends; u < v.
 
-    Closed rings and streets with one end are dropped. Parallel streets are all kept.
+    Closed rings and streets with one end are dropped. Parallel streets are all kept. ``told``
+    is ``chains(edges)`` where that is at hand.
     """
-    told = chains(edges)
+    told = chains(edges) if told is None else told
     sums = told.groupBy("ward", "chain").agg(
         F.sum("length").alias("length"), F.sum(F.col("length") * F.col("width_m")).alias("by_width")
     )
@@ -122,12 +123,13 @@ def contract(edges: DataFrame) -> DataFrame:
     )
 
 
-def street_lines(edges: DataFrame, tolerance: float = 0.5) -> DataFrame:
+def street_lines(edges: DataFrame, tolerance: float = 0.5, told: DataFrame | None = None) -> DataFrame:
     """(ward, chain, line): each street's points in order along it, simplified.
 
-    One street is one group: its size is that of a street, not of the data.
+    One street is one group: its size is that of a street, not of the data. ``told`` is
+    ``chains(edges)`` where that is at hand.
     """
-    told = chains(edges).select("ward", "chain", "x0", "y0", "x1", "y1")
+    told = (chains(edges) if told is None else told).select("ward", "chain", "x0", "y0", "x1", "y1")
 
     def order(pdf: pd.DataFrame) -> pd.DataFrame:
         a = list(zip(pdf.x0, pdf.y0, strict=True))

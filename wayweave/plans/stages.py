@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from wayweave.functions import cost, crs, geom
 from wayweave.operators import graph, grid, polygonize, raster, stats
 from wayweave.plans import export
+from wayweave.plans.workspace import Workspace
 from wayweave.sources import archives, layers
 
 LEAST_BLOCK_M2 = 100.0
@@ -68,9 +69,12 @@ def centrelines_for(road_edges: DataFrame, blocks: DataFrame, water: DataFrame |
 def topology(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges) of centrelines (ward, x0, y0, x1, y1, width_m); edges carry their simplified line."""
     numbered = lines.withColumn("seg_id", F.xxhash64("ward", "x0", "y0", "x1", "y1")).dropDuplicates(["ward", "seg_id"])
-    kept = graph.drop_diagonals(graph.node_segments(numbered))
-    edges = graph.contract(kept).join(graph.street_lines(kept), ["ward", "chain"])
-    edges = edges.withColumn("edge_id", F.xxhash64("ward", "chain"))
+    ws = Workspace(lines.sparkSession, "topology")
+    kept = ws.save(graph.drop_diagonals(graph.node_segments(numbered)), "kept")
+    told = ws.save(graph.chains(kept), "chains")
+    edges = graph.contract(kept, told).join(graph.street_lines(kept, told=told), ["ward", "chain"])
+    edges = ws.save(edges.withColumn("edge_id", F.xxhash64("ward", "chain")), "edges")
+    ws.drop("kept", "chains")
     return graph.nodes_of(edges), edges
 
 
