@@ -17,7 +17,7 @@ units' lattices, joined, with the rest of the text at its best.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -397,6 +397,21 @@ def decode_ids(v: Vocabulary, ids: np.ndarray) -> bytes:
     return b"".join(map(v.spelled.__getitem__, ids.tolist()))[1:]
 
 
+def _segmentations(texts: Iterable[list[tuple[float, np.ndarray]]]) -> pa.Array:
+    """array<struct(score, ids)> of each text's segmentations."""
+    score, ids, ends, counts = [], [], [0], [0]
+    for found in texts:
+        for s, p in found:
+            score.append(s)
+            ids.append(p.astype(np.int32))
+            ends.append(ends[-1] + len(p))
+        counts.append(len(score))
+    flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+    rows = pa.StructArray.from_arrays([pa.array(score, pa.float64()), lists], ["score", "ids"])
+    return pa.ListArray.from_arrays(pa.array(counts, pa.int32()), rows)
+
+
 def encoded(spark, text: Column, v: Vocabulary, nbest: int = 4) -> Column:
     """array<struct(score, ids)> of a text column, best first.
 
@@ -408,17 +423,7 @@ def encoded(spark, text: Column, v: Vocabulary, nbest: int = 4) -> Column:
 
     @F.arrow_udf("array<struct<score:double,ids:array<int>>>")
     def run(column: pa.Array) -> pa.Array:
-        score, ids, ends, counts = [], [], [0], [0]
-        for found in encode(shared.value, column, nbest):
-            for s, p in found:
-                score.append(s)
-                ids.append(p.astype(np.int32))
-                ends.append(ends[-1] + len(p))
-            counts.append(len(score))
-        flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
-        rows = pa.StructArray.from_arrays([pa.array(score, pa.float64()), lists], ["score", "ids"])
-        return pa.ListArray.from_arrays(pa.array(counts, pa.int32()), rows)
+        return _segmentations(encode(shared.value, column, nbest))
 
     return run(F.coalesce(text, F.lit("")))
 
@@ -435,10 +440,10 @@ def decoded(spark, ids: Column, v: Vocabulary) -> Column:
 
 
 def encode_documents(docs: DataFrame, v: Vocabulary, nbest: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_pieces, score, nbest_scores, nbest_pieces, ids_crc32, exact.
+    """One row per input row: doc_id, n_pieces, score, nbest_scores, nbest_pieces, ids_crc32, exact, nbest.
 
-    score and n_pieces are of the best segmentation, ids_crc32 is of its ids as little-endian
-    32-bit integers, exact tells that all ``nbest`` segmentations decode to the text. Null text
+    nbest is the array of segmentations, best first, as (score, ids). score and n_pieces are of
+    the best segmentation, ids_crc32 is of its ids as little-endian 32-bit integers, exact tells that all ``nbest`` segmentations decode to the text. Null text
     counts as empty: no pieces, score 0. Repeated rows give a row each; an empty table gives no
     rows; other columns are ignored.
     """
@@ -450,7 +455,7 @@ def encode_documents(docs: DataFrame, v: Vocabulary, nbest: int = 4, id_col: str
 
         for batch in batches:
             data, offs = buffers(batch.column("text"))
-            score, n, crc, scores, counts, exact = [], [], [], [], [], []
+            score, n, crc, scores, counts, exact, paths = [], [], [], [], [], [], []
             for t, found in enumerate(encode(shared.value, batch.column("text"), nbest)):
                 text = data[offs[t] : offs[t + 1]].tobytes()
                 score.append(found[0][0])
@@ -459,13 +464,14 @@ def encode_documents(docs: DataFrame, v: Vocabulary, nbest: int = 4, id_col: str
                 scores.append([s for s, _ in found])
                 counts.append([len(p) for _, p in found])
                 exact.append(all(decode_ids(shared.value, p) == text for _, p in found))
+                paths.append(found)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(score, pa.float64()), pa.array(scores, pa.list_(pa.float64())), pa.array(counts, pa.list_(pa.int64())), pa.array(crc, pa.int64()), pa.array(exact, pa.bool_())],
-                ["doc_id", "n_pieces", "score", "nbest_scores", "nbest_pieces", "ids_crc32", "exact"],
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(score, pa.float64()), pa.array(scores, pa.list_(pa.float64())), pa.array(counts, pa.list_(pa.int64())), pa.array(crc, pa.int64()), pa.array(exact, pa.bool_()), _segmentations(paths)],
+                ["doc_id", "n_pieces", "score", "nbest_scores", "nbest_pieces", "ids_crc32", "exact", "nbest"],
             )
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"doc_id {kind}, n_pieces long, score double, nbest_scores array<double>, nbest_pieces array<long>, ids_crc32 long, exact boolean"
+        run, f"doc_id {kind}, n_pieces long, score double, nbest_scores array<double>, nbest_pieces array<long>, ids_crc32 long, exact boolean, nbest array<struct<score:double,ids:array<int>>>"
     )
