@@ -87,17 +87,29 @@ def lexical(pages: DataFrame) -> DataFrame:
     )
 
 
-def rates(labelled: DataFrame, key: str, name: str, keep: int) -> DataFrame:
-    """Smoothed block rate of the ``keep`` commonest values of ``key`` among labelled rows."""
+def rates(labelled: DataFrame, key: str, name: str) -> DataFrame:
+    """Smoothed block rate of each value of ``key`` among labelled urls of n rows each."""
     return (
         labelled.groupBy(key)
-        .agg(F.count("*").alias("n"), F.sum("label").alias("b"))
-        .orderBy(F.desc("n"), key)
-        .limit(keep)
-        .select(key, ((F.col("b") + 1.0) / (F.col("n") + 2.0)).alias(name))
+        .agg(F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("b"))
+        .select(key, ((F.col("b") + 1.0) / (F.col("n") + 2.0)).alias(name), "n")
     )
 
 
+def with_rates(df: DataFrame, common: DataFrame, rare: DataFrame | None, key: str, name: str) -> DataFrame:
+    """Adds the rate of ``key``: common values by broadcast, ``rare`` ones (if any) by a join; else 0.5.
+
+    Rows of common values meet nothing in the join, so they are spread over its partitions.
+    """
+    df = df.join(F.broadcast(common), key, "left")
+    if rare is not None:
+        spread = F.concat(F.lit("/"), F.monotonically_increasing_id().cast("string"))  # no value holds a slash
+        df = df.withColumn("at", F.when(F.col(name).isNull(), F.col(key)).otherwise(spread))
+        df = df.join(rare.select(F.col(key).alias("at"), F.col(name).alias("rare_rate")), "at", "left")
+        df = df.withColumn(name, F.coalesce(name, "rare_rate")).drop("at", "rare_rate")
+    return df.fillna(0.5, [name])
+
+
 def judge_urls(
     pages: DataFrame,
     rules: Sequence[Rule],
@@ -111,12 +123,14 @@ def judge_urls(
     """One row per page: page_id, host, path, rule, verdict, score.
 
     A rule's verdict holds where one fits; elsewhere the trees' (score: probability of block,
-    block from 0.5). Training rows are the urls that a rule labels, at most ``train_rows`` of
-    them, taken by hash of the url. With fewer than two kinds of label every other url is
+    block from 0.5). They are fitted on distinct urls that a rule labels, at most ``train_rows`` of
+    them, taken by hash of the url: of each label its share, but a twentieth of ``train_rows`` at
+    least where it has so many, weighted back to its share. The rates of suffixes and segments
+    are of all rows that a rule labels; a value without any has 0.5. With fewer than two kinds of label every other url is
     allowed (score 0). Null urls and urls without ``://`` have empty host and path, fit no rule
     and are judged by their (empty) features. Repeated rows and ids are kept. An empty table
-    gives no rows; other columns are ignored. ``suffixes`` bounds the table of suffix statistics;
-    rarer values take the overall rate 0.5.
+    gives no rows; other columns are ignored. The rates of the ``suffixes`` commonest values are
+    broadcast, those of rarer values are joined.
     """
     spark = pages.sparkSession
     ws = Workspace(spark, "url-filter")
@@ -124,28 +138,34 @@ def judge_urls(
     base = base.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     base = base.withColumn("fit", rule_for(F.col("host"), F.col("path"), rules))
     rows = lexical(base)
-    sample = ws.save(
-        rows.filter(F.col("fit").isNotNull())
-        .withColumn("label", (F.col("fit.verdict") == "block").cast("double"))
-        .orderBy(F.xxhash64("url"), "url", "page_id")
-        .limit(train_rows)
-        .drop("fit", "page_id", "url", "host", "path"),
-        "sample",
-    ).coalesce(1)
-    by_suffix = ws.save(rates(sample, "suffix", "f_suffix_rate", suffixes), "suffixes")
-    by_segment = ws.save(rates(sample, "segment", "f_segment_rate", suffixes), "segments")
+    label = (F.col("fit.verdict") == "block").cast("double").alias("label")
+    known = base.filter(F.col("fit").isNotNull())
+    known = ws.save(known.groupBy("url", "host", "path", label).agg(F.count("*").alias("n")), "known")
+    known = lexical(known)
+    parts = {}
+    for key, name in (("suffix", "f_suffix_rate"), ("segment", "f_segment_rate")):
+        every = ws.save(rates(known, key, name), name)
+        common = ws.save(every.orderBy(F.desc("n"), key).limit(suffixes).drop("n"), f"{name}-common")
+        more = every.count() > suffixes
+        parts[key, name] = common, every.join(F.broadcast(common.select(key)), key, "left_anti") if more else None
 
     def featured(df: DataFrame) -> DataFrame:
-        # both tables have at most ``suffixes`` rows
-        df = df.join(F.broadcast(by_suffix), "suffix", "left")
-        df = df.join(F.broadcast(by_segment), "segment", "left")
-        df = df.fillna(0.5, ["f_suffix_rate", "f_segment_rate"])
+        for (key, name), (common, rare) in parts.items():
+            df = with_rates(df, common, rare, key, name)
         return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df)
 
-    kinds = sample.select("label").distinct().count()
-    if kinds == 2:
+    urls = dict(known.groupBy("label").count().collect())  # two labels
+    if len(urls) == 2:
+        total = sum(urls.values())
+        taken = {y: min(k, max(round(train_rows * k / total), train_rows // 20, 1)) for y, k in urls.items()}
+        sample = None
+        for y, k in sorted(taken.items()):
+            some = known.filter(F.col("label") == y).orderBy(F.xxhash64("url"), "url").limit(k)
+            some = some.withColumn("weight", F.lit(urls[y] / k * sum(taken.values()) / total))
+            sample = some if sample is None else sample.unionAll(some)
+        sample = ws.save(sample.drop("n", "url", "host", "path"), "sample").coalesce(1)
         model: GBTClassificationModel = GBTClassifier(
-            maxIter=trees, maxDepth=depth, stepSize=0.3, seed=7, labelCol="label"
+            maxIter=trees, maxDepth=depth, stepSize=0.3, seed=7, labelCol="label", weightCol="weight"
         ).fit(featured(sample))
         scored = model.transform(featured(rows)).withColumn(
             "score", vector_to_array("probability")[1]
