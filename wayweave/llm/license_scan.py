@@ -1,7 +1,9 @@
 """License scan: phrase places, and an exact set-similarity join of text blocks with templates.
 
-A block is a line, or an overlapping window of a long line. A template is found in a block when
-the block holds at least ``threshold`` of the template's distinct tokens. Only tokens of the
+A block is a line, an overlapping window of a long line, or such a window over the words of all
+lines, as notices are often wrapped. A template is found in a block when the block holds at least
+``threshold`` of the template's distinct tokens; a template of at most ``SHORT`` tokens has to
+stand in one line, as so few words meet by chance among those of many lines. Only tokens of the
 template vocabulary can count, so blocks are reduced to those. Tokens are ordered by document
 frequency over the whole corpus, rarest first; the join meets on prefix tokens only and then
 applies the length and positional bounds before the exact overlap is taken. All filters are
@@ -45,6 +47,8 @@ TEMPLATES: dict[str, list[str]] = {
 #: ASCII characters that separate words; letters and digits are apart from them, as is all above 0x7F.
 SEPARATORS = "".join(chr(c) for c in [*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 LINE_FEED = "\n"
+#: Templates of so many distinct tokens or fewer are looked for in lines only.
+SHORT = 3
 
 
 def words_of(text: Column) -> Column:
@@ -73,20 +77,20 @@ def places(words: Column, phrase: Sequence[str]) -> Column:
     return F.when(F.contains(joined, F.lit(f" {' '.join(phrase)} ")), starts).otherwise(none)
 
 
-def blocks_of(text: Column, width: int) -> Column:
-    """Word arrays: each line, and windows of ``2 * width`` words every ``width`` for longer ones."""
-
-    def cut(line: Column) -> Column:
-        words = words_of(line)
-        n = F.size(words)
-        return F.when(n <= 2 * width, F.array(words)).otherwise(
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(n - width, F.lit(1)), F.lit(width)),
-                lambda i: F.slice(words, i, 2 * width),
-            )
+def windows_of(words: Column, width: int) -> Column:
+    """The words as one array, or windows of ``2 * width`` every ``width`` if they are more."""
+    n = F.size(words)
+    return F.when(n <= 2 * width, F.array(words)).otherwise(
+        F.transform(
+            F.sequence(F.lit(1), F.greatest(n - width, F.lit(1)), F.lit(width)),
+            lambda i: F.slice(words, i, 2 * width),
         )
+    )
 
-    return F.flatten(F.transform(F.split(text, LINE_FEED), cut))
+
+def blocks_of(text: Column, width: int) -> Column:
+    """Word arrays: each line, and windows of ``2 * width`` words every ``width`` for longer ones."""
+    return F.flatten(F.transform(F.split(text, LINE_FEED), lambda line: windows_of(words_of(line), width)))
 
 
 def scan_licenses(
@@ -131,6 +135,12 @@ def scan_licenses(
     prefix = sorted({w for (_, toks), a in zip(ordered, needed, strict=True) for w in toks[: len(toks) - a + 1]})
     lead = F.array(*map(F.lit, prefix)) if prefix else F.array().cast("array<string>")
 
+    def met_blocks(blocks: Column) -> Column:
+        return F.when(
+            F.arrays_overlap("words", lead),
+            F.transform(F.filter(blocks, lambda b: F.arrays_overlap(b, lead)), lambda b: F.array_intersect(b, vocab)),
+        )
+
     words = F.col("words")
     found = {k: places(words, v.split(" ")) for k, v in phrases.items()}
     scanned = (
@@ -146,13 +156,8 @@ def scan_licenses(
                 lambda x: x.isNotNull(),
             ).alias("base"),
             # prefix filter: a block without any template's prefix token meets no template
-            F.when(
-                F.arrays_overlap("words", lead),
-                F.transform(
-                    F.filter(blocks_of(F.col("text"), width), lambda b: F.arrays_overlap(b, lead)),
-                    lambda b: F.array_intersect(b, vocab),
-                ),
-            ).alias("blocks"),
+            met_blocks(blocks_of(F.col("text"), width)).alias("blocks"),
+            F.when(F.contains("text", F.lit(LINE_FEED)), met_blocks(windows_of(F.col("words"), width))).alias("wrapped"),
         )
     )
     scanned = ws.save(scanned, "scanned")
@@ -168,9 +173,12 @@ def scan_licenses(
         table = F.broadcast(table)
     order = spark.createDataFrame(list(rank.items()), "token string, rank int")
     order = F.broadcast(order) if len(rank) <= 100_000 else order
-    block = scanned.filter(F.size("blocks") > 0).select(
-        "doc_id", "mark", F.posexplode("blocks").alias("block", "b_tokens")
-    )
+    block = None
+    for name, least in (("blocks", 0), ("wrapped", SHORT + 1)):
+        some = scanned.filter(F.size(name) > 0).select(
+            "doc_id", "mark", F.lit(least).alias("least"), F.explode(name).alias("b_tokens")
+        )
+        block = some if block is None else block.unionAll(some)
     met = (
         block.select("*", F.explode("b_tokens").alias("token"))
         .join(order, "token")
@@ -180,7 +188,7 @@ def scan_licenses(
             }
         )
         .join(table, "token")
-        .filter(F.col("b_size") >= F.col("need"))  # length
+        .filter((F.col("b_size") >= F.col("need")) & (F.col("t_size") >= F.col("least")))  # length
     )
     # position of the token in the block's frequency order: how many of its tokens are rarer
     ranks = F.create_map(*[x for w, i in rank.items() for x in (F.lit(w), F.lit(i))]) if rank else None
