@@ -21,8 +21,9 @@ from wayweave.plans.workspace import Workspace, small_batches
 BITS = 18
 FACTORS = 4
 STEM = 5
-#: Common buckets kept beside those that tell the labels apart by themselves.
-COMMON = 64
+#: Squared gradients that weights and vectors of buckets which tell nothing alone begin with, so
+#: that chance moves them little; the best of some values by cross-validation on training rows.
+DAMP = 1.0, 1e-4
 
 
 def _terms(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -62,9 +63,8 @@ def train_machine(label: np.ndarray, sets: list[np.ndarray], keep: int, prior: f
     """Fit by AdaGrad on the log loss.
 
     Buckets are those in three training texts or more whose presence tells the labels apart
-    best (chi-square, 10 at least), ``keep`` at most; ``COMMON`` buckets of most texts, a
-    hundredth of them at least, join them where ``keep`` has room, as their pairs may tell what
-    they don't alone.
+    best (chi-square, 10 at least), ``keep`` at most; the others, those of most texts first, fill
+    what room ``keep`` leaves, as their pairs may tell what they don't alone.
     prior is the share of label 1 among all labelled rows; the bias answers for a sample with
     another share.
     """
@@ -85,15 +85,16 @@ def train_machine(label: np.ndarray, sets: list[np.ndarray], keep: int, prior: f
     chi = np.where((df >= 3) & np.isfinite(chi) & (chi >= 10), chi, 0)
     telling = np.flatnonzero(chi)
     telling = telling[np.argsort(-chi[telling], kind="stable")[:keep]]
-    common = np.flatnonzero((df >= max(3, n / 100)) & (chi == 0))
-    common = common[np.argsort(-df[common], kind="stable")[: min(COMMON, keep - len(telling))]]
+    common = np.flatnonzero((df >= 3) & (chi == 0))
+    common = common[np.argsort(-df[common], kind="stable")[: keep - len(telling)]]
     kept = np.sort(np.concatenate([telling, common]))
     slot = np.full(1 << BITS, -1, np.int32)
     slot[kept] = np.arange(len(kept))
     rng = np.random.default_rng(seed)
     w, v = np.zeros(len(kept)), rng.normal(0, 0.02, (len(kept), FACTORS))
     bias = 0.0
-    gw, gv, gb = np.full(len(kept), 1e-6), np.full((len(kept), FACTORS), 1e-6), 1e-6
+    gw, gv = (np.where(chi[kept] > 0, 1e-6, damp) for damp in DAMP)
+    gv, gb = np.repeat(gv[:, None], FACTORS, 1), 1e-6
     row = slot[bucket]
     ok = row >= 0
     text, row = text[ok], row[ok].astype(np.int64)
