@@ -33,6 +33,14 @@ def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
         spark.conf.set(key, rows)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Workspace:
     """Saves tables under one folder; ``drop`` removes those that are no longer read."""
 
