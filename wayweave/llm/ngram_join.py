@@ -8,22 +8,25 @@ fingerprint (the shuffle partitions). Only products that can matter are formed:
 * a row takes part with its ``n - ceil(t n) + 1`` rarest columns, since two rows with similarity
   t or more share one of those; rare is judged by a sketch of all columns (any common order is
   lossless);
-* overlap counts accumulate over the blocks, and pairs whose sizes, columns' positions or count
-  put the overlap below the bound are discarded.
-
-The product runs in rounds. First each column multiplies its neighbours in size order, and
-the first of them, which is linear in the column's length. Where different components still
-share many columns, star rounds multiply each column with the rows that come first in a few
-orders common to all columns, linear again: a row that leads one column of a group leads most of
-them, so its overlaps come out whole and large groups of near copies fall together. Then columns
-that still hold rows of different components multiply those rows across components.
-Pairs inside one component are never listed, yet no link that joins two components is lost.
-Overlaps of the remaining pairs are counted exactly over the whole rows.
+* overlap counts accumulate over the blocks, and pairs whose sizes, columns' positions, numbers
+  of shared columns, signatures or count put the overlap below the bound are discarded.
+
+The product runs in two rounds. First each column multiplies its rows with the ``HEADS`` among its
+rows of like size that have the fewest rare columns. That is linear in the column's length and
+the whole product of a short column. In a large group of near copies those rows have the fewest
+changes; they lead all columns they are in, so their overlaps come out whole, and they link to more
+rows than others would: the group falls together. Then columns that still hold rows of different components multiply those rows across
+components, within the bounds. Pairs inside one component are never listed, yet no link that
+joins two components is lost. Overlaps of the pairs left are counted exactly over whole rows.
+
+The signature of a row has, for each of ``WORDS * 64`` residues of its columns' fingerprints, the
+parity of their number: two rows differ in at least as many columns as their signatures in bits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +36,17 @@ from pyspark.sql import functions as F
 from wayweave.llm import frequency_sketch as sketch
 from wayweave.llm.bytetext import NOT_SPACE, U64, as_long, mix, shingles, word_pieces
 from wayweave.operators.components import connected_components
-from wayweave.plans.workspace import Workspace, small_batches
+from wayweave.plans.workspace import Workspace, free_name, small_batches
 
-#: Ids of documents to verify are broadcast up to this number, 8 bytes each; beyond it they are joined.
-BROADCAST_IDS = 2_000_000
+#: Rows to fetch are broadcast up to this number, 24 bytes each; beyond it they are joined by shuffle.
+BROADCAST_IDS = 1_000_000
 HOT_SALTS = 16
-#: Orders of a star round; products across components for each cell from which one pays; it goes on
-#: while a round leaves at most this share of them.
-STARS, STAR_WORK, STAR_GAIN = 8, 32, 0.8
+#: Rows of a column, in each of two bands of like size, that all its rows are multiplied with in the
+#: first round. The bands overlap by half, so any two rows of sizes that can link share one of them.
+HEADS = 8
+#: Words of a signature.
+WORDS = 8
+SIGNS = [f"s{i}" for i in range(WORDS)]
 
 
 def _sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -50,52 +56,74 @@ def _sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
             yield np.unique(shingles(h[at[k] : at[k + 1]], size))
 
 
-def _class(prints: np.ndarray) -> int:
-    """Fingerprint of a set."""
+def _class(prints: np.ndarray) -> bytes:
+    """128-bit fingerprint of a set."""
     with np.errstate(over="ignore"):
-        total = mix(prints.copy()).sum(dtype=U64) ^ (prints * U64(0x9FB21C651E98DF25)).sum(dtype=U64)
-        return int(as_long(mix(np.array([total + U64(len(prints))], U64)))[0])
+        one = mix(prints.copy()).sum(dtype=U64) ^ (prints * U64(0x9FB21C651E98DF25)).sum(dtype=U64)
+        two = mix(prints ^ U64(0xA0761D6478BD642F)).sum(dtype=U64)
+        return mix(np.array([one + U64(len(prints)), two], U64)).tobytes()
+
+
+def _signature(prints: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of prints in each residue, as longs."""
+    odd = np.bincount((prints >> U64(16)).astype(np.int64) & (WORDS * 64 - 1), minlength=WORDS * 64) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+_PROFILE = ["doc_id", "key", "n", "cls", *SIGNS, "slice", "part", "counts"]
 
 
 def _profile(size: int):
-    """Rows (doc_id, n, cls) and, at each task's end, the slices of its counters."""
+    """Rows (doc_id, key, n, cls, signature of a class new to the task) and, at each task's end,
+    the slices of its counters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, seen, part = sketch.Counter(), set(), 0
         for batch in batches:
-            ids, n, cls = batch.column("doc_id"), [], []
+            n, cls, signs, new = [], [], [], []
             for s in _sets(batch.column("text"), size):
                 c = _class(s)
                 n.append(len(s))
                 cls.append(c)
-                part = (part * 31 + c) & 0x7FFFFFFFFFFF
-                if c not in seen:
+                part = (part * 31 + int.from_bytes(c[:4], "little")) & 0x7FFFFFFFFFFF
+                new.append(c not in seen)
+                if new[-1]:
                     seen.add(c)
                     counter.add(s)
-            k = len(n)
+                signs.append(_signature(s) if new[-1] else np.zeros(WORDS, np.int64))
+            k, old = len(n), ~np.array(new, bool)
+            signs = np.stack(signs, 1) if k else np.zeros((WORDS, 0), np.int64)
             none = pa.nulls(k)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n, pa.int64()), pa.array(cls, pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()), none.cast(pa.binary())],
-                ["doc_id", "n", "cls", "slice", "part", "counts"],
-            )
+                [
+                    batch.column("doc_id"), batch.column("key"), pa.array(n, pa.int64()), pa.array(cls, pa.binary()),
+                    *[pa.array(w, pa.int64(), mask=old) for w in signs],
+                    none.cast(pa.int32()), none.cast(pa.int64()), none.cast(pa.binary()),
+                ],
+                _PROFILE,
+            )
         if seen:
             rows = list(counter.slices())
             none = pa.nulls(len(rows), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none, none, none, pa.array([r[0] for r in rows], pa.int32()), pa.array([part] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
-                ["doc_id", "n", "cls", "slice", "part", "counts"],
-            )
+                [
+                    none, none, none, pa.nulls(len(rows), pa.binary()), *[none] * WORDS,
+                    pa.array([r[0] for r in rows], pa.int32()), pa.array([part] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
+                ],
+                _PROFILE,
+            )
 
     return run
 
 
 def _prefixes(size: int, percent: int, ranks):
-    """Rows (col, cls, n, pos): the prefix columns of each class, once a task."""
+    """Rows (col, cls, n, pos, rare): the prefix columns of each class, once a task; rare is how
+    many of them the sketch doesn't set apart as common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = ranks.value, set()
         for batch in batches:
-            cols, cls, n, pos = [], [], [], []
+            cols, cls, n, pos, rare = [], [], [], [], []
             for s in _sets(batch.column("text"), size):
                 if not len(s) or (c := _class(s)) in seen:
                     continue
@@ -103,18 +131,31 @@ def _prefixes(size: int, percent: int, ranks):
                 keys = np.sort(sketch.order_key(s, table))
                 k = len(s) - (percent * len(s) + 99) // 100 + 1
                 cols.append(keys[:k])
-                cls.append(np.full(k, c, np.int64))
+                cls += [c] * k
                 n.append(np.full(k, len(s), np.int32))
                 pos.append(np.arange(k, dtype=np.int32))
+                rare.append(np.full(k, (keys[:k] < U64(1 << 56)).sum(), np.int32))
             if cols:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(as_long(np.concatenate(cols))), pa.array(np.concatenate(cls)), pa.array(np.concatenate(n)), pa.array(np.concatenate(pos))],
-                    ["col", "cls", "n", "pos"],
+                    [pa.array(as_long(np.concatenate(cols))), pa.array(cls, pa.binary()), *[pa.array(np.concatenate(x)) for x in (n, pos, rare)]],
+                    ["col", "cls", "n", "pos", "rare"],
                 )
 
     return run
 
 
+def _of_class(size: int):
+    """Rows (cls, text) whose text is of the class it was fetched for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [_class(s) for s in _sets(batch.column("text"), size)]
+            same = [i for i, (c, want) in enumerate(zip(own, batch.column("cls").to_pylist(), strict=True)) if c == want]
+            yield batch.select(["cls", "text"]).take(pa.array(same, pa.int64()))
+
+    return run
+
+
 def _overlaps(size: int):
     """Rows (a, b, overlap, na, nb) of pairs with both texts; overlaps are over whole sets."""
 
@@ -140,69 +181,74 @@ class JaccardJoin:
 
     def __init__(self, docs: DataFrame, percent: int = 75, size: int = 5, id_col: str = "doc_id", text_col: str = "text"):
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+        self.docs = self.docs.withColumn("key", row_key(F.col("doc_id"), F.col("text")))
         self.percent, self.size = percent, size
         self.spark = docs.sparkSession
         self.ws = Workspace(self.spark, "ngram-join")
         small_batches(self.spark)
 
     def profile(self) -> DataFrame:
-        """(doc_id, n, cls) of every row; also gathers the sketch."""
-        shape = "doc_id long, n long, cls long, slice int, part long, counts binary"
+        """(doc_id, key, n, cls, signature) of every row; also gathers the sketch."""
+        shape = f"doc_id long, key long, n long, cls binary, {', '.join(f'{s} long' for s in SIGNS)}, slice int, part long, counts binary"
         both = self.ws.save(self.docs.mapInArrow(_profile(self.size), shape), "profile")
         self.ranks = sketch.classes(sketch.total(both.filter("counts IS NOT NULL").select("slice", "part", "counts")))
-        return both.filter("n IS NOT NULL").select("doc_id", "n", "cls")
+        return both.filter("n IS NOT NULL").drop("slice", "part", "counts")
 
     def columns(self) -> DataFrame:
-        """Prefix columns that two classes or more share, with their neighbours in size order."""
+        """Prefix columns that two classes or more share, and the first classes of like size in each."""
         ranks = self.spark.sparkContext.broadcast(self.ranks)  # 1 MB whatever the input
-        cells = self.docs.mapInArrow(_prefixes(self.size, self.percent, ranks), "col long, cls long, n int, pos int")
+        cells = self.docs.select("text").mapInArrow(_prefixes(self.size, self.percent, ranks), "col long, cls binary, n int, pos int, rare int")
         hot = F.shiftrightunsigned("col", 56) > 0
-        cells = cells.withColumn("salt", F.when(hot, F.pmod("cls", F.lit(HOT_SALTS))).otherwise(0).cast("int"))
-        by = Window.partitionBy("col", "salt").orderBy("n", "cls")
-        whole = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        shared = (
-            cells.withColumns(
-                {
-                    "first": F.first("cls").over(whole),
-                    "first_n": F.first("n").over(whole),
-                    "last": F.last("cls").over(whole),
-                    "prev": F.lag("cls").over(by),
-                    "prev_n": F.lag("n").over(by),
-                }
-            )
-            # within a column rows are in order of size and class, so one class alone has first = last
-            .filter((F.col("first") != F.col("last")) | hot)
+        size = F.log("n") / F.log(F.lit(100.0 / self.percent))
+        cells = cells.withColumns(
+            {
+                "salt": F.when(hot, F.pmod(F.xxhash64("cls"), F.lit(HOT_SALTS))).otherwise(0).cast("int"),
+                "band0": F.floor(size / 2).cast("int"),
+                "band1": F.floor((size + 1) / 2).cast("int"),
+            }
         )
-        return self.ws.save(shared, "columns")
+        by = Window.partitionBy("col", "salt").orderBy("band0", "rare", "cls")
+        whole = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        # in this order a class that several tasks have met stands together, so one class alone has first = last
+        shared = cells.withColumns({"first": F.first("cls").over(whole), "last": F.last("cls").over(whole), "before": F.lag("cls").over(by)})
+        shared = shared.filter(((F.col("first") != F.col("last")) | hot) & ~F.col("before").eqNullSafe(F.col("cls")))
+        for band in ("band0", "band1"):
+            alike = Window.partitionBy("col", "salt", band).orderBy("rare", "cls")
+            alike = alike.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            some = F.array(*[F.nth_value(F.struct("rare", "cls", "n"), i + 1).over(alike) for i in range(HEADS)])
+            shared = shared.withColumn(f"of_{band}", F.filter(some, lambda h: h < F.struct("rare", "cls", "n")))
+        heads = F.array_union("of_band0", "of_band1").alias("heads")
+        return self.ws.save(shared.select("col", "cls", "n", "pos", "rare", "salt", "band0", heads), "columns")
 
     def near(self, x: str, y: str) -> Column:
         """Sizes that allow the similarity."""
         return F.least(x, y) * 100 >= F.greatest(x, y) * self.percent
 
+    def need(self, n: str, m: str) -> Column:
+        """The least overlap that reaches the similarity."""
+        return F.ceil((F.col(n) + F.col(m)) * self.percent / (100.0 + self.percent) - 1e-9)
+
     def enough(self, n: str, m: str, shared: Column) -> Column:
         """Whether ``shared`` prefix columns leave the overlap that the sizes need within reach.
 
         All common columns up to the smaller of the two last prefix columns are prefix columns
         of both; beyond it one row has ``n - prefix`` columns left, ``ceil(t n) - 1``.
         """
-        need = F.ceil((F.col(n) + F.col(m)) * self.percent / (100.0 + self.percent) - 1e-9)
         left = F.ceil(F.greatest(n, m) * self.percent / 100.0 - 1e-9) - 1
-        return shared + left >= need
+        return shared + left >= self.need(n, m)
 
     def first_round(self, columns: DataFrame) -> DataFrame:
-        """Pairs of neighbours and of each row with its column's first; linear in the columns.
+        """Pairs of each row with the heads of its columns; linear in the columns.
 
         Pairs that these columns alone don't support are left to the second round.
         """
-        to_prev = columns.select("cls", F.col("prev").alias("other"), "n", F.col("prev_n").alias("m"))
-        to_first = columns.filter("NOT (first <=> prev)").select("cls", F.col("first").alias("other"), "n", F.col("first_n").alias("m"))
-        # the salts of a hot column meet through their firsts
-        heads = columns.filter(F.shiftrightunsigned("col", 56) > 0).groupBy("col", "salt").agg(
-            F.first("first").alias("cls"), F.first("first_n").alias("n")
-        )
-        chain = Window.partitionBy("col").orderBy("n", "cls")
-        to_head = heads.select("cls", F.lag("cls").over(chain).alias("other"), "n", F.lag("n").over(chain).alias("m"))
-        pairs = to_prev.union(to_first).union(to_head).filter("other IS NOT NULL AND other <> cls")
+        pairs = columns.select("cls", "n", F.explode("heads").alias("head")).select("cls", "n", F.col("head.cls").alias("other"), F.col("head.n").alias("m"))
+        # the salts of a hot column meet through the first of each
+        hot = columns.filter(F.shiftrightunsigned("col", 56) > 0)
+        firsts = hot.groupBy("col", "band0", "salt").agg(F.min(F.struct("rare", "cls", "n")).alias("one"))
+        chain = Window.partitionBy("col", "band0").orderBy("one")  # HOT_SALTS rows at most
+        chained = firsts.withColumn("head", F.lag("one").over(chain)).filter("head IS NOT NULL")
+        pairs = pairs.union(chained.select("one.cls", "one.n", F.col("head.cls").alias("other"), F.col("head.n").alias("m")))
         return (
             pairs.filter(self.near("n", "m"))
             .groupBy(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b"))
@@ -211,49 +257,29 @@ class JaccardJoin:
             .select("a", "b")
         )
 
-    def labelled(self, columns: DataFrame, linked: DataFrame, name: str) -> tuple[DataFrame, int, int]:
-        """Cells (col, cls, n, pos, comp) after the links, their number, and that of the products across components."""
+    def second_round(self, columns: DataFrame, linked: DataFrame, signs: DataFrame, done: DataFrame) -> DataFrame:
+        """Pairs across the components of ``linked``: counts of all their shared columns, within the bounds."""
         labels = connected_components(linked, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
-        cells = columns.select("col", "cls", "n", "pos").distinct().join(labels, "cls", "left")
-        cells = self.ws.save(cells.withColumn("comp", F.coalesce("comp", "cls")), name)
-        by_comp = cells.groupBy("col", "comp").agg(F.count("*").cast("double").alias("k"))
-        by_col = by_comp.groupBy("col").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("own"))
-        size, across = by_col.agg(F.sum("k"), F.sum((F.col("k") * F.col("k") - F.col("own")) / 2)).first()
-        return cells, int(size or 0), int(across or 0)
-
-    def star_round(self, cells: DataFrame, number: int) -> DataFrame:
-        """Pairs of each row with its columns' first rows in STARS orders that all columns share."""
-        firsts = [
-            F.min(F.struct(F.xxhash64("cls", F.lit(number * STARS + i)).alias("h"), "cls", "n", "comp")).alias(f"first{i}")
-            for i in range(STARS)
-        ]
-        heads = (
-            cells.groupBy("col").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), *firsts)
+        own, of_col = Window.partitionBy("cls"), Window.partitionBy("col")
+        cells = (
+            columns.select("col", "cls", "n", "pos")
+            .withColumn("live", F.count("*").over(own))
+            .join(labels, "cls", "left")
+            .withColumn("comp", F.coalesce("comp", "cls"))
+            .withColumns({"x": F.min("comp").over(of_col), "y": F.max("comp").over(of_col)})
             .filter("x <> y")
-            .select("col", F.posexplode(F.array(*[f"first{i}" for i in range(STARS)])).alias("star", "head"))
-            .select("col", "star", F.col("head.cls").alias("other"), F.col("head.n").alias("m"), F.col("head.comp").alias("comp2"))
+            .drop("x", "y")
         )
-        return (
-            cells.join(heads, "col")
-            .filter((F.col("comp") != F.col("comp2")) & self.near("n", "m"))
-            .groupBy("star", F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b"))
-            .agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("m").alias("m"))
-            .filter(self.enough("n", "m", F.col("shared")))
-            .select("a", "b")
-            .distinct()
-        )
-
-    def second_round(self, cells: DataFrame, done: DataFrame) -> DataFrame:
-        """Pairs across components: counts of all their shared columns, against the bounds."""
-        open_cols = cells.groupBy("col").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("col")
-        left = cells.join(open_cols, "col", "left_semi")
-        right = left.select("col", *[F.col(c).alias(f"{c}2") for c in ("cls", "n", "pos", "comp")])
-        need = F.ceil((F.col("n") + F.col("n2")) * self.percent / (100.0 + self.percent) - 1e-9)
+        left = self.ws.save(cells.join(signs, "cls"), "open")
+        right = left.select("col", *[F.col(c).alias(f"{c}2") for c in left.columns if c != "col"])
         rest = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
+        need = self.need("n", "n2")
+        differ = reduce(lambda x, y: x + y, [F.bit_count(F.col(s).bitwiseXOR(F.col(f"{s}2"))) for s in SIGNS])
         pairs = (
             left.join(right, "col")
             .filter("cls < cls2 AND comp <> comp2")
             .filter(self.near("n", "n2") & (F.least("pos", "pos2") + rest >= need))
+            .filter(self.enough("n", "n2", F.least("live", "live2")) & (differ <= F.col("n") + F.col("n2") - 2 * need))
             .groupBy(F.col("cls").alias("a"), F.col("cls2").alias("b"))
             .agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("n2").alias("m"))
             .filter(self.enough("n", "m", F.col("shared")))
@@ -264,56 +290,55 @@ class JaccardJoin:
     def links(self, pairs: DataFrame, members: DataFrame, name: str) -> DataFrame:
         """The pairs whose exact similarity reaches the bound; one text of each class is fetched."""
         ids = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct().join(members, "cls")
-        ids = self.ws.save(ids.select("cls", "doc_id"), f"ids-{name}")
-        few = ids.count() <= BROADCAST_IDS
-        found = self.docs.join(F.broadcast(ids) if few else ids, "doc_id").select("cls", "text")
-        texts = self.ws.save(found, f"texts-{name}")
+        ids = self.ws.save(ids.select("cls", "key"), f"ids-{name}")
+        wanted = ids.count()
+        found = self.docs.select("key", "text").join(F.broadcast(ids) if wanted <= BROADCAST_IDS else ids, "key")
+        texts = self.ws.save(found.select("cls", "text").mapInArrow(_of_class(self.size), "cls binary, text string"), f"texts-{name}")
+        if texts.count() > wanted:  # rows that repeat id and text
+            texts = texts.dropDuplicates(["cls"])
         with_a = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
         with_both = with_a.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
         counted = with_both.select("a", "b", "text_a", "text_b").mapInArrow(
-            _overlaps(self.size), "a long, b long, overlap long, na long, nb long"
+            _overlaps(self.size), "a binary, b binary, overlap long, na long, nb long"
         )
         linked = counted.filter(F.col("overlap") * 100 >= (F.col("na") + F.col("nb") - F.col("overlap")) * self.percent)
-        linked = self.ws.save(linked.select("a", "b").distinct(), f"links-{name}")
+        linked = self.ws.save(linked.select("a", "b"), f"links-{name}")
         self.ws.drop(f"texts-{name}", f"ids-{name}")
         return linked
 
     def components(self) -> DataFrame:
+        """(doc_id, key, n_shingles, component_id) of every row."""
         rows = self.profile()
-        members = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+        members = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), *[F.max(s).alias(s) for s in SIGNS])
+        members = self.ws.save(members, "members")
         columns = self.columns()
         pairs = self.ws.save(self.first_round(columns), "pairs")
         one = self.links(pairs, members, "one")
-        cells, size, across = self.labelled(columns, one, "cells")
-        star, before = 0, None
-        # star rounds while they pay: each is linear in the cells, the second round in the products
-        while across > STAR_WORK * size and (before is None or across <= STAR_GAIN * before):
-            new = self.ws.save(self.star_round(cells, star).join(pairs, ["a", "b"], "left_anti"), f"star-{star}")
-            one = one.union(self.links(new, members, f"star-{star}"))
-            pairs, before = pairs.union(new), across
-            self.ws.drop("cells" if star == 0 else f"cells-{star - 1}")
-            cells, size, across = self.labelled(columns, one, f"cells-{star}")
-            star += 1
-        more = self.ws.save(self.second_round(cells, pairs), "more")
+        more = self.ws.save(self.second_round(columns, one, members.select("cls", *SIGNS), pairs), "more")
+        self.ws.drop("columns", "open", "pairs")
         two = self.links(more, members, "two")
-        joined = one.select("a", "b").union(two.select("a", "b"))
-        final = connected_components(joined, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
-        final = self.ws.save(final, "final")
-        least = (
-            members.join(final, "cls", "left")
-            .groupBy(F.coalesce("comp", "cls").alias("label"))
-            .agg(F.min("doc_id").alias("component_id"))
-        )
-        by_class = members.select("cls").join(final, "cls", "left").select("cls", F.coalesce("comp", "cls").alias("label"))
-        by_class = self.ws.save(by_class.join(least, "label").select("cls", "component_id"), "by_class")
-        self.ws.drop("columns", "cells", "pairs", "more", "final", *[f"cells-{i}" for i in range(star)], *[f"star-{i}" for i in range(star)])
-        return rows.join(by_class, "cls", "left").select(
+        joined = connected_components(one.union(two), "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("label"))
+        joined = self.ws.save(joined.join(members.select("cls", "doc_id"), "cls"), "joined")
+        # the classes of a large component are dealt over salts to meet its smallest id
+        salts = F.array(*map(F.lit, range(HOT_SALTS)))
+        least = joined.groupBy("label").agg(F.min("doc_id").alias("component_id")).withColumn("salt", F.explode(salts))
+        salted = joined.withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(HOT_SALTS)).cast("int")).join(least, ["label", "salt"])
+        alone = members.join(joined, "cls", "left_anti").select("cls", F.col("doc_id").alias("component_id"))
+        by_class = self.ws.save(salted.select("cls", "component_id").union(alone), "by_class")
+        self.ws.drop("members", "more", "joined", "links-one", "links-two")
+        return rows.select("doc_id", "key", "n", "cls").join(by_class, "cls", "left").select(
             "doc_id",
+            "key",
             F.col("n").alias("n_shingles"),
             F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         )
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """Tells rows of one id apart by their texts."""
+    return F.xxhash64(doc_id, text)
+
+
 def jaccard_components(docs: DataFrame, percent: int = 75, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id.
 
@@ -321,19 +346,24 @@ def jaccard_components(docs: DataFrame, percent: int = 75, size: int = 5, id_col
     distinct ``size``-word shingles, the whole sequence where there are fewer words, empty
     without words or text (null: without). Rows link when 100 * overlap >= percent * union; an
     empty set links with nothing. component_id is the smallest doc_id reachable by links, the
-    row's own included. Repeated rows share a component; an empty table gives no rows; other
-    columns are ignored. N-grams and sets are compared by 64-bit fingerprints.
+    row's own included. Repeated rows share a component; rows that repeat an id with another
+    text link by their own text. A null id links like any other and is never the smallest; where
+    all ids of a component are null, so is component_id. An empty table gives no rows; other
+    columns are ignored. N-grams are compared by 64-bit fingerprints, sets by 128-bit ones.
     """
-    return JaccardJoin(docs, percent, size, id_col, text_col).components()
+    return JaccardJoin(docs, percent, size, id_col, text_col).components().drop("key")
 
 
 def drop_near_copies(docs: DataFrame, percent: int = 75, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, that with the smallest id, with all its columns.
 
-    Rows without any shingle stay, and so do all rows of the id that stays.
+    Rows without any shingle stay, and so do all rows of a component that have the id that stays
+    (where all its ids are null: all of them). Columns of any name may be there.
     """
     ws = Workspace(docs.sparkSession, "drop-near-copies")
-    found = jaccard_components(docs, percent, size, id_col, text_col)
-    gone = ws.save(found.filter("component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    found = JaccardJoin(docs, percent, size, id_col, text_col).components()
+    gone = found.filter("NOT (component_id <=> doc_id)").select(F.col("doc_id").alias("id"), "key").distinct()
+    gone = ws.save(gone.select(F.struct(F.col("id").alias("id"), F.col("key").alias("key")).alias(free_name(docs, "gone"))), "gone")
     few = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, F.col(id_col) == F.col("gone_id"), "left_anti")
+    own = F.struct(F.col(id_col).cast("long").alias("id"), row_key(F.col(id_col).cast("long"), F.col(text_col)).alias("key"))
+    return docs.join(F.broadcast(gone) if few else gone, own.eqNullSafe(F.col(gone.columns[0])), "left_anti")
