@@ -23,8 +23,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
         near.join(least, "u")
         .filter("v > u AND v <> m")
         .select(F.col("v").alias("u"), F.col("m").alias("v"))
-        .distinct()
-    )
+    )  # a small star follows and leaves out what repeats
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
