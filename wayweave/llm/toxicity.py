@@ -23,7 +23,7 @@ FACTORS = 4
 STEM = 5
 #: Squared gradients that weights and vectors of buckets which tell nothing alone begin with, so
 #: that chance moves them little; the best of some values by cross-validation on training rows.
-DAMP = 1.0, 1e-4
+DAMP = 10.0, 1e-3
 
 
 def _terms(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
