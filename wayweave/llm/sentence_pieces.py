@@ -397,6 +397,17 @@ def decode_ids(v: Vocabulary, ids: np.ndarray) -> bytes:
     return b"".join(map(v.spelled.__getitem__, ids.tolist()))[1:]
 
 
+def same_text(v: Vocabulary, ids: np.ndarray, best: np.ndarray) -> bool:
+    """Whether two segmentations spell the same text; only what lies between their common ends is decoded."""
+    n = min(len(ids), len(best))
+    differ = np.flatnonzero(ids[:n] != best[:n])
+    head = int(differ[0]) if len(differ) else n
+    differ = np.flatnonzero(ids[len(ids) - n :] != best[len(best) - n :])
+    tail = min(n - 1 - int(differ[-1]) if len(differ) else n, n - head)
+    spelled = lambda x: b"".join(map(v.spelled.__getitem__, x[head : len(x) - tail].tolist()))
+    return spelled(ids) == spelled(best)
+
+
 def _segmentations(texts: Iterable[list[tuple[float, np.ndarray]]]) -> pa.Array:
     """array<struct(score, ids)> of each text's segmentations."""
     score, ids, ends, counts = [], [], [0], [0]
@@ -463,7 +474,8 @@ def encode_documents(docs: DataFrame, v: Vocabulary, nbest: int = 4, id_col: str
                 crc.append(zlib.crc32(found[0][1].astype("<i4").tobytes()))
                 scores.append([s for s, _ in found])
                 counts.append([len(p) for _, p in found])
-                exact.append(all(decode_ids(shared.value, p) == text for _, p in found))
+                best = found[0][1]
+                exact.append(decode_ids(shared.value, best) == text and all(same_text(shared.value, p, best) for _, p in found[1:]))
                 paths.append(found)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(score, pa.float64()), pa.array(scores, pa.list_(pa.float64())), pa.array(counts, pa.list_(pa.int64())), pa.array(crc, pa.int64()), pa.array(exact, pa.bool_()), _segmentations(paths)],
