@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayweave.plans.workspace import Workspace
+from wayweave.plans.workspace import Workspace, free_name
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -81,11 +81,15 @@ BROADCAST_KEYS = 500_000
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that exact_dedup keeps, with all their columns; rows that repeat id and text all stay."""
+    """The rows that exact_dedup keeps, with all their columns; rows that repeat id and text all stay.
+
+    Columns of any name may be there.
+    """
     ws = Workspace(docs.sparkSession, "drop-copies")
     found = exact_dedup(docs, id_col, text_col).filter("NOT kept")
-    gone = ws.save(found.select(F.col("doc_id").alias("gone_id"), "text_sha256").distinct(), "gone")
+    name = free_name(docs, "gone")
+    gone = ws.save(found.select(F.struct(F.col("doc_id").alias("id"), F.col("text_sha256").alias("digest")).alias(name)).distinct(), "gone")
     few = gone.count() <= BROADCAST_KEYS
     digest = F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).cast("binary"), 256)
-    same = F.col(id_col).eqNullSafe(F.col("gone_id")) & (digest == F.col("text_sha256"))
-    return docs.join(F.broadcast(gone) if few else gone, same, "left_anti")
+    own = F.struct(F.col(id_col).alias("id"), digest.alias("digest"))
+    return docs.join(F.broadcast(gone) if few else gone, own.eqNullSafe(F.col(name)), "left_anti")
