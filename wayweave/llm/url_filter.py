@@ -43,7 +43,7 @@ def rule_for(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     Rules are a parameter list, so they travel inside the plan. Equal lengths: the first given.
     """
     best = F.lit(None).cast("struct<verdict:string,rule:string>")
-    for verdict, rule_host, rule_path in sorted(rules, key=lambda r: len(r[1]) + len(r[2])):
+    for verdict, rule_host, rule_path in sorted(reversed(rules), key=lambda r: len(r[1]) + len(r[2])):
         fits = ((host == rule_host) | host.endswith("." + rule_host)) & path.startswith(rule_path)
         named = F.struct(F.lit(verdict).alias("verdict"), F.lit(rule_host + rule_path).alias("rule"))
         best = F.when(fits, named).otherwise(best)
