@@ -140,19 +140,20 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", per_la
     """Learn from labelled rows.
 
     Document frequencies cover all rows of ``train``. Centroids are fitted on at most
-    ``per_lang`` rows of each language, taken by hash of the text, and on the ``langs``
-    commonest languages. Rows without language are left out; null texts are empty.
+    ``per_lang`` rows of each language, taken by hash of the text. Rows without language are left
+    out; null texts are empty. The model is broadcast, so more than ``langs`` languages raise.
     """
     small_batches(train.sparkSession)
     rows = train.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(lang_col).alias("lang")).filter("lang IS NOT NULL")
     df = sketch.total(rows.select("text").mapInArrow(_frequencies, sketch.SCHEMA), size=DIMS + 1)
     idf = np.log((1 + df[DIMS]) / (1 + df[:DIMS])).astype(np.float32) + np.float32(1)
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(langs).select("lang")
+    if rows.select("lang").distinct().limit(langs + 1).count() > langs:
+        raise ValueError(f"more than {langs} languages")
     # sample by hashes first, so that texts are not sorted, and from SALTS parts of a language,
     # so that no task orders a whole language
     mark = rows.select("lang", F.xxhash64("text").alias("mark")).distinct()
     first = Window.partitionBy("lang", F.pmod("mark", F.lit(SALTS))).orderBy("mark")
-    chosen = mark.join(F.broadcast(common), "lang").withColumn("k", F.row_number().over(first))
+    chosen = mark.withColumn("k", F.row_number().over(first))
     chosen = chosen.filter(F.col("k") <= max(1, per_lang // SALTS)).drop("k")
     sample = (
         rows.withColumn("mark", F.xxhash64("text"))
