@@ -199,19 +199,14 @@ class JaccardJoin:
         ranks = self.spark.sparkContext.broadcast(self.ranks)  # 1 MB whatever the input
         cells = self.docs.select("text").mapInArrow(_prefixes(self.size, self.percent, ranks), "col long, cls binary, n int, pos int, rare int")
         hot = F.shiftrightunsigned("col", 56) > 0
-        size = F.log("n") / F.log(F.lit(100.0 / self.percent))
-        cells = cells.withColumns(
-            {
-                "salt": F.when(hot, F.pmod(F.xxhash64("cls"), F.lit(HOT_SALTS))).otherwise(0).cast("int"),
-                "band0": F.floor(size / 2).cast("int"),
-                "band1": F.floor((size + 1) / 2).cast("int"),
-            }
-        )
-        by = Window.partitionBy("col", "salt").orderBy("band0", "rare", "cls")
+        cells = cells.withColumn("salt", F.when(hot, F.pmod(F.xxhash64("cls"), F.lit(HOT_SALTS))).otherwise(0).cast("int"))
+        by = Window.partitionBy("col", "salt").orderBy("n", "rare", "cls")
         whole = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         # in this order a class that several tasks have met stands together, so one class alone has first = last
         shared = cells.withColumns({"first": F.first("cls").over(whole), "last": F.last("cls").over(whole), "before": F.lag("cls").over(by)})
         shared = shared.filter(((F.col("first") != F.col("last")) | hot) & ~F.col("before").eqNullSafe(F.col("cls")))
+        size = F.log("n") / F.log(F.lit(100.0 / self.percent))
+        shared = shared.withColumns({"band0": F.floor(size / 2).cast("int"), "band1": F.floor((size + 1) / 2).cast("int")})
         for band in ("band0", "band1"):
             alike = Window.partitionBy("col", "salt", band).orderBy("rare", "cls")
             alike = alike.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
