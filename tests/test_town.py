@@ -76,3 +76,28 @@ def test_clip(spark):
     assert sorted(r.ward for r in got.collect()) == ["North", "North"]
     names = spark.createDataFrame([("North",), ("East",)], "name string")
     assert [r.name for r in stages.missing_names(wards, names).collect()] == ["East"]
+
+
+def test_width_stage(spark, tmp_path):
+    """Four blocks of 40 m with streets of 6 m between them: archives' features to centrelines."""
+    deg = lambda x, y: crs.to_degrees(F.lit(float(x)), F.lit(float(y)))
+    ring = lambda a, b, c, d: F.array(*[deg(x, y) for x, y in ((a, b), (c, b), (c, d), (a, d), (a, b))])
+    rings = [("AdmArea", "North", ring(-100, -100, 200, 200))]
+    rings += [("RdEdg", None, ring(x, y, x + 40, y + 40)) for x in (0, 46) for y in (0, 46)]
+    points = lambda c: F.transform(c, lambda p: geom.point(p["lon"], p["lat"]))
+    features = None
+    for i, (ftype, name, line) in enumerate(rings):
+        kind = "Polygon" if name else "LineString"
+        one = spark.range(1).select(
+            F.lit("m").alias("member"), F.lit(str(i)).alias("file"), F.lit(ftype).alias("ftype"), F.lit(name).cast("string").alias("name"), F.lit(kind).alias("kind"), points(line).alias("line")
+        )
+        features = one if features is None else features.unionAll(one)
+    layers.write_layer(features, str(tmp_path / "features"), ["ftype"])
+    stages.main(["clip", "--root", str(tmp_path)], spark)
+    stages.main(["width", "--root", str(tmp_path)], spark)
+    lines = layers.read_layer(spark, str(tmp_path / "centrelines"))
+    assert {r.ward for r in lines.select("ward").distinct().collect()} == {"North"}
+    mid = lines.select(((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y"), "width_m")
+    street = mid.filter("x BETWEEN 40 AND 46 AND y BETWEEN 8 AND 32").collect()
+    assert len(street) >= 20 and all(4 <= r.width_m <= 8 for r in street)
+    assert not mid.filter("x BETWEEN 3 AND 37 AND y BETWEEN 3 AND 37").count()

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from wayweave.functions.numeric import round_scaled
 from wayweave.operators.components import connected_components
+from wayweave.plans.workspace import Workspace
 
 #: Coordinates are kept to half a metre; the key has x and y, shifted to be positive.
 GRID, SHIFT, MUL = 2, 1_000_000, 10_000_000
@@ -109,7 +110,9 @@ def contract(edges: DataFrame, told: DataFrame | None = None) -> DataFrame:
     Closed rings and streets with one end are dropped. Parallel streets are all kept. ``told``
     is ``chains(edges)`` where that is at hand.
     """
-    told = chains(edges) if told is None else told
+    if told is None:
+        ws = Workspace(edges.sparkSession, "contract")
+        told = ws.save(chains(ws.save(edges, "edges")), "chains")
     sums = told.groupBy("ward", "chain").agg(
         F.sum("length").alias("length"), F.sum(F.col("length") * F.col("width_m")).alias("by_width")
     )

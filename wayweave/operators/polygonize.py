@@ -52,9 +52,9 @@ def prune_dangles(edges: DataFrame, ws: Workspace, rounds: int = 200) -> DataFra
         ws.drop(f"prune{i - 1}")
         left = now.count()
         if left == count:
-            break
+            return now
         count = left
-    return now
+    raise RuntimeError(f"dangling edges are left after {rounds} rounds")
 
 
 def faces(edges: DataFrame) -> DataFrame:

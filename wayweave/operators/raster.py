@@ -33,19 +33,24 @@ def pixel_point(ix: Column, iy: Column, left: Column, top: Column, pixel: float
     return geom.point(left + (ix + 0.5) * pixel, top - (iy + 0.5) * pixel)
 
 
-def rasterise(polygons: DataFrame, pixel: float = PIXEL) -> DataFrame:
-    """(poly_id, px, py): world pixels whose centre lies in the polygon.
-
-    polygons have poly_id and polygon. Each row of pixels is cut by the rings at its centre
-    height; pixels between odd and even cuts are inside. Pixels are listed per scan line, so
-    the work follows the polygon's area.
-    """
+def border_edges(polygons: DataFrame) -> DataFrame:
+    """(poly_id, ax, ay, bx, by): the edges of all rings of polygons (poly_id, polygon)."""
     ring = F.explode("polygon")
     edges = polygons.select("poly_id", ring.alias("ring"))
     n = F.size("ring")
     edges = edges.filter(n >= 2).select("poly_id", "ring", F.explode(F.sequence(F.lit(1), n - 1)).alias("i"))
     a, b = F.element_at("ring", F.col("i")), F.element_at("ring", F.col("i") + 1)
-    edges = edges.select("poly_id", a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")).filter("ay <> by")
+    return edges.select("poly_id", a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by"))
+
+
+def rasterise(polygons: DataFrame, pixel: float = PIXEL) -> DataFrame:
+    """(poly_id, px, py): world pixels whose centre lies in the polygon.
+
+    polygons have poly_id and polygon, or are border edges in any order. Each row of pixels is
+    cut by the border at its centre height; pixels between odd and even cuts are inside. Pixels
+    are listed per scan line, so the work follows the polygon's area.
+    """
+    edges = (polygons if "ax" in polygons.columns else border_edges(polygons)).filter("ay <> by")
     low, high = F.least("ay", "by"), F.greatest("ay", "by")
     first = F.ceil(low / pixel - 0.5)
     last = F.ceil(high / pixel - 0.5) - 1
@@ -72,8 +77,8 @@ def near_pixels(segs: DataFrame, reach: float, pixel: float = PIXEL) -> DataFram
 def road_mask(road_edges: DataFrame, blocks: DataFrame, water: DataFrame | None = None, pixel: float = PIXEL) -> DataFrame:
     """(px, py) of street space: near a road edge, in no block, in no water unless a bridge.
 
-    road_edges are segments, blocks and water have poly_id and polygon. Water stays where a road
-    edge is within the bridge reach.
+    road_edges are segments, blocks and water polygons or border edges (see rasterise). Water
+    stays where a road edge is within the bridge reach.
     """
     mask = near_pixels(road_edges, NEAR, pixel)
     mask = mask.join(rasterise(blocks, pixel).select("px", "py"), ["px", "py"], "left_anti")
@@ -85,13 +90,14 @@ def road_mask(road_edges: DataFrame, blocks: DataFrame, water: DataFrame | None
 
 
 def into_tiles(mask: DataFrame, side: float = TILE, pad: float = PAD, pixel: float = PIXEL) -> DataFrame:
-    """(tx, ty, ix, iy): world pixels in each tile they fall into, padding included."""
+    """(tx, ty, ix, iy, ...): world pixels (px, py, ...) in each tile they fall into, padding included."""
     n, p = int(side / pixel), int(pad / pixel)
     span = lambda c: F.sequence(F.floor((F.col(c) - p) / n), F.floor((F.col(c) + p) / n))
-    tiles = mask.select("px", "py", F.explode(span("px")).alias("tx")).select("*", F.explode(span("py")).alias("ty"))
+    rest = [c for c in mask.columns if c not in ("px", "py")]
+    tiles = mask.select("*", F.explode(span("px")).alias("tx")).select("*", F.explode(span("py")).alias("ty"))
     ix = F.col("px") - F.col("tx") * n + p
     iy = F.lit(n + p - 1) - (F.col("py") - F.col("ty") * n)
-    return tiles.select("tx", "ty", ix.cast("int").alias("ix"), iy.cast("int").alias("iy")).filter(f"ix BETWEEN 0 AND {n + 2 * p - 1} AND iy BETWEEN 0 AND {n + 2 * p - 1}")
+    return tiles.select("tx", "ty", ix.cast("int").alias("ix"), iy.cast("int").alias("iy"), *rest).filter(f"ix BETWEEN 0 AND {n + 2 * p - 1} AND iy BETWEEN 0 AND {n + 2 * p - 1}")
 
 
 def distance_rows(mask: DataFrame, reach: int) -> DataFrame:

@@ -55,8 +55,10 @@ def segments_of(layer: DataFrame, key: str = "line_id") -> DataFrame:
 
 
 def blocks_of(road_edges: DataFrame, cell: float = 200.0) -> DataFrame:
-    """(face, area) of the blocks that road edges enclose."""
-    return polygonize.polygonize(segments_of(road_edges), cell, LEAST_BLOCK_M2)
+    """(poly_id, ax, ay, bx, by): border edges of the blocks that road edges enclose."""
+    found = polygonize.faces(polygonize.node_lines(segments_of(road_edges), cell)).filter(F.col("area") > LEAST_BLOCK_M2)
+    a, b = graph.key_point(F.col("u")), graph.key_point(F.col("v"))
+    return found.select(F.col("face").alias("poly_id"), a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by"))
 
 
 def centrelines_for(road_edges: DataFrame, blocks: DataFrame, water: DataFrame | None, side: float = raster.TILE, pad: float = raster.PAD) -> DataFrame:
@@ -66,6 +68,18 @@ def centrelines_for(road_edges: DataFrame, blocks: DataFrame, water: DataFrame |
     return raster.centrelines(raster.skeleton_pixels(tiles, int((side + 2 * pad) / raster.PIXEL)), side, pad)
 
 
+def water_of(layer: DataFrame) -> DataFrame:
+    """(poly_id, polygon) of water areas."""
+    return layer.filter("ftype = 'WA' AND kind = 'Polygon'").select(F.col("line_id").alias("poly_id"), F.array("line").alias("polygon"))
+
+
+def in_wards(lines: DataFrame, wards: DataFrame, cell: float = 500.0) -> DataFrame:
+    """Centrelines that meet a ward, with the smallest ward name."""
+    ends = F.array(geom.point(F.col("x0"), F.col("y0")), geom.point(F.col("x1"), F.col("y1")))
+    keyed = lines.withColumns({"line_id": F.concat_ws("/", "x0", "y0", "x1", "y1"), "line": ends})
+    return grid.first_meeting(keyed, wards, cell).withColumnRenamed("name", "ward").drop("line", "line_id")
+
+
 def topology(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges) of centrelines (ward, x0, y0, x1, y1, width_m); edges carry their simplified line."""
     numbered = lines.withColumn("seg_id", F.xxhash64("ward", "x0", "y0", "x1", "y1")).dropDuplicates(["ward", "seg_id"])
@@ -139,7 +153,7 @@ def weights_from(path: str | None) -> dict[str, float]:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     ap = argparse.ArgumentParser(prog="wayweave")
-    ap.add_argument("stage", choices=["parse", "clip", "layers", "network", "slope", "recost", "report"])
+    ap.add_argument("stage", choices=["parse", "clip", "width", "layers", "network", "slope", "recost", "report"])
     ap.add_argument("--root", required=True, help="folder of the layers")
     ap.add_argument("--archives", nargs="*", default=[], help="folders of zip archives")
     ap.add_argument("--mesh", nargs="*")
@@ -169,6 +183,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif a.stage == "clip":
         features = read("features")
         save(clip(features, wards_of(features, a.ward)), "layer", ["ftype", "ward"])
+    elif a.stage == "width":
+        layer, ws = of_wards(read("layer")), Workspace(spark, "width")
+        edges = layer.filter("ftype = 'RdEdg'")
+        lines = ws.save(centrelines_for(edges, ws.save(blocks_of(edges), "blocks"), water_of(layer)), "lines")
+        save(in_wards(lines, wards_of(read("features"), a.ward)), "centrelines", ["ward"])
+        ws.drop("blocks", "lines")
     elif a.stage == "layers":
         layer = of_wards(read("layer"))
         save(stats.mesh_density(buildings_of(layer.filter("ftype = 'BldA'"))).withColumn("part", F.floor(F.col("mesh_x") / 100)), "density", ["part"])

@@ -15,7 +15,7 @@ from wayweave.functions import cost, crs, geom
 from wayweave.functions.numeric import clip, nan_to_null, round_scaled
 from wayweave.operators import graph, grid, polygonize, raster, stats
 from wayweave.operators.components import connected_components
-from wayweave.plans import export
+from wayweave.plans import export, stages
 from wayweave.sources import archives, layers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -332,8 +332,9 @@ def exists_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT n_name FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)")
 def missing_wards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("name"))
     seen = table(spark, sf_dir, "supplier").filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("n_nationkey"))
-    return table(spark, sf_dir, "nation").join(seen, "n_nationkey", "left_anti").select("n_name")
+    return stages.missing_names(names.join(seen, "n_nationkey"), names.select("name")).select(F.col("name").alias("n_name"))
 
 
 @query(
@@ -443,44 +444,46 @@ def largest_component_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A connected grid of streets in each ward, with lengths from the parts."""
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), "p_size", "p_retailprice")
+    """A grid of 14 by 14 streets in each ward, with lengths from the parts; as many wards as those fill."""
     n = 14
-    cell = part.filter(F.col("k") < n * n)
-    x, y = F.col("k") % n, F.floor(F.col("k") / n)
-    here = cell.select("k", "p_size", "p_retailprice", x.alias("x"), y.alias("y"))
-    east = here.filter(F.col("x") < n - 1).select("k", (F.col("k") + 1).alias("v"), "p_size", "p_retailprice", F.lit(0).alias("d"))
-    north = here.filter(F.col("y") < n - 1).select("k", (F.col("k") + n).alias("v"), "p_size", "p_retailprice", F.lit(1).alias("d"))
+    ward = F.concat(F.lit("w"), F.floor(F.col("p_partkey") / (n * n)).cast("string"))
+    part = table(spark, sf_dir, "part").select(ward.alias("ward"), "p_partkey", (F.col("p_partkey") % (n * n)).alias("k"), "p_size")
+    here = part.withColumns({"x": F.col("k") % n, "y": F.floor(F.col("k") / n)})
+    east = here.filter(F.col("x") < n - 1).withColumns({"v": F.col("k") + 1, "d": F.lit(0)})
+    north = here.filter(F.col("y") < n - 1).withColumns({"v": F.col("k") + n, "d": F.lit(1)})
     return east.unionAll(north).select(
-        F.lit("w").alias("ward"), (F.col("k") * 2 + F.col("d")).alias("edge_id"), F.col("k").alias("u"), "v",
+        "ward", (F.col("p_partkey") * 2 + F.col("d")).alias("edge_id"), F.col("k").alias("u"), "v",
         (F.col("p_size") + F.col("d") * 3.0).alias("length_m"), (1.0 + (F.col("k") % 9)).alias("width_m"), ((F.col("k") % 10) / 10.0).alias("blockage_risk"),
     )
 
 
-def _trips(spark: SparkSession) -> DataFrame:
-    return spark.range(20).select(F.lit("w").alias("ward"), F.col("id").alias("trip_id"), (F.col("id") * 7 % 90 + 1).alias("origin"), (195 - F.col("id") * 5).alias("goal"))
+def _trips(edges: DataFrame) -> DataFrame:
+    """Twenty trips in each ward."""
+    each = edges.select("ward").distinct().select("ward", F.explode(F.sequence(F.lit(0), F.lit(19))).alias("trip_id"))
+    return each.select("ward", "trip_id", (F.col("trip_id") * 7 % 90 + 1).alias("origin"), (195 - F.col("trip_id") * 5).alias("goal"))
 
 
-STREETS = """c AS (SELECT p_partkey AS k, p_size FROM part WHERE p_partkey < 196),
-  st AS (SELECT k * 2 AS edge_id, k AS u, k + 1 AS v, p_size::DOUBLE AS len FROM c WHERE k % 14 < 13 UNION ALL SELECT k * 2 + 1, k, k + 14, p_size + 3.0 FROM c WHERE floor(k / 14) < 13)"""
+STREETS = """c AS (SELECT 'w' || (p_partkey // 196) AS ward, p_partkey % 196 AS k, p_size FROM part),
+  st AS (SELECT ward, k AS u, k + 1 AS v, p_size::DOUBLE AS len FROM c WHERE k % 14 < 13 UNION ALL SELECT ward, k, k + 14, p_size + 3.0 FROM c WHERE k // 14 < 13)"""
 
 
 @query(
-    f"""WITH RECURSIVE {STREETS}, way AS (SELECT u, v, len FROM st UNION ALL SELECT v, u, len FROM st),
-      trips AS (SELECT t AS trip_id, t * 7 % 90 + 1 AS origin, 195 - t * 5 AS goal FROM (SELECT unnest(range(20)) AS t)),
-      front(origin, node, cost, step) AS (SELECT DISTINCT origin, origin, 0.0::DOUBLE, 0 FROM trips
-        UNION ALL SELECT origin, node, min(cost), any_value(step) FROM (SELECT f.origin, w.v AS node, f.cost + w.len AS cost, f.step + 1 AS step FROM front f JOIN way w ON f.node = w.u WHERE f.step < 60) GROUP BY 1, 2),
-      best AS (SELECT origin, node, min(cost) AS cost FROM front GROUP BY 1, 2)
-    SELECT 'w' AS ward, trip_id, cost FROM trips t JOIN best b ON t.origin = b.origin AND t.goal = b.node"""
+    f"""WITH RECURSIVE {STREETS}, way AS (SELECT ward, u, v, len FROM st UNION ALL SELECT ward, v, u, len FROM st),
+      trips AS (SELECT ward, t AS trip_id, t * 7 % 90 + 1 AS origin, 195 - t * 5 AS goal FROM (SELECT DISTINCT ward FROM st), (SELECT unnest(range(20)) AS t)),
+      front(ward, origin, node, cost, step) AS (SELECT DISTINCT ward, origin, origin, 0.0::DOUBLE, 0 FROM trips
+        UNION ALL SELECT ward, origin, node, min(cost), any_value(step) FROM (SELECT f.ward, f.origin, w.v AS node, f.cost + w.len AS cost, f.step + 1 AS step FROM front f JOIN way w ON f.ward = w.ward AND f.node = w.u WHERE f.step < 60) GROUP BY 1, 2, 3),
+      best AS (SELECT ward, origin, node, min(cost) AS cost FROM front GROUP BY 1, 2, 3)
+    SELECT t.ward, trip_id, cost FROM trips t JOIN best b ON t.ward = b.ward AND t.origin = b.origin AND t.goal = b.node"""
 )
 def shortest_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.shortest_paths(streets(spark, sf_dir), _trips(spark), "length_m").select("ward", "trip_id", "cost")
+    edges = streets(spark, sf_dir)
+    return graph.shortest_paths(edges, _trips(edges), "length_m").select("ward", "trip_id", "cost")
 
 
 @query()
 def weighted_route_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = streets(spark, sf_dir)
-    return stats.route_shares(graph.shortest_paths(edges, _trips(spark), "length_m"), edges)
+    return stats.route_shares(graph.shortest_paths(edges, _trips(edges), "length_m"), edges)
 
 
 @query()
@@ -520,63 +523,78 @@ def pixel_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {PIXELS}, s(dy, dx) AS (VALUES (0, 1), (1, 0), (1, 1), (1, -1)),
-      p AS (SELECT a.ix + 0.5 + dx / 2.0 AS mx, 200.0 - (a.iy + 0.5) - dy / 2.0 AS my, (a.v + b.v) / 2.0 AS w FROM px a, s, px b WHERE b.iy = a.iy + dy AND b.ix = a.ix + dx)
-    SELECT count(*) AS pieces, {r("sum(w)", 2)} AS width FROM p WHERE mx >= 60 AND mx < 160 AND my >= 60 AND my < 160 AND w <= 50"""
+    f"""WITH {PIXELS}, s(dy, dx) AS (VALUES (0, 1), (-1, 0), (-1, 1), (-1, -1)),
+      p AS (SELECT (a.ix + 0.5)::DOUBLE AS x0, (a.iy + 0.5)::DOUBLE AS y0, (b.ix + 0.5)::DOUBLE AS x1, (b.iy + 0.5)::DOUBLE AS y1, (a.v / 8.0 + b.v / 8.0) / 2.0 AS w
+        FROM px a, s, px b WHERE b.iy = a.iy + dy AND b.ix = a.ix + dx)
+    SELECT x0, y0, x1, y1, {r("w", 1)} AS width_m FROM p WHERE w <= 50"""
 )
 def core_tile_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = raster.adjacent_pixels(pixels(spark, sf_dir), ["tile"], "v")
-    mx, my = F.col("ix") + 0.5 + F.col("dx") / 2.0, F.lit(200.0) - (F.col("iy") + 0.5) - F.col("dy") / 2.0
-    w = (F.col("a") + F.col("b")) / 2.0
-    kept = pairs.filter((mx >= 60) & (mx < 160) & (my >= 60) & (my < 160) & (w <= raster.WIDEST))
-    return kept.agg(F.count("*").alias("pieces"), round_scaled(F.sum(w), 2).alias("width"))
+    """Tiles overlap; each pair of pixels belongs to the core of one, so the tiles leave no trace."""
+    own = pixels(spark, sf_dir).select(F.col("ix").cast("long").alias("px"), F.col("iy").cast("long").alias("py"), (F.col("v") / 8.0).alias("width_px"))
+    return raster.centrelines(raster.into_tiles(own, 100.0, 20.0), 100.0, 20.0)
 
 
 @query(
-    f"""WITH {PIXELS}, m AS (SELECT iy, ix, (iy, ix) NOT IN (SELECT (iy, ix) FROM px WHERE v < 50) AS on_ FROM (SELECT unnest(range(80)) AS iy), (SELECT unnest(range(160)) AS ix)),
-      d AS (SELECT a.iy, a.ix, min((a.iy - b.iy) * (a.iy - b.iy) + (a.ix - b.ix) * (a.ix - b.ix)) AS d2 FROM m a JOIN m b ON NOT b.on_ AND abs(a.iy - b.iy) <= 5 AND abs(a.ix - b.ix) <= 5 WHERE a.on_ GROUP BY 1, 2)
+    f"""WITH {PIXELS}, m AS (SELECT iy, ix, (iy, ix) NOT IN (SELECT (iy, ix) FROM px WHERE v < 50) AS on_
+        FROM (SELECT unnest(range((SELECT max(iy) + 1 FROM px))) AS iy), (SELECT unnest(range((SELECT max(ix) + 1 FROM px))) AS ix)),
+      d AS (SELECT a.iy, a.ix, min((a.iy - b.iy) * (a.iy - b.iy) + (a.ix - b.ix) * (a.ix - b.ix)) AS d2
+        FROM (SELECT iy, ix FROM m WHERE NOT on_) b, (SELECT unnest(range(-5, 6)) AS dy), (SELECT unnest(range(-5, 6)) AS dx), m a WHERE a.on_ AND a.iy = b.iy + dy AND a.ix = b.ix + dx GROUP BY 1, 2)
     SELECT iy, ix, {r("sqrt(d2)", 6)} AS dist FROM d WHERE d2 <= 25"""
 )
 def edt_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    off = pixels(spark, sf_dir).filter("v < 50").select(F.col("iy").cast("long").alias("iy"), F.col("ix").cast("long").alias("ix"), F.lit(False).alias("off"))
-    dense = spark.range(80 * 160).select(F.lit(0).alias("tile"), F.expr("id div 160").alias("iy"), (F.col("id") % 160).alias("ix"))
-    mask = dense.join(off, ["iy", "ix"], "left").select("tile", "iy", "ix", F.coalesce("off", F.lit(True)).alias("on"))
+    own = pixels(spark, sf_dir)
+    off = own.filter("v < 50").select("iy", "ix", F.lit(False).alias("off"))
+    ends = own.agg(F.max("iy").alias("h"), F.max("ix").alias("w"))
+    rows = ends.select("w", F.explode(F.sequence(F.lit(0), "h")).alias("iy")).repartition("iy")
+    dense = rows.select(F.lit(0).alias("tile"), "iy", F.explode(F.sequence(F.lit(0), "w")).alias("ix"))
+    mask = dense.join(off, ["iy", "ix"], "left").select("tile", F.col("iy").cast("long").alias("iy"), F.col("ix").cast("long").alias("ix"), F.coalesce("off", F.lit(True)).alias("on"))
     return raster.distance_rows(mask, 5).select("iy", "ix", round_scaled(F.col("dist"), 6).alias("dist"))
 
 
 @query(
-    f"""WITH {PIXELS} SELECT iy, ix FROM px WHERE (iy, ix) NOT IN (SELECT (iy, ix) FROM px WHERE v > 60)
-      AND NOT ((iy, ix) IN (SELECT (iy, ix) FROM px WHERE v < 5) AND (iy, ix) NOT IN (SELECT (iy, ix) FROM px WHERE ix % 2 = 0))"""
+    f"""WITH {POINTS}, {AREAS}, seg AS (SELECT x AS x0, x + 40 AS x1, y AS y0 FROM points),
+      wide AS (SELECT *, unnest(range(floor((x0 - 25) / 10)::BIGINT, floor((x1 + 25) / 10)::BIGINT + 1)) AS px FROM seg),
+      every_ AS (SELECT *, unnest(range(floor((y0 - 25) / 10)::BIGINT, floor((y0 + 25) / 10)::BIGINT + 1)) AS py FROM wide),
+      mid AS (SELECT px, py, (px + 0.5)::DOUBLE * 10 AS cx, (py + 0.5)::DOUBLE * 10 AS cy, x0, x1, y0 FROM every_),
+      near AS (SELECT px, py, cx, cy, min(sqrt(power(greatest(x0 - cx, cx - x1, 0.0), 2) + power(cy - y0, 2))) AS d FROM mid GROUP BY 1, 2, 3, 4),
+      told AS (SELECT px, py, d, coalesce(bool_or(cx >= ax + 100 AND cx < ax + 500 AND cy >= ay + 100 AND cy < ay + 400), false) AS block,
+        coalesce(bool_or(cx >= ax + 600 AND cx < ax + 900 AND cy >= ay + 100 AND cy < ay + 500), false) AS wet FROM near, areas WHERE d <= 25 GROUP BY 1, 2, 3)
+    SELECT px, py FROM told WHERE NOT block AND NOT (wet AND d > 6)"""
 )
 def mask_algebra(spark: SparkSession, sf_dir: str) -> DataFrame:
-    near = pixels(spark, sf_dir).select("iy", "ix", "v")
-    block, water = near.filter("v > 60").select("iy", "ix"), near.filter("v < 5").select("iy", "ix")
-    bridge = near.filter("ix % 2 = 0").select("iy", "ix")
-    wet = water.join(bridge, ["iy", "ix"], "left_anti")
-    return near.select("iy", "ix").join(block, ["iy", "ix"], "left_anti").join(wet, ["iy", "ix"], "left_anti")
+    x, y = F.col("x"), F.col("y")
+    edges = points(spark, sf_dir).select(x.alias("x0"), y.alias("y0"), (x + 40.0).alias("x1"), y.alias("y1"))
+    k = F.col("n_nationkey")
+    ax, ay = (k % 5) * 1000.0, F.floor(k / 5) * 600.0
+    boxes = lambda a, b, c, d: table(spark, sf_dir, "nation").select(F.col("n_name").alias("poly_id"), geom.box(ax + a, ay + b, ax + c, ay + d).alias("polygon"))
+    return raster.road_mask(edges, boxes(100.0, 100.0, 500.0, 400.0), boxes(600.0, 100.0, 900.0, 500.0), 10.0)
 
 
 @query()
 def thinning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tiles = pixels(spark, sf_dir).select(F.lit(0).cast("long").alias("tx"), F.floor(F.col("ix") / 240).alias("ty"), (F.col("ix") % 240).alias("ix"), "iy")
-    return raster.skeleton_pixels(tiles.filter("iy < 240"), 240).select("ty", "iy", "ix", round_scaled(F.col("width_px"), 3).alias("width_px"))
+    iy, ix = F.col("iy"), F.col("ix")
+    tiles = pixels(spark, sf_dir).select(F.floor(iy / 240).alias("tx"), F.floor(ix / 240).alias("ty"), (ix % 240).alias("ix"), (iy % 240).alias("iy"))
+    return raster.skeleton_pixels(tiles, 240).select("tx", "ty", "iy", "ix", round_scaled(F.col("width_px"), 3).alias("width_px"))
 
 
 @query(
     f"""WITH {POINTS}, a AS (SELECT floor(y / 100)::INT AS row_, floor(x / 100)::INT AS col_, avg(area) AS e FROM points WHERE point_id % 3 = 0 GROUP BY 1, 2),
       b AS (SELECT floor(y / 100)::INT AS row_, floor(x / 100)::INT AS col_, max(area) AS e FROM points WHERE point_id % 3 = 1 GROUP BY 1, 2)
     SELECT point_id, {r("coalesce(a.e, b.e)", 4)} AS elev FROM points LEFT JOIN a ON floor(y / 100)::INT = a.row_ AND floor(x / 100)::INT = a.col_
-      LEFT JOIN b ON floor(y / 100)::INT = b.row_ AND floor(x / 100)::INT = b.col_ WHERE y < 5000 AND x < 5000"""
+      LEFT JOIN b ON floor(y / 100)::INT = b.row_ AND floor(x / 100)::INT = b.col_"""
 )
 def dem_priority_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = points(spark, sf_dir).filter("y < 5000 AND x < 5000")
-    every = points(spark, sf_dir)
+    own = points(spark, sf_dir)
     at = [F.floor(F.col("y") / 100).cast("int").alias("r"), F.floor(F.col("x") / 100).cast("int").alias("col")]
-    a = every.filter("point_id % 3 = 0").groupBy(*at).agg(F.avg("area").alias("elev")).withColumn("kind", F.lit("A"))
-    b = every.filter("point_id % 3 = 1").groupBy(*at).agg(F.max("area").alias("elev")).withColumn("kind", F.lit("B"))
-    # one mesh over a plane of 5 by 5 kilometres taken as degrees; rows count from the north
-    dem = a.unionByName(b).select(F.lit("m").alias("mesh"), "kind", (49 - F.col("r")).alias("row"), "col", "elev")
-    meta = spark.createDataFrame([("m", 0.0, 0.0, 5.0, 5.0, 50, 50)], "mesh string, lat0 double, lon0 double, lat_span double, lon_span double, rows int, cols int")
+    third = F.col("point_id") % 3
+    both = own.groupBy(*at).agg(F.avg(F.when(third == 0, F.col("area"))).alias("A"), F.max(F.when(third == 1, F.col("area"))).alias("B"))
+    # meshes of 5 by 5 kilometres, taken as degrees, as far north as the points go; rows count from the north
+    mesh = lambda k: F.format_string("m%06d", k)
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("elev")) for k in "AB"])).alias("e")
+    dem = both.select("r", "col", kinds).select(mesh(F.expr("r div 50")).alias("mesh"), "e.kind", (49 - F.col("r") % 50).alias("row"), "col", "e.elev").filter("elev IS NOT NULL")
+    north = own.agg(F.max(F.floor(F.col("y") / 5000)).alias("n")).select(F.explode(F.sequence(F.lit(0).cast("long"), "n")).alias("k"))
+    five, fifty = F.lit(5.0), F.lit(50)
+    meta = north.select(mesh("k").alias("mesh"), (F.col("k") * 5.0).alias("lat0"), F.lit(0.0).alias("lon0"), five.alias("lat_span"), five.alias("lon_span"), fifty.alias("rows"), fifty.alias("cols"))
     # a cell's centre stands for its points, so that no point is on a border
     mid = lambda c: (F.floor(F.col(c) / 100) + 0.5) / 10.0
     found = raster.sample_elevation(own.select("point_id", mid("y").alias("lat"), mid("x").alias("lon")), meta, dem, ["A", "B"])

@@ -31,10 +31,10 @@ SKIP_ITEMS = ["01", "11"]
 GML = "http://www.opengis.net/gml/3.2"
 
 
-def discover(spark: SparkSession, *folders: str, pattern: str = VECTOR) -> DataFrame:
+def discover(spark: SparkSession, *folders: str, pattern: str = VECTOR, required: bool = True) -> DataFrame:
     """(path, member) of the inner archives whose name matches; unreadable archives are left out.
 
-    Raises where no archive holds any.
+    Raises where no archive holds any, if one is ``required``.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(list(dict.fromkeys(folders)))
 
@@ -49,7 +49,7 @@ def discover(spark: SparkSession, *folders: str, pattern: str = VECTOR) -> DataF
             yield pd.DataFrame(rows, columns=["path", "member"])
 
     found = files.select("path", "content").mapInPandas(names, "path string, member string").filter(F.col("member").rlike(pattern))
-    if not found.limit(1).count():
+    if required and not found.limit(1).count():
         raise FileNotFoundError(f"no archive with members like {pattern}")
     return found
 
@@ -75,7 +75,10 @@ def read_members(spark: SparkSession, members: DataFrame, *folders: str) -> Data
             for path, content, names in zip(pdf.path, pdf.content, pdf.members, strict=True):
                 outer = zipfile.ZipFile(io.BytesIO(content))
                 for name in sorted(names):
-                    inner = zipfile.ZipFile(io.BytesIO(outer.read(name)))
+                    try:
+                        inner = zipfile.ZipFile(io.BytesIO(outer.read(name)))
+                    except zipfile.BadZipFile:  # as unreadable outer archives, left out
+                        continue
                     for file in sorted(inner.namelist()):
                         base = file.rsplit("/", 1)[-1]
                         skip = base.startswith("fmdid") or any(f"-{s}-" in base for s in SKIP_FEATURES)
@@ -83,7 +86,8 @@ def read_members(spark: SparkSession, members: DataFrame, *folders: str) -> Data
                             yield pd.DataFrame({"path": [path], "member": [name], "file": [file], "xml": [inner.read(file)]})
 
     # one row a batch: an archive may be large
-    return files.select("path", "content").join(wanted, "path").mapInPandas(unzip, "path string, member string, file string, xml binary")
+    # the list of chosen members is small beside the archives, which must not be shuffled
+    return files.select("path", "content").join(F.broadcast(wanted), "path").mapInPandas(unzip, "path string, member string, file string, xml binary")
 
 
 def parse_features(files: DataFrame) -> DataFrame:
