@@ -57,11 +57,11 @@ def _sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 
 def _class(prints: np.ndarray) -> bytes:
-    """128-bit fingerprint of a set."""
+    """96-bit fingerprint of a set."""
     with np.errstate(over="ignore"):
         one = mix(prints.copy()).sum(dtype=U64) ^ (prints * U64(0x9FB21C651E98DF25)).sum(dtype=U64)
         two = mix(prints ^ U64(0xA0761D6478BD642F)).sum(dtype=U64)
-        return mix(np.array([one + U64(len(prints)), two], U64)).tobytes()
+        return mix(np.array([one + U64(len(prints)), two], U64)).tobytes()[:12]
 
 
 def _signature(prints: np.ndarray) -> np.ndarray:
@@ -265,18 +265,19 @@ class JaccardJoin:
             .filter("x <> y")
             .drop("x", "y")
         )
-        left = self.ws.save(cells.join(signs, "cls"), "open")
-        right = left.select("col", *[F.col(c).alias(f"{c}2") for c in left.columns if c != "col"])
-        rest = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
-        need = self.need("n", "n2")
-        differ = reduce(lambda x, y: x + y, [F.bit_count(F.col(s).bitwiseXOR(F.col(f"{s}2"))) for s in SIGNS])
+        cells = self.ws.save(cells.join(signs, "cls"), "open")
+        # both sides have the same columns, so Spark shuffles them once
+        l, r = (lambda c: F.col(f"l.{c}")), (lambda c: F.col(f"r.{c}"))
+        rest = F.least(l("n") - l("pos"), r("n") - r("pos"))
+        need = self.need("l.n", "r.n")
+        differ = reduce(lambda x, y: x + y, [F.bit_count(l(s).bitwiseXOR(r(s))) for s in SIGNS])
         pairs = (
-            left.join(right, "col")
-            .filter("cls < cls2 AND comp <> comp2")
-            .filter(self.near("n", "n2") & (F.least("pos", "pos2") + rest >= need))
-            .filter(self.enough("n", "n2", F.least("live", "live2")) & (differ <= F.col("n") + F.col("n2") - 2 * need))
-            .groupBy(F.col("cls").alias("a"), F.col("cls2").alias("b"))
-            .agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("n2").alias("m"))
+            cells.alias("l").join(cells.alias("r"), l("col") == r("col"))
+            .filter((l("cls") < r("cls")) & (l("comp") != r("comp")))
+            .filter(self.near("l.n", "r.n") & (F.least("l.pos", "r.pos") + rest >= need))
+            .filter(self.enough("l.n", "r.n", F.least("l.live", "r.live")) & (differ <= l("n") + r("n") - 2 * need))
+            .groupBy(l("cls").alias("a"), r("cls").alias("b"))
+            .agg(F.count("*").alias("shared"), F.first("l.n").alias("n"), F.first("r.n").alias("m"))
             .filter(self.enough("n", "m", F.col("shared")))
             .select("a", "b")
         )
@@ -291,9 +292,9 @@ class JaccardJoin:
         texts = self.ws.save(found.select("cls", "text").mapInArrow(_of_class(self.size), "cls binary, text string"), f"texts-{name}")
         if texts.count() > wanted:  # rows that repeat id and text
             texts = texts.dropDuplicates(["cls"])
-        with_a = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
-        with_both = with_a.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
-        counted = with_both.select("a", "b", "text_a", "text_b").mapInArrow(
+        with_both = pairs.join(texts.alias("x"), F.col("a") == F.col("x.cls")).join(texts.alias("y"), F.col("b") == F.col("y.cls"))
+        with_both = with_both.select("a", "b", F.col("x.text").alias("text_a"), F.col("y.text").alias("text_b"))
+        counted = with_both.mapInArrow(
             _overlaps(self.size), "a binary, b binary, overlap long, na long, nb long"
         )
         linked = counted.filter(F.col("overlap") * 100 >= (F.col("na") + F.col("nb") - F.col("overlap")) * self.percent)
@@ -344,7 +345,7 @@ def jaccard_components(docs: DataFrame, percent: int = 75, size: int = 5, id_col
     row's own included. Repeated rows share a component; rows that repeat an id with another
     text link by their own text. A null id links like any other and is never the smallest; where
     all ids of a component are null, so is component_id. An empty table gives no rows; other
-    columns are ignored. N-grams are compared by 64-bit fingerprints, sets by 128-bit ones.
+    columns are ignored. N-grams are compared by 64-bit fingerprints, sets by 96-bit ones.
     """
     return JaccardJoin(docs, percent, size, id_col, text_col).components().drop("key")
 
