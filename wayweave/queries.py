@@ -362,21 +362,27 @@ def tile_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streets on a lattice: unit segments east, north and diagonal, in three wards."""
-    line = table(spark, sf_dir, "lineitem").filter("l_quantity >= 42")
-    x, y, d = F.col("l_orderkey") % 97, F.col("l_suppkey") % 61, F.col("l_linenumber") % 3
-    segs = line.select(F.col("l_returnflag").alias("ward"), x.alias("x"), y.alias("y"), d.alias("d"), "l_quantity")
-    segs = segs.groupBy("ward", "x", "y", "d").agg(F.max("l_quantity").alias("q"))
+    """Streets on a strip of seven lanes that grows with the orders, in wards of 5,000 units.
+
+    Every line item is a unit segment: most go on along their lane, which makes long chains, one
+    in fifty leads to the next lane and one in fifty goes there diagonally.
+    """
+    turn = F.col("l_partkey") % 50
+    segs = table(spark, sf_dir, "lineitem").select(
+        F.floor(F.col("l_orderkey") / 4).alias("x"), F.col("l_linenumber").alias("y"),
+        F.when(turn == 48, 1).when(turn == 49, 2).otherwise(0).alias("d"), "l_quantity",
+    )
+    segs = segs.groupBy("x", "y", "d").agg(F.max("l_quantity").cast("double").alias("width_m"))
     ex, ey = F.when(F.col("d") != 1, 1).otherwise(0), F.when(F.col("d") != 0, 1).otherwise(0)
     return segs.select(
-        "ward", ((F.col("x") * 1000 + F.col("y")) * 10 + F.col("d")).alias("seg_id"), F.col("x").cast("double").alias("x0"), F.col("y").cast("double").alias("y0"),
-        (F.col("x") + ex).cast("double").alias("x1"), (F.col("y") + ey).cast("double").alias("y1"), (F.col("q") - 40.0).alias("width_m"),
+        F.floor(F.col("x") / 5000).alias("ward"), ((F.col("x") * 10 + F.col("y")) * 10 + F.col("d")).alias("seg_id"), F.col("x").cast("double").alias("x0"),
+        F.col("y").cast("double").alias("y0"), (F.col("x") + ex).cast("double").alias("x1"), (F.col("y") + ey).cast("double").alias("y1"), "width_m",
     )
 
 
-LATTICE = """seg0 AS (SELECT l_returnflag AS ward, l_orderkey % 97 AS x, l_suppkey % 61 AS y, l_linenumber % 3 AS d, max(l_quantity) AS q
-    FROM lineitem WHERE l_quantity >= 42 GROUP BY 1, 2, 3, 4),
-  seg1 AS (SELECT ward, (x * 1000 + y) * 10 + d AS seg_id, x, y, x + CASE WHEN d <> 1 THEN 1 ELSE 0 END AS x1, y + CASE WHEN d <> 0 THEN 1 ELSE 0 END AS y1, q - 40.0 AS width_m FROM seg0),
+LATTICE = """seg0 AS (SELECT l_orderkey // 4 AS x, l_linenumber AS y, CASE l_partkey % 50 WHEN 48 THEN 1 WHEN 49 THEN 2 ELSE 0 END AS d, max(l_quantity)::DOUBLE AS width_m
+    FROM lineitem GROUP BY 1, 2, 3),
+  seg1 AS (SELECT x // 5000 AS ward, (x * 10 + y) * 10 + d AS seg_id, x, y, x + CASE WHEN d <> 1 THEN 1 ELSE 0 END AS x1, y + CASE WHEN d <> 0 THEN 1 ELSE 0 END AS y1, width_m FROM seg0),
   seg AS (SELECT *, (x * 2 + 1000000) * 10000000 + y * 2 + 1000000 AS u, (x1 * 2 + 1000000) * 10000000 + y1 * 2 + 1000000 AS v,
     sqrt(((x1 - x) * (x1 - x) + (y1 - y) * (y1 - y))::DOUBLE) AS length FROM seg1),
   node AS (SELECT ward, u AS n FROM seg UNION SELECT ward, v FROM seg),
@@ -423,24 +429,31 @@ def edge_contraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.contract(noded(spark, sf_dir)).select("ward", "chain", "u", "v", "length_m", "width_m")
 
 
-SPARSE = "(SELECT DISTINCT l_orderkey AS u, l_orderkey + l_linenumber AS v FROM lineitem WHERE l_quantity >= 46)"
-COMPONENTS = f"""WITH RECURSIVE e AS {SPARSE}, way AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
-  reach(n, m) AS (SELECT u, u FROM way UNION SELECT r.n, w.v FROM reach r JOIN way w ON r.m = w.u), comp AS (SELECT n AS node, min(m) AS component FROM reach GROUP BY 1)"""
+TREES = """t AS (SELECT 'i' || l_suppkey || '-' || l_orderkey || '-' || l_linenumber AS node, s_nationkey AS k FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+    UNION SELECT 's' || s_suppkey, s_nationkey FROM supplier UNION SELECT 'n' || s_nationkey, s_nationkey FROM supplier)"""
 
 
-def sparse_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = table(spark, sf_dir, "lineitem").filter("l_quantity >= 46")
-    return line.select(F.col("l_orderkey").alias("u"), (F.col("l_orderkey") + F.col("l_linenumber")).alias("v")).distinct()
+def trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges (ward, u, v) of one tree a nation, a ward a region: items to suppliers to nations."""
+    supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
+    at = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_regionkey").alias("ward"), "s_suppkey", "s_nationkey")
+    name = lambda kind, *keys: F.concat(F.lit(kind), F.concat_ws("-", *[F.col(k).cast("string") for k in keys]))
+    items = table(spark, sf_dir, "lineitem").join(at, F.col("l_suppkey") == F.col("s_suppkey"))
+    items = items.select("ward", name("i", "l_suppkey", "l_orderkey", "l_linenumber").alias("u"), name("s", "l_suppkey").alias("v"))
+    return items.union(at.select("ward", name("s", "s_suppkey"), name("n", "s_nationkey")))
 
 
-@query(f"{COMPONENTS} SELECT node, component FROM comp")
+@query(f"WITH {TREES} SELECT node, min(node) OVER (PARTITION BY k) AS component FROM t")
 def components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return connected_components(sparse_edges(spark, sf_dir))
+    return connected_components(trees(spark, sf_dir))
 
 
-@query(f"{COMPONENTS}, s AS (SELECT component, count(*) AS n FROM comp GROUP BY 1) SELECT 'all' AS ward, {r('max(n) * 100.0 / sum(n)', 1)} AS lcc_pct FROM s")
+@query(
+    f"""WITH {TREES}, s AS (SELECT n_regionkey AS ward, k, count(*) AS n FROM t JOIN nation ON k = n_nationkey GROUP BY 1, 2)
+    SELECT ward, {r('max(n) * 100.0 / sum(n)', 1)} AS lcc_pct FROM s GROUP BY 1"""
+)
 def largest_component_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.largest_component_pct(sparse_edges(spark, sf_dir).withColumn("ward", F.lit("all")))
+    return graph.largest_component_pct(trees(spark, sf_dir))
 
 
 def streets(spark: SparkSession, sf_dir: str) -> DataFrame:
