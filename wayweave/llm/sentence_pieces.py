@@ -261,23 +261,30 @@ def a_star(units: list[tuple[list[float], list[list[tuple[int, float, int]]]]],
 
 #: Units are padded to the next of these lengths, or to their own if longer.
 WIDTHS = [4, 6, 8, 10, 12, 14, 16, 20, 24, 32, 48, 64]
+#: Lattices are built for as many units at a time as fill this many nodes, or for one unit.
+NODES = 1 << 16
+#: Segmentations leave a task in batches of about so many piece ids.
+IDS = 1 << 19
 
 
 class Units:
-    """Best paths, gaps and, on demand, edges of a set of distinct units."""
+    """Best paths, gaps and, where the lattices are kept, edges on demand of a set of distinct units."""
 
-    def __init__(self, v: Vocabulary, d: np.ndarray, sums: np.ndarray, start: np.ndarray, size: np.ndarray):
+    def __init__(self, v: Vocabulary, d: np.ndarray, sums: np.ndarray, start: np.ndarray, size: np.ndarray, keep: bool = True):
         n = len(size)
         self.top, self.gap = np.zeros(n), np.zeros(n)
         group = np.searchsorted(WIDTHS, size)
         wide = group == len(WIDTHS)
         group = np.where(wide, len(WIDTHS) + np.frexp(size / 64)[1], group)
-        self.groups, self.row, self.group = {}, np.zeros(n, np.int64), group
+        self.kept, self.row, self.of = [], np.zeros(n, np.int64), np.zeros(n, np.int64)
         ids, who = [], []
-        for g in np.unique(group):
-            mine = np.flatnonzero(group == g)
+        alike = [np.flatnonzero(group == g) for g in np.unique(group)]
+        steps = [max(1, NODES // (int(size[m].max()) + 1)) for m in alike]
+        for mine in (m[i : i + step] for m, step in zip(alike, steps, strict=True) for i in range(0, len(m), step)):
             x = lattices(v, d, sums, start[mine], size[mine])
-            self.groups[int(g)] = x
+            if keep:
+                self.of[mine] = len(self.kept)
+                self.kept.append(x)
             self.row[mine] = np.arange(len(mine))
             self.top[mine] = x.forward[np.arange(len(mine)), x.size]
             self.gap[mine] = x.gap
@@ -292,7 +299,7 @@ class Units:
 
     def edges(self, u: int) -> tuple:
         if u not in self.known:
-            self.known[u] = self.groups[int(self.group[u])].edges(int(self.row[u]))
+            self.known[u] = self.kept[int(self.of[u])].edges(int(self.row[u]))
         return self.known[u]
 
 
@@ -332,7 +339,7 @@ def _best_of(v: Vocabulary, d: np.ndarray, sums: np.ndarray, prints: np.ndarray,
         cache = v.cache = UnitCache()
     new = np.flatnonzero(cache.find(prints) < 0)
     if len(new):
-        cache.add(prints[new], Units(v, d, sums, start[new], size[new]))
+        cache.add(prints[new], Units(v, d, sums, start[new], size[new], keep=False))
     return cache, cache.find(prints)
 
 
@@ -342,7 +349,7 @@ def encode(v: Vocabulary, column: pa.Array, nbest: int) -> Iterator[list[tuple[f
     A space is put before a text that has any byte, as the vocabulary's words begin with one.
     """
     data, offs = buffers(column)
-    for i, j in pieces(offs, 8 * PIECE):
+    for i, j in pieces(offs, 2 * PIECE):
         size = np.diff(offs[i : j + 1])
         new = offs[i : j + 1] - offs[i] + np.concatenate([[0], np.cumsum(size > 0)])
         d = np.full(int(new[-1]), 0x20, np.uint8)
@@ -466,21 +473,31 @@ def encode_documents(docs: DataFrame, v: Vocabulary, nbest: int = 4, id_col: str
 
         for batch in batches:
             data, offs = buffers(batch.column("text"))
-            score, n, crc, scores, counts, exact, paths = [], [], [], [], [], [], []
+            rows, held, first = [], 0, 0
             for t, found in enumerate(encode(shared.value, batch.column("text"), nbest)):
-                text = data[offs[t] : offs[t + 1]].tobytes()
-                score.append(found[0][0])
-                n.append(len(found[0][1]))
-                crc.append(zlib.crc32(found[0][1].astype("<i4").tobytes()))
-                scores.append([s for s, _ in found])
-                counts.append([len(p) for _, p in found])
-                best = found[0][1]
-                exact.append(decode_ids(shared.value, best) == text and all(same_text(shared.value, p, best) for _, p in found[1:]))
-                paths.append(found)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(score, pa.float64()), pa.array(scores, pa.list_(pa.float64())), pa.array(counts, pa.list_(pa.int64())), pa.array(crc, pa.int64()), pa.array(exact, pa.bool_()), _segmentations(paths)],
-                ["doc_id", "n_pieces", "score", "nbest_scores", "nbest_pieces", "ids_crc32", "exact", "nbest"],
-            )
+                text, best = data[offs[t] : offs[t + 1]].tobytes(), found[0][1]
+                exact = decode_ids(shared.value, best) == text and all(same_text(shared.value, p, best) for _, p in found[1:])
+                rows.append((found, zlib.crc32(best.astype("<i4").tobytes()), exact))
+                held += sum(len(p) for _, p in found)
+                if held >= IDS or t + 1 == batch.num_rows:
+                    yield table(batch.column("doc_id").slice(first, len(rows)), rows)
+                    rows, held, first = [], 0, t + 1
+
+    def table(ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
+        paths = [found for found, _, _ in rows]
+        return pa.RecordBatch.from_arrays(
+            [
+                ids,
+                pa.array([len(f[0][1]) for f in paths], pa.int64()),
+                pa.array([f[0][0] for f in paths], pa.float64()),
+                pa.array([[s for s, _ in f] for f in paths], pa.list_(pa.float64())),
+                pa.array([[len(p) for _, p in f] for f in paths], pa.list_(pa.int64())),
+                pa.array([c for _, c, _ in rows], pa.int64()),
+                pa.array([e for _, _, e in rows], pa.bool_()),
+                _segmentations(paths),
+            ],
+            ["doc_id", "n_pieces", "score", "nbest_scores", "nbest_pieces", "ids_crc32", "exact", "nbest"],
+        )
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
