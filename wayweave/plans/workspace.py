@@ -51,9 +51,14 @@ class Workspace:
         self.root = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and return a reader of what was written."""
+        """Write ``df`` and return a reader of what was written.
+
+        Spark removes the shuffle files of a plan when the driver's JVM finds it unreferenced, which
+        may never happen in a small job, so the JVM is asked to look; disk then holds one step's.
+        """
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
+        self.spark._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
