@@ -614,13 +614,18 @@ def dem_priority_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("point_id", round_scaled(F.col("elev"), 4).alias("elev"))
 
 
-@query()
+@query(
+    f"""WITH {AREAS}, c AS (SELECT name AS poly_id, (ax + 600)::DOUBLE AS mx, (ay + 350)::DOUBLE AS my, unnest(range((ax / 50)::BIGINT - 2, (ax / 50)::BIGINT + 26)) AS px FROM areas),
+      d AS (SELECT *, unnest(range((my / 50)::BIGINT - 9, (my / 50)::BIGINT + 10)) AS py FROM c)
+    SELECT poly_id, count(*) AS pixels, min(px) AS first_px, max(py) AS last_py FROM d WHERE abs((px + 0.5) * 50 - mx) / 603.7 + abs((py + 0.5) * 50 - my) / 351.3 < 1 GROUP BY 1"""
+)
 def rasterise_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = raster.rasterise(areas(spark, sf_dir).withColumnRenamed("name", "poly_id"), 50.0)
-    return found.groupBy("poly_id").agg(F.count("*").alias("pixels"))
-
-
-ORACLES["rasterise_areas"] = "SELECT n_name AS poly_id, (24 * 14)::BIGINT AS pixels FROM nation"
+    """Pixels of a diamond for each nation."""
+    k = F.col("n_nationkey")
+    mx, my = (k % 5) * 1000.0 + 600.0, F.floor(k / 5) * 600.0 + 350.0
+    ring = [geom.point(mx + dx, my + dy) for dx, dy in ((603.7, 0.0), (0.0, 351.3), (-603.7, 0.0), (0.0, -351.3), (603.7, 0.0))]
+    found = raster.rasterise(table(spark, sf_dir, "nation").select(F.col("n_name").alias("poly_id"), F.array(F.array(*ring)).alias("polygon")), 50.0)
+    return found.groupBy("poly_id").agg(F.count("*").alias("pixels"), F.min("px").alias("first_px"), F.max("py").alias("last_py"))
 
 
 # ---------------------------------------------------------------- shapes and text
@@ -672,13 +677,25 @@ def line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polylines(spark, sf_dir).select("vec_id", geom.first_point(line)["x"].alias("first_x"), geom.last_point(line)["y"].alias("last_y"))
 
 
-@query(f"WITH {LINES} SELECT count(*) AS n, true AS near FROM (SELECT DISTINCT vec_id FROM pts)")
+def _series(outer: str, inner: str) -> str:
+    return " + ".join(f"{a!r}::DOUBLE * {outer}({2 * (j + 1)} * xi) * {inner}({2 * (j + 1)} * eta)" for j, a in enumerate(crs.ALPHA))
+
+
+@query(
+    f"""WITH p AS (SELECT vec_id, 139.75::DOUBLE + embedding[1]::DOUBLE / 10 AS lon, 35.68::DOUBLE + embedding[2]::DOUBLE / 10 AS lat FROM embeddings),
+      s AS (SELECT *, sin(radians(lat)) AS s, radians(lon - {crs.LON0!r}::DOUBLE) AS d FROM p),
+      t AS (SELECT *, sinh(atanh(s) - {crs.E1!r}::DOUBLE * atanh({crs.E1!r}::DOUBLE * s)) AS t FROM s),
+      w AS (SELECT *, atan2(t, cos(d)) AS xi, atanh(sin(d) / sqrt(1 + t * t)) AS eta FROM t)
+    SELECT vec_id, {r(f"{crs.K0 * crs.RADIUS!r}::DOUBLE * (eta + {_series('cos', 'sinh')})", 2)} AS x,
+      {r(f"{crs.K0 * crs.RADIUS!r}::DOUBLE * (xi + {_series('sin', 'cosh')} - {crs._northing0(crs.LAT0)!r}::DOUBLE)", 2)} AS y, {r("lon", 7)} AS lon, {r("lat", 7)} AS lat FROM w"""
+)
 def projection_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plane coordinates of the first point of each line, and the degrees that they go back to."""
     lon, lat = 139.75 + F.col("line")[0]["x"] / 10.0, 35.68 + F.col("line")[0]["y"] / 10.0
-    there = polylines(spark, sf_dir).select(lon.alias("lon"), lat.alias("lat"), crs.to_plane(lon, lat).alias("p"))
+    there = polylines(spark, sf_dir).select("vec_id", crs.to_plane(lon, lat).alias("p"))
     back = there.withColumn("q", crs.to_degrees(F.col("p.x"), F.col("p.y")))
-    near = (F.abs(F.col("q.lon") - F.col("lon")) < 1e-9) & (F.abs(F.col("q.lat") - F.col("lat")) < 1e-9)
-    return back.agg(F.count("*").alias("n"), F.bool_and(near).alias("near"))
+    metres, degrees = [round_scaled(F.col(f"p.{c}"), 2).alias(c) for c in "xy"], [round_scaled(F.col(f"q.{c}"), 7).alias(c) for c in ("lon", "lat")]
+    return back.select("vec_id", *metres, *degrees)
 
 
 @query(
