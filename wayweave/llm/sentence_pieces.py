@@ -262,7 +262,7 @@ def a_star(units: list[tuple[list[float], list[list[tuple[int, float, int]]]]],
 #: Units are padded to the next of these lengths, or to their own if longer.
 WIDTHS = [4, 6, 8, 10, 12, 14, 16, 20, 24, 32, 48, 64]
 #: Lattices are built for as many units at a time as fill this many nodes, or for one unit.
-NODES = 1 << 16
+NODES = 1 << 18
 #: Segmentations leave a task in batches of about so many piece ids.
 IDS = 1 << 19
 
