@@ -14,6 +14,7 @@ from wayweave.llm.exact_dedup import exact_dedup
 from wayweave.llm.license_scan import scan_licenses
 from wayweave.llm.ngram_join import jaccard_components
 from wayweave.llm.oracles import ORACLES as ORACLES
+from wayweave.llm.periodic_runs import find_runs, run_digests, with_planted_runs
 from wayweave.llm.sentence_pieces import encode_documents, load
 from wayweave.llm.sharding import assign_shards
 from wayweave.llm.suffix_dedup import remove_repeats
@@ -84,6 +85,10 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), load(PIECES))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(find_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -96,4 +101,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_url_filter": op9_url_filter,
         "op10_sentence_pieces": op10_sentence_pieces,
+        "op13_periodic_runs": op13_periodic_runs,
     }
