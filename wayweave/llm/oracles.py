@@ -2,7 +2,7 @@
 
 The rest is held against brute force in the tests: op6 (template windows), op7 (CRC32 is no
 DuckDB function), op9 and op1, op2 (trained models), op4 (edit distance inside texts), op10
-(lattice search), op13 (CRC32, and every period of whole texts).
+(lattice search), op11 (digests), op12 (eigenvectors), op13 (CRC32, and every period of whole texts).
 """
 
 from __future__ import annotations

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wayweave.llm import language_id, toxicity
 from wayweave.llm.decontamination import find_items
 from wayweave.llm.exact_dedup import exact_dedup
+from wayweave.llm.fingerprints import compare_edited, fit_rarity
 from wayweave.llm.license_scan import scan_licenses
 from wayweave.llm.ngram_join import jaccard_components
 from wayweave.llm.oracles import ORACLES as ORACLES
@@ -19,6 +20,7 @@ from wayweave.llm.sentence_pieces import encode_documents, load
 from wayweave.llm.sharding import assign_shards
 from wayweave.llm.suffix_dedup import remove_repeats
 from wayweave.llm.url_filter import judge_urls
+from wayweave.llm.whitening import whiten
 
 #: Verdict, host and path of the url rules.
 URL_RULES = [
@@ -85,6 +87,15 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), load(PIECES))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return compare_edited(docs, fit_rarity(docs))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(find_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
 
@@ -101,5 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_url_filter": op9_url_filter,
         "op10_sentence_pieces": op10_sentence_pieces,
+        "op11_fingerprints": op11_fingerprints,
+        "op12_whitening": op12_whitening,
         "op13_periodic_runs": op13_periodic_runs,
     }
