@@ -45,8 +45,7 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v", rounds: i
     )
     now, seen = given.filter("u <> v"), None
     for i in range(rounds):
-        now = ws.save(_small_star(_large_star(now)), f"round{i}")
-        state = now.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
+        now, state = ws.save_and_tell(_small_star(_large_star(now)), f"round{i}", n=F.count("*"), mark=F.bit_xor(F.xxhash64("u", "v")))
         if i:
             ws.drop(f"round{i - 1}")
         if state == seen:

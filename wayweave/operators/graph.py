@@ -111,7 +111,7 @@ def contract(edges: DataFrame, told: DataFrame | None = None) -> DataFrame:
     is ``chains(edges)`` where that is at hand.
     """
     if told is None:
-        ws = Workspace(edges.sparkSession, "contract")
+        ws = Workspace(edges.sparkSession, "contract", release=False)
         told = ws.save(chains(ws.save(edges, "edges")), "chains")
     sums = told.groupBy("ward", "chain").agg(
         F.sum("length").alias("length"), F.sum(F.col("length") * F.col("width_m")).alias("by_width")

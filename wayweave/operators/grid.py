@@ -37,6 +37,22 @@ def with_cells(df: DataFrame, box: list[Column], size: float) -> DataFrame:
     return df.withColumn("_cell", F.explode(cells(*box, size))).withColumns({"cx": F.col("_cell.cx"), "cy": F.col("_cell.cy")}).drop("_cell")
 
 
+def through_cells(df: DataFrame, size: float, ends: tuple[str, str, str, str] = ("x0", "y0", "x1", "y1")) -> DataFrame:
+    """One row for each cell that a segment goes through, as columns cx and cy.
+
+    The segment is cut into its rows of cells, so a long diagonal lists the cells along it, not
+    those of its box.
+    """
+    x0, y0, x1, y1 = (F.col(c) for c in ends)
+    low, high = F.least(y0, y1), F.greatest(y0, y1)
+    rows = df.withColumn("cy", F.explode(F.sequence(cell(low, size), cell(high, size))))
+    at = lambda y: x0 + (x1 - x0) * (F.greatest(F.least(y, high), low) - y0) / F.when(y0 == y1, F.lit(1)).otherwise(y1 - y0)
+    flat, p, q = y0 == y1, at(F.col("cy") * size), at((F.col("cy") + 1) * size)
+    left = F.when(flat, F.least(x0, x1)).otherwise(F.least(p, q)) / size - 1e-9
+    right = F.when(flat, F.greatest(x0, x1)).otherwise(F.greatest(p, q)) / size + 1e-9
+    return rows.withColumn("cx", F.explode(F.sequence(F.floor(left), F.floor(right)))).select(*df.columns, "cx", "cy")
+
+
 def segments(df: DataFrame, key: str, line: str) -> DataFrame:
     """(key, i, x0, y0, x1, y1): the segments of a line column."""
     n = F.size(line)
@@ -127,39 +143,3 @@ def keep_first(df: DataFrame, key: list[str], order: list) -> DataFrame:
     """The first row of each key."""
     w = Window.partitionBy(*key).orderBy(*order)
     return df.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k")
-
-
-def clip_segments(segs: DataFrame, areas: DataFrame, size: float) -> DataFrame:
-    """The parts of segments inside convex areas: (seg_id, name, x0, y0, x1, y1).
-
-    segs have seg_id and their ends, areas name and polygon (a convex shell, counter-clockwise).
-    Each border line cuts the segment's parameter range.
-    """
-    names = ("x0", "y0", "x1", "y1")
-    box = [F.least("x0", "x1"), F.least("y0", "y1"), F.greatest("x0", "x1"), F.greatest("y0", "y1")]
-    left = with_cells(segs.select("seg_id", *names), box, size)
-    right = with_cells(areas.select("name", "polygon"), box_of(F.col("polygon")[0]), size)
-    met = left.join(right, ["cx", "cy"]).dropDuplicates(["seg_id", "name"])
-    shell = F.col("polygon")[0]
-    n = F.size(shell)
-    start = F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"))
-    sides = F.zip_with(F.slice(shell, F.lit(1), n - 1), F.slice(shell, F.lit(2), n - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    x0, y0, x1, y1 = (F.col(c) for c in names)
-
-    def cut(acc: Column, s: Column) -> Column:
-        ax, ay, bx, by = s["a"]["x"], s["a"]["y"], s["b"]["x"], s["b"]["y"]
-        f0 = (bx - ax) * (y0 - ay) - (by - ay) * (x0 - ax)
-        f1 = (bx - ax) * (y1 - ay) - (by - ay) * (x1 - ax)
-        t = f0 / F.when(f0 == f1, F.lit(1.0)).otherwise(f0 - f1)
-        out = (f0 < 0) & (f1 < 0)
-        lo = F.when(out, 2.0).when((f0 < 0) & (f1 >= 0), F.greatest(acc["lo"], t)).otherwise(acc["lo"])
-        hi = F.when(out, -1.0).when((f0 >= 0) & (f1 < 0), F.least(acc["hi"], t)).otherwise(acc["hi"])
-        return F.struct(lo.alias("lo"), hi.alias("hi"))
-
-    r = F.col("_r")
-    at = lambda a, b, t: a + (b - a) * t
-    return (
-        met.withColumn("_r", F.aggregate(sides, start, cut))
-        .filter(r["lo"] < r["hi"])
-        .select("seg_id", "name", at(x0, x1, r["lo"]).alias("x0"), at(y0, y1, r["lo"]).alias("y0"), at(x0, x1, r["hi"]).alias("x1"), at(y0, y1, r["hi"]).alias("y1"))
-    )

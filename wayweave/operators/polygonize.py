@@ -1,89 +1,74 @@
-"""Faces of linework: noding, half-edges, and face tracing by pointer doubling."""
+"""Faces of linework: noding, half-edges in rings, and islands taken off the faces around them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayweave.functions import geom
-from wayweave.operators.components import connected_components
-from wayweave.operators.graph import key_point, node_key
-from wayweave.operators.grid import with_cells
+from wayweave.operators import overlay
+from wayweave.operators.graph import GRID, MUL, SHIFT
 from wayweave.plans.workspace import Workspace
 
-NAMES = ("x0", "y0", "x1", "y1")
+#: Ends are kept to half a metre, as node keys are.
+STEP = 1 / GRID
+
+
+def _key(p: Column) -> Column:
+    return (p["x"] + SHIFT) * MUL + p["y"] + SHIFT
+
+
+def _place(key: Column) -> Column:
+    y = F.pmod(key, F.lit(MUL))
+    return F.struct((((key - y) / MUL).cast("long") - SHIFT).alias("x"), (y - SHIFT).alias("y"))
 
 
 def node_lines(segs: DataFrame, size: float) -> DataFrame:
     """(u, v) node keys of the segments cut where they meet, each once; ends are kept to half a metre.
 
-    segs have seg_id and their ends; they meet in grid cells of ``size``.
+    segs have their ends x0, y0, x1, y1; they meet in grid cells of ``size``.
     """
-    snap = lambda c: F.rint(F.col(c) * 2) / 2
-    segs = segs.select("seg_id", *[snap(c).alias(c) for c in NAMES])
-    box = [F.least("x0", "x1"), F.least("y0", "y1"), F.greatest("x0", "x1"), F.greatest("y0", "y1")]
-    left = with_cells(segs, box, size)
-    right = left.select("cx", "cy", F.col("seg_id").alias("other"), *[F.col(c).alias(f"b{c}") for c in NAMES])
-    p, q = [F.col(c) for c in NAMES], [F.col(f"b{c}") for c in NAMES]
-    met = left.join(right, ["cx", "cy"]).filter("seg_id <> other").filter(geom.segments_meet(p, q)).dropDuplicates(["seg_id", "other"])
-    dx, dy, ex, ey = p[2] - p[0], p[3] - p[1], q[2] - q[0], q[3] - q[1]
-    cross = dx * ey - dy * ex
-    size2 = dx * dx + dy * dy
-    safe = F.when(cross == 0, F.lit(1.0)).otherwise(cross)
-    t = ((q[0] - p[0]) * ey - (q[1] - p[1]) * ex) / safe
-    onto = lambda x, y: ((x - p[0]) * dx + (y - p[1]) * dy) / F.when(size2 > 0, size2).otherwise(1.0)
-    cuts = met.withColumn("t", F.explode(F.when(cross != 0, F.array(t)).otherwise(F.array(onto(q[0], q[1]), onto(q[2], q[3])))))
-    cuts = cuts.filter("t > 0 AND t < 1").select("seg_id", *NAMES, "t")
-    ends = segs.select("seg_id", *NAMES, F.explode(F.array(F.lit(0.0), F.lit(1.0))).alias("t"))
-    every = cuts.unionAll(ends)
-    at = node_key(p[0] + (p[2] - p[0]) * F.col("t"), p[1] + (p[3] - p[1]) * F.col("t"))
-    every = every.select("seg_id", "t", at.alias("u"))
-    pieces = every.withColumn("v", F.lead("u").over(Window.partitionBy("seg_id").orderBy("t", "u"))).filter("v IS NOT NULL AND u <> v")
-    return pieces.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-
-
-def prune_dangles(edges: DataFrame, ws: Workspace, rounds: int = 200) -> DataFrame:
-    """Without edges that end in a node of degree 1, again and again."""
-    now, count = ws.save(edges, "prune0"), None
-    for i in range(1, rounds):
-        ends = now.select(F.col("u").alias("n")).unionAll(now.select(F.col("v").alias("n")))
-        dead = ends.groupBy("n").count().filter("count = 1").select("n")
-        now = ws.save(now.join(dead, now.u == dead.n, "left_anti").join(dead, F.col("v") == dead.n, "left_anti"), f"prune{i}")
-        ws.drop(f"prune{i - 1}")
-        left = now.count()
-        if left == count:
-            return now
-        count = left
-    raise RuntimeError(f"dangling edges are left after {rounds} rounds")
-
-
-def faces(edges: DataFrame) -> DataFrame:
-    """(face, u, v, area) half-edges of the bounded faces of a noded planar graph (u, v).
-
-    A half-edge a to b goes on with the edge that leaves b just clockwise of b to a. Half-edges
-    of one orbit are one face; bounded faces have positive area.
+    lines = segs.select(F.lit(0).alias("grp"), F.lit(0).alias("layer"), "x0", "y0", "x1", "y1")
+    noded = overlay.node(overlay.on_step(lines, STEP, overlay.once), size / STEP, overlay.once)
+    a, b = _key(F.col("a")), _key(F.col("b"))
+    return noded.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
+
+
+def _chained(edges: DataFrame) -> DataFrame:
+    """``overlay.rings`` of both ways along the edges (u, v), without edges that bound no face.
+
+    An edge with one ring on both sides is a dangle or a bridge: no face ends there.
     """
-    ws = Workspace(edges.sparkSession, "polygonize")
-    edges = prune_dangles(edges, ws)
-    half = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    a, b = key_point(F.col("u")), key_point(F.col("v"))
-    half = half.withColumn("angle", F.atan2(b["y"] - a["y"], b["x"] - a["x"]))
-    turn = Window.partitionBy("u").orderBy("angle", "v")
-    whole = turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    around = half.select("u", "v", F.coalesce(F.lag("v").over(turn), F.last("v").over(whole)).alias("next"))
-    # the edge after (u, v) is (v, next of (v, u))
-    follow = half.select("u", "v").join(around.select(F.col("u").alias("v"), F.col("v").alias("u"), "next"), ["u", "v"])
-    follow = ws.save(follow, "follow")
-    pair = lambda x, y: F.struct(F.col(x).alias("a"), F.col(y).alias("b"))
-    orbit = connected_components(follow.select(pair("u", "v").alias("u"), pair("v", "next").alias("v")))
-    orbit = orbit.select("node.a", "node.b", F.xxhash64("component.a", "component.b").alias("face"))
-    p, q = key_point(F.col("a")), key_point(F.col("b"))
-    part = (p["x"] * q["y"] - q["x"] * p["y"]) / 2.0
-    areas = orbit.groupBy("face").agg(F.sum(part).alias("area")).filter("area > 0")
-    return orbit.join(areas, "face").select("face", F.col("a").alias("u"), F.col("b").alias("v"), "area")
+    ws = Workspace(edges.sparkSession, "polygonize", release=False)
+    ends = edges.select(F.lit(0).alias("grp"), _place(F.col("u")).alias("a"), _place(F.col("v")).alias("b"))
+    half = ends.unionByName(ends.select("grp", F.col("b").alias("a"), F.col("a").alias("b")))
+    first, every = ws.save_and_tell(overlay.rings(ws.save(half, "half")), "first", n=F.count("*"))
+    back = first.select("grp", F.col("b").alias("a"), F.col("a").alias("b"), F.col("ring").alias("other"))
+    kept, bounding = ws.save_and_tell(first.join(back, ["grp", "a", "b"]).filter("ring <> other").select("grp", "a", "b"), "kept", n=F.count("*"))
+    return first if bounding == every else ws.save(overlay.rings(kept), "second")
+
+
+def faces(edges: DataFrame, size: float = 200.0) -> DataFrame:
+    """(face, u, v, area): directed border edges of the bounded faces of a noded planar graph (u, v).
+
+    A face has its shell and the rings of the islands in it, which its area leaves out. ``size``
+    is the height in metres of the rows in which islands are held against the faces around them.
+    """
+    chained = _chained(edges)
+    areas = Workspace(edges.sparkSession, "polygonize", release=False).save(overlay.ring_areas(chained), "areas")
+    owned = overlay.hole_owners(chained, areas, size / STEP).select("grp", F.col("hole").alias("ring"), F.col("owner").alias("face"))
+    member = areas.filter("area2 > 0").select("grp", "ring", F.col("ring").alias("face")).union(owned).join(areas, ["grp", "ring"])
+    total = member.groupBy("face").agg((F.sum("area2") * (STEP * STEP / 2.0)).alias("area"))
+    sides = chained.join(member.select("grp", "ring", "face"), ["grp", "ring"]).join(total, "face")
+    name = F.concat_ws("/", "face.a.x", "face.a.y", "face.b.x", "face.b.y")
+    return sides.select(name.alias("face"), _key(F.col("a")).alias("u"), _key(F.col("b")).alias("v"), "area")
 
 
 def polygonize(segs: DataFrame, size: float, least_area: float = 0.0) -> DataFrame:
-    """(face, area) of the faces that segments enclose, larger than ``least_area``."""
-    found = faces(node_lines(segs, size))
+    """(face, area) of the faces that segments enclose, larger than ``least_area``, without their islands."""
+    found = faces(node_lines(segs, size), size)
     return found.groupBy("face").agg(F.first("area").alias("area")).filter(F.col("area") > least_area)
+
+
+def face_polygons(segs: DataFrame, size: float, least_area: float = 0.0) -> DataFrame:
+    """(polygon, area) of the faces that segments enclose: the shell first, then the islands' rings."""
+    return overlay.polygons_of(_chained(node_lines(segs, size)), size, STEP, least_area).select("polygon", "area")

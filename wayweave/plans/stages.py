@@ -83,7 +83,7 @@ def in_wards(lines: DataFrame, wards: DataFrame, cell: float = 500.0) -> DataFra
 def topology(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges) of centrelines (ward, x0, y0, x1, y1, width_m); edges carry their simplified line."""
     numbered = lines.withColumn("seg_id", F.xxhash64("ward", "x0", "y0", "x1", "y1")).dropDuplicates(["ward", "seg_id"])
-    ws = Workspace(lines.sparkSession, "topology")
+    ws = Workspace(lines.sparkSession, "topology", release=False)
     kept = ws.save(graph.drop_diagonals(graph.node_segments(numbered)), "kept")
     told = ws.save(graph.chains(kept), "chains")
     edges = graph.contract(kept, told).join(graph.street_lines(kept, told=told), ["ward", "chain"])
@@ -184,7 +184,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         features = read("features")
         save(clip(features, wards_of(features, a.ward)), "layer", ["ftype", "ward"])
     elif a.stage == "width":
-        layer, ws = of_wards(read("layer")), Workspace(spark, "width")
+        layer, ws = of_wards(read("layer")), Workspace(spark, "width", release=False)
         edges = layer.filter("ftype = 'RdEdg'")
         lines = ws.save(centrelines_for(edges, ws.save(blocks_of(edges), "blocks"), water_of(layer)), "lines")
         save(in_wards(lines, wards_of(read("features"), a.ward)), "centrelines", ["ward"])

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _own: dict[str, str] = {}
 
@@ -46,21 +46,29 @@ def free_name(df: DataFrame, name: str) -> str:
 class Workspace:
     """Saves tables under one folder; ``drop`` removes those that are no longer read."""
 
-    def __init__(self, spark: SparkSession, what: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, what: str, release: bool = True):
+        self.spark, self.release = spark, release
         self.root = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return a reader of what was written.
 
         Spark removes the shuffle files of a plan when the driver's JVM finds it unreferenced, which
-        may never happen in a small job, so the JVM is asked to look; disk then holds one step's.
+        may never happen in a small job. With ``release`` the JVM is asked to look, so that disk
+        holds one step's; rounds of small tables do without.
         """
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
-        self.spark._jvm.System.gc()
+        if self.release:
+            self.spark._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def save_and_tell(self, df: DataFrame, name: str, **what: Column) -> tuple[DataFrame, dict]:
+        """``save``, and the values of aggregates over the rows, taken while they are written."""
+        told = Observation()
+        saved = self.save(df.observe(told, *[c.alias(k) for k, c in what.items()]), name)
+        return saved, told.get
+
     def drop(self, *names: str) -> None:
         """Remove saved tables."""
         jvm = self.spark._jvm

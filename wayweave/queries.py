@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from wayweave.functions import cost, crs, geom
 from wayweave.functions.numeric import clip, nan_to_null, round_scaled
 from wayweave.operators import graph, grid, polygonize, raster, stats
+from wayweave.operators.clip import clip_segments
 from wayweave.operators.components import connected_components
 from wayweave.plans import export, stages
 from wayweave.sources import archives, layers
@@ -313,7 +314,7 @@ def first_meeting_ward(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clip_to_wards(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.col("line")
     segs = strokes(spark, sf_dir).select(F.col("line_id").alias("seg_id"), line[0]["x"].alias("x0"), line[0]["y"].alias("y0"), line[1]["x"].alias("x1"), line[1]["y"].alias("y1"))
-    cut = grid.clip_segments(segs, areas(spark, sf_dir), 500.0)
+    cut = clip_segments(segs, areas(spark, sf_dir), 500.0)
     length = F.sqrt((F.col("x1") - F.col("x0")) ** 2 + (F.col("y1") - F.col("y0")) ** 2)
     return cut.groupBy("name").agg(F.count("*").alias("pieces"), round_scaled(F.sum(length), 2).alias("length"))
 
