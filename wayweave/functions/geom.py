@@ -73,6 +73,13 @@ def centroid(ring: Column) -> Column:
     return F.when(area == 0, start).otherwise(point(x / safe, y / safe))
 
 
+def inner_point(ring: Column, gap: float = 1e-3) -> Column:
+    """A point inside a counter-clockwise ring, just left of the middle of its first side."""
+    a, b = ring[0], ring[1]
+    dx, dy, size = b["x"] - a["x"], b["y"] - a["y"], distance(a, b)
+    return point((a["x"] + b["x"]) / 2.0 - dy / size * gap, (a["y"] + b["y"]) / 2.0 + dx / size * gap)
+
+
 def point_along(line: Column, share: float) -> Column:
     """Point at a share of the line's length; null for fewer than two points."""
     whole = line_length(line)

@@ -209,17 +209,25 @@ def dem_cell(lat: Column, lon: Column, lat0: Column, lon0: Column, lat_span: Col
 def sample_elevation(points: DataFrame, meta: DataFrame, dem: DataFrame, kinds: list[str]) -> DataFrame:
     """Adds elev to points (point_id, lat, lon): the first kind with a value, in the first mesh that has one.
 
-    meta is one row per mesh (a few rows: broadcast behind a count, else joined on whole
-    degrees); dem has mesh, kind, row, col, elev. Meshes count in order of their id.
+    meta is one row per mesh, or per mesh and kind where kinds differ in their grids, met by whole
+    degrees; dem has mesh, kind, row, col, elev. Meshes count in order of their id.
     """
     cols = ["lat0", "lon0", "lat_span", "lon_span", "rows", "cols"]
+    met = elevation_cells(points, meta.select("mesh", *cols, *[c for c in ("kind",) if c in meta.columns]))
+    keys = [c for c in ("mesh", "kind", "row", "col") if c in met.columns]
+    rank = F.array_position(F.array(*map(F.lit, kinds)), F.col("kind"))
+    values = dem.filter(F.col("elev").isNotNull() & F.col("kind").isin(kinds)).withColumn("rank", rank)
+    found = met.join(values, keys).groupBy("point_id").agg(F.min_by("elev", F.struct("mesh", "rank")).alias("elev"))
+    return points.join(found, "point_id", "left")
+
+
+def elevation_cells(points: DataFrame, meta: DataFrame) -> DataFrame:
+    """(point_id, mesh, kind, row, col): the grid cells that hold each point; without kind if meta has none."""
+    cols = ["lat0", "lon0", "lat_span", "lon_span", "rows", "cols"]
     own = points.select("point_id", "lat", "lon", F.floor("lat").alias("dlat"), F.floor("lon").alias("dlon"))
     deg = lambda a, s: F.explode(F.sequence(F.floor(a), F.floor(F.col(a) + F.col(s))))
-    tiles = meta.select("mesh", *cols, deg("lat0", "lat_span").alias("dlat")).select("*", deg("lon0", "lon_span").alias("dlon"))
+    tiles = meta.withColumn("dlat", deg("lat0", "lat_span")).withColumn("dlon", deg("lon0", "lon_span"))
     inside = (F.col("lat") >= F.col("lat0")) & (F.col("lat") < F.col("lat0") + F.col("lat_span")) & (F.col("lon") >= F.col("lon0")) & (F.col("lon") < F.col("lon0") + F.col("lon_span"))
     met = own.join(tiles, ["dlat", "dlon"]).filter(inside)
-    met = met.select("point_id", "mesh", dem_cell(*[F.col(c) for c in ("lat", "lon", *cols)]).alias("at")).select("point_id", "mesh", "at.row", "at.col")
-    rank = F.array_position(F.array(*map(F.lit, kinds)), F.col("kind"))
-    values = dem.filter(F.col("elev").isNotNull()).groupBy("mesh", "row", "col").agg(F.min_by("elev", rank).alias("elev"))
-    found = met.join(values, ["mesh", "row", "col"]).groupBy("point_id").agg(F.min_by("elev", "mesh").alias("elev"))
-    return points.join(found, "point_id", "left")
+    keys = ["point_id", "mesh", *[c for c in ("kind",) if c in meta.columns]]
+    return met.select(*keys, dem_cell(*[F.col(c) for c in ("lat", "lon", *cols)]).alias("at")).select(*keys, "at.row", "at.col")

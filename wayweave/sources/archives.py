@@ -1,8 +1,9 @@
 """Nested zip archives of GML as Spark data: discovery by content, member selection, parsed features.
 
 ``discover`` lists outer archives with Spark's binary reader and names their inner members;
-``read_members`` gives one row per XML member, unzipped in memory; nothing is extracted to disk.
-Each outer archive is one row of work, so a task holds one archive at a time.
+``read_members`` takes the chosen inner archives out as they are, deals them over all tasks, and
+gives one row per XML member, unzipped in memory; nothing is extracted to disk. A task holds one
+outer archive while it takes inner ones out, and then one inner archive at a time.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from xml.etree import ElementTree
+from xml.parsers import expat
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -70,24 +73,53 @@ def read_members(spark: SparkSession, members: DataFrame, *folders: str) -> Data
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(list(dict.fromkeys(folders)))
     wanted = members.groupBy("path").agg(F.collect_set("member").alias("members"))
 
-    def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content, names in zip(pdf.path, pdf.content, pdf.members, strict=True):
                 outer = zipfile.ZipFile(io.BytesIO(content))
                 for name in sorted(names):
-                    try:
-                        inner = zipfile.ZipFile(io.BytesIO(outer.read(name)))
-                    except zipfile.BadZipFile:  # as unreadable outer archives, left out
-                        continue
-                    for file in sorted(inner.namelist()):
-                        base = file.rsplit("/", 1)[-1]
-                        skip = base.startswith("fmdid") or any(f"-{s}-" in base for s in SKIP_FEATURES)
-                        if base.endswith(".xml") and not skip:
-                            yield pd.DataFrame({"path": [path], "member": [name], "file": [file], "xml": [inner.read(file)]})
+                    yield pd.DataFrame({"path": [path], "member": [name], "inner": [outer.read(name)]})
+
+    def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path, name, content in zip(pdf.path, pdf.member, pdf.inner, strict=True):
+                try:
+                    inner = zipfile.ZipFile(io.BytesIO(content))
+                except zipfile.BadZipFile:  # as unreadable outer archives, left out
+                    continue
+                for file in sorted(inner.namelist()):
+                    base = file.rsplit("/", 1)[-1]
+                    skip = base.startswith("fmdid") or any(f"-{s}-" in base for s in SKIP_FEATURES)
+                    if base.endswith(".xml") and not skip:
+                        yield pd.DataFrame({"path": [path], "member": [name], "file": [file], "xml": [inner.read(file)]})
+
+    # the list of chosen members is small beside the archives, which must not be shuffled whole
+    chosen = files.select("path", "content").join(F.broadcast(wanted), "path").mapInPandas(take, "path string, member string, inner binary")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return chosen.repartition(parts, "path", "member").mapInPandas(unzip, "path string, member string, file string, xml binary")
+
 
-    # one row a batch: an archive may be large
-    # the list of chosen members is small beside the archives, which must not be shuffled
-    return files.select("path", "content").join(F.broadcast(wanted), "path").mapInPandas(unzip, "path string, member string, file string, xml binary")
+def _events(xml: bytes):
+    return ElementTree.iterparse(io.BytesIO(xml), events=("start", "end"))
+
+
+def _well_formed(xml: bytes) -> bool:
+    parser = expat.ParserCreate()
+    try:
+        parser.Parse(xml, True)
+    except expat.ExpatError:
+        return False
+    return True
+
+
+def unreadable_files(files: DataFrame) -> DataFrame:
+    """(path, member, file) of XML rows that are not well-formed."""
+
+    def bad(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.loc[[not _well_formed(x) for x in pdf.xml], ["path", "member", "file"]]
+
+    return files.select("path", "member", "file", "xml").mapInPandas(bad, "path string, member string, file string")
 
 
 def parse_features(files: DataFrame) -> DataFrame:
@@ -95,17 +127,18 @@ def parse_features(files: DataFrame) -> DataFrame:
 
     Features are the root's children outside the GML namespace. The first position list, else
     the first position, gives the points; of each attribute the first non-empty value counts.
-    Holes and later curve pieces are not read. Features without geometry are dropped.
+    Holes and later curve pieces are not read. Features without geometry are dropped, and files
+    that are no well-formed XML are left out whole; ``unreadable_files`` names them.
     """
     names = [*ATTRIBUTES, "positions", "position"]
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from xml.etree import ElementTree
-
         for pdf in batches:
             for member, file, xml in zip(pdf.member, pdf.file, pdf.xml, strict=True):
+                if not _well_formed(xml):
+                    continue
                 rows, depth = [], 0
-                for event, el in ElementTree.iterparse(io.BytesIO(xml), events=("start", "end")):
+                for event, el in _events(xml):
                     depth += 1 if event == "start" else -1
                     if event == "start" or depth != 1:
                         continue
