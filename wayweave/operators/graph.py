@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from wayweave.functions.numeric import round_scaled
 from wayweave.operators.components import connected_components
+from wayweave.operators.ranking import rank_lists
 from wayweave.plans.workspace import Workspace
 
 #: Coordinates are kept to half a metre; the key has x and y, shifted to be positive.
@@ -86,22 +87,28 @@ def ward_components(edges: DataFrame) -> DataFrame:
 
 
 def chains(edges: DataFrame) -> DataFrame:
-    """Adds chain to edges (ward, seg_id, u, v, ...): one chain per street between junctions.
+    """Adds chain, place, forward, u_inner and v_inner to edges (ward, seg_id, u, v, ...): one chain per street between junctions.
 
-    Nodes of degree 2 are inside a street; their components name it. An edge between two
-    junctions is a street of its own.
+    Nodes of degree 2 are inside a street, which its smallest inner node names; an edge between two
+    junctions is a street of its own. Each way along an edge is an item whose next item leaves the
+    inner node at its end; ranks along these lists give an edge's place in its street, in the way
+    that starts at the smaller end; ``forward`` tells whether that way runs from u to v.
     """
-    inner = degrees(edges).filter("degree = 2").select("ward", "node")
-    mark = lambda side: inner.select("ward", F.col("node").alias(side), F.lit(True).alias(f"{side}_inner"))
-    told = edges.join(mark("u"), ["ward", "u"], "left").join(mark("v"), ["ward", "v"], "left")
-    told = told.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("u_inner", "v_inner")})
-    labels = ward_components(told.filter("u_inner AND v_inner"))
-    named = inner.join(labels, ["ward", "node"], "left").select("ward", "node", F.coalesce("component", "node").alias("chain"))
-    by = lambda side: named.select("ward", F.col("node").alias(side), F.col("chain").alias(f"{side}_chain"))
-    told = told.join(by("u"), ["ward", "u"], "left").join(by("v"), ["ward", "v"], "left")
+    way = lambda at, to, ahead: edges.select("ward", F.col(at).alias("at"), F.col(to).alias("to"), F.struct("ward", "seg_id", F.lit(ahead).alias("ahead")).alias("item"))
+    out = way("u", "v", True).unionAll(way("v", "u", False))
+    pairs = out.groupBy("ward", "at").agg(F.count("*").alias("n"), F.min("item").alias("p"), F.max("item").alias("q")).filter("n = 2")
+    back = lambda i: F.struct(i["ward"].alias("ward"), i["seg_id"].alias("seg_id"), (~i["ahead"]).alias("ahead"))
+    p, q = F.col("p"), F.col("q")
+    turns = pairs.select(F.explode(F.array(F.struct(back(p).alias("item"), q.alias("next")), F.struct(back(q).alias("item"), p.alias("next")))).alias("t")).select("t.*")
+    ranked = rank_lists(out.select("item").join(turns, "item", "left"))
+    inner = pairs.select("ward", "at", F.col("at").alias("inner"))
+    told = out.join(inner, ["ward", "at"], "left").join(ranked, "item")
+    ends = told.groupBy("list").agg(F.min("inner").alias("least"), F.min_by("at", "place").alias("start"), F.max_by("to", "place").alias("stop"))
+    told = told.join(ends, "list").select("item.ward", "item.seg_id", F.struct(F.col("start") > F.col("stop"), "list", "place", "item.ahead", "least").alias("way"), F.when(F.col("item.ahead"), F.col("inner").isNotNull()).alias("u_in"), F.when(~F.col("item.ahead"), F.col("inner").isNotNull()).alias("v_in"))
+    each = told.groupBy("ward", "seg_id").agg(F.min("way").alias("way"), F.max("u_in").alias("u_inner"), F.max("v_in").alias("v_inner"))
     solo = F.concat(F.lit("s"), F.col("seg_id").cast("string"))
-    inside = F.coalesce("u_chain", "v_chain").cast("string")
-    return told.withColumn("chain", F.coalesce(inside, solo)).drop("u_chain", "v_chain")
+    each = each.select("ward", "seg_id", "u_inner", "v_inner", F.coalesce(F.col("way.least").cast("string"), solo).alias("chain"), F.col("way.place").alias("place"), F.col("way.ahead").alias("forward"))
+    return edges.join(each, ["ward", "seg_id"])
 
 
 def contract(edges: DataFrame, told: DataFrame | None = None) -> DataFrame:
@@ -127,35 +134,16 @@ def contract(edges: DataFrame, told: DataFrame | None = None) -> DataFrame:
 
 
 def street_lines(edges: DataFrame, tolerance: float = 0.5, told: DataFrame | None = None) -> DataFrame:
-    """(ward, chain, line): each street's points in order along it, simplified.
+    """(ward, chain, line): each street's points in order along it, simplified; a ring ends where it begins.
 
-    One street is one group: its size is that of a street, not of the data. ``told`` is
-    ``chains(edges)`` where that is at hand.
+    The order is that of ``chains``; ``told`` is ``chains(edges)`` where that is at hand.
     """
-    told = (chains(edges) if told is None else told).select("ward", "chain", "x0", "y0", "x1", "y1")
-
-    def order(pdf: pd.DataFrame) -> pd.DataFrame:
-        a = list(zip(pdf.x0, pdf.y0, strict=True))
-        b = list(zip(pdf.x1, pdf.y1, strict=True))
-        near: dict[tuple, list[tuple]] = {}
-        for p, q in zip(a, b, strict=True):
-            near.setdefault(p, []).append(q)
-            near.setdefault(q, []).append(p)
-        start = min((p for p in near if len(near[p]) == 1), default=min(near))
-        path, last = [start], None
-        while True:
-            step = [q for q in near[path[-1]] if q != last]
-            if not step or (len(path) > 1 and path[-1] == start):
-                break
-            last = path[-1]
-            path.append(min(step))
-            if len(path) > len(a):
-                break
-        kept = simplify(np.array(path, float), tolerance)
-        return pd.DataFrame({"ward": [pdf.ward.iloc[0]], "chain": [pdf.chain.iloc[0]], "line": [[{"x": x, "y": y} for x, y in kept]]})
-
-    kind = dict(edges.dtypes)["ward"]
-    return told.groupBy("ward", "chain").applyInPandas(order, f"ward {kind}, chain string, line array<struct<x:double,y:double>>")
+    told = chains(edges) if told is None else told
+    end = lambda x, y, c: F.struct(F.when(F.col("forward") == c, F.col(f"{x}0")).otherwise(F.col(f"{x}1")).alias(x), F.when(F.col("forward") == c, F.col(f"{y}0")).otherwise(F.col(f"{y}1")).alias(y))
+    steps = told.select("ward", "chain", F.struct("place", end("x", "y", True).alias("from"), end("x", "y", False).alias("to")).alias("s"))
+    whole = steps.groupBy("ward", "chain").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    line = F.concat(F.transform("s", lambda v: v["from"]), F.array(F.element_at("s", -1)["to"]))
+    return simplify_lines(whole.select("ward", "chain", line.alias("line")), "line", tolerance).select("ward", "chain", F.col("simple").alias("line"))
 
 
 def simplify(points: np.ndarray, tolerance: float) -> np.ndarray:
