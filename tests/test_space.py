@@ -147,12 +147,12 @@ def test_elevation_priority(spark):
 
 
 def test_dijkstra_and_route_shares(spark):
-    from wayweave.operators import stats
+    from wayweave.operators import routes, stats
 
     edges = [("w", 0, 1, 2, 1.0, 3.0, 0.5), ("w", 1, 2, 3, 1.0, 5.0, 0.0), ("w", 2, 1, 3, 5.0, 9.0, 0.0), ("w", 3, 7, 8, 1.0, 9.0, 0.0)]
     e = spark.createDataFrame(edges, "ward string, edge_id long, u long, v long, length_m double, width_m double, blockage_risk double")
     trips = spark.createDataFrame([("w", 0, 1, 3), ("w", 1, 1, 8), ("w", 2, 2, 2)], "ward string, trip_id long, origin long, goal long")
-    paths = graph.shortest_paths(e, trips, "length_m")
+    paths = routes.shortest_paths(e, trips, "length_m")
     assert {(r.trip_id, r.cost, tuple(r.path)) for r in paths.collect()} == {(0, 2.0, (0, 1)), (2, 0.0, ())}
     r = stats.route_shares(paths, e).first()
     assert (r.narrow_pct, r.blockage) == (50.0, 0.25)

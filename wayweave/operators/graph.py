@@ -1,4 +1,4 @@
-"""Routable networks: noding, diagonals, degrees, chains, contraction, components, shortest paths.
+"""Routable networks: noding, diagonals, degrees, chains, contraction, components.
 
 Everything is keyed by ``ward`` and node key, so wards are independent and nothing needs a dense
 node number.
@@ -6,8 +6,6 @@ node number.
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -189,50 +187,3 @@ def largest_component_pct(edges: DataFrame) -> DataFrame:
     """(ward, lcc_pct): share of nodes in the ward's largest component, to a tenth of a percent."""
     sizes = ward_components(edges).groupBy("ward", "component").agg(F.count("*").alias("n"))
     return sizes.groupBy("ward").agg(round_scaled(F.max("n") * 100.0 / F.sum("n"), 1).alias("lcc_pct"))
-
-
-def _dijkstra(near: dict[int, list[tuple[int, float, int]]], start: int, goal: int) -> tuple[float, list[int]] | None:
-    done, queue, came = set(), [(0.0, start)], {start: (0.0, -1, -1)}
-    while queue:
-        cost, node = heapq.heappop(queue)
-        if node in done:
-            continue
-        if node == goal:
-            path = []
-            while came[node][1] >= 0 or came[node][2] >= 0:
-                path.append(came[node][2])
-                node = came[node][1]
-            return cost, path[::-1]
-        done.add(node)
-        for other, weight, edge in near.get(node, ()):
-            new = cost + weight
-            if other not in came or new < came[other][0]:
-                came[other] = (new, node, edge)
-                heapq.heappush(queue, (new, other))
-    return None
-
-
-def shortest_paths(edges: DataFrame, trips: DataFrame, cost: str) -> DataFrame:
-    """(ward, trip_id, cost, path): cheapest path of each trip, as edge_ids in order.
-
-    edges: ward, edge_id, u, v and a cost column; trips: ward, trip_id, origin, goal. A ward is
-    one group: its network, some ten thousand streets, is what a task holds, and wards run side
-    by side. Trips without a path give no row.
-    """
-    kind = dict(edges.dtypes)["ward"]
-
-    def run(key: tuple, e: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        near: dict[int, list[tuple[int, float, int]]] = {}
-        for u, v, c, i in zip(e.u, e.v, e.cost, e.edge_id, strict=True):
-            near.setdefault(u, []).append((v, c, i))
-            near.setdefault(v, []).append((u, c, i))
-        rows = []
-        for i, a, b in zip(t.trip_id, t.origin, t.goal, strict=True):
-            found = _dijkstra(near, a, b)
-            if found is not None:
-                rows.append((key[0], i, found[0], found[1]))
-        return pd.DataFrame(rows, columns=["ward", "trip_id", "cost", "path"])
-
-    left = edges.select("ward", F.col("edge_id").cast("long"), F.col("u").cast("long"), F.col("v").cast("long"), F.col(cost).cast("double").alias("cost"))
-    right = trips.select("ward", F.col("trip_id").cast("long"), F.col("origin").cast("long"), F.col("goal").cast("long"))
-    return left.groupBy("ward").cogroup(right.groupBy("ward")).applyInPandas(run, f"ward {kind}, trip_id long, cost double, path array<long>")

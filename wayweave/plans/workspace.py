@@ -69,6 +69,10 @@ class Workspace:
         saved = self.save(df.observe(told, *[c.alias(k) for k, c in what.items()]), name)
         return saved, told.get
 
+    def all_of(self, pattern: str, like: DataFrame) -> DataFrame:
+        """The rows of all saved tables whose names match, in one scan; their columns are those of ``like``."""
+        return self.spark.read.schema(like.schema).parquet(f"{self.root}/{pattern}")
+
     def drop(self, *names: str) -> None:
         """Remove saved tables."""
         jvm = self.spark._jvm

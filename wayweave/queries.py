@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wayweave.functions import cost, crs, geom
 from wayweave.functions.numeric import clip, nan_to_null, round_scaled
-from wayweave.operators import graph, grid, polygonize, raster, stats
-from wayweave.operators.clip import clip_segments
+from wayweave.operators import graph, grid, overlay, polygonize, raster, routes, stats
+from wayweave.operators.clip import clip_near, clip_segments
 from wayweave.operators.components import connected_components
 from wayweave.plans import export, stages
 from wayweave.sources import archives, layers
@@ -273,6 +273,15 @@ def point_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.first_covering(points(spark, sf_dir), areas(spark, sf_dir), 500.0).select("point_id", "name")
 
 
+def _stroke_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = F.col("line")
+    return strokes(spark, sf_dir).select(F.col("line_id").alias("seg_id"), line[0]["x"].alias("x0"), line[0]["y"].alias("y0"), line[1]["x"].alias("x1"), line[1]["y"].alias("y1"))
+
+
+def _length() -> Column:
+    return F.sqrt((F.col("x1") - F.col("x0")) ** 2 + (F.col("y1") - F.col("y0")) ** 2)
+
+
 def strokes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Short lines from points."""
     x, y = F.col("x"), F.col("y")
@@ -312,11 +321,8 @@ def first_meeting_ward(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE lo < hi AND NOT (y0 = y1 AND (y0 < ay OR y0 > ay + 700)) GROUP BY 1"""
 )
 def clip_to_wards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.col("line")
-    segs = strokes(spark, sf_dir).select(F.col("line_id").alias("seg_id"), line[0]["x"].alias("x0"), line[0]["y"].alias("y0"), line[1]["x"].alias("x1"), line[1]["y"].alias("y1"))
-    cut = clip_segments(segs, areas(spark, sf_dir), 500.0)
-    length = F.sqrt((F.col("x1") - F.col("x0")) ** 2 + (F.col("y1") - F.col("y0")) ** 2)
-    return cut.groupBy("name").agg(F.count("*").alias("pieces"), round_scaled(F.sum(length), 2).alias("length"))
+    cut = clip_segments(_stroke_segments(spark, sf_dir), areas(spark, sf_dir), 500.0)
+    return cut.groupBy("name").agg(F.count("*").alias("pieces"), round_scaled(F.sum(_length()), 2).alias("length"))
 
 
 @query("SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS k FROM events) WHERE k = 1")
@@ -359,6 +365,90 @@ def tile_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("tx", "ty", round_scaled(F.col("x0"), 4).alias("x0"), round_scaled(F.col("y0"), 4).alias("y0"))
 
 
+# ---------------------------------------------------------------- overlay
+
+
+@query(
+    """WITH c AS (SELECT c_custkey % 50 AS x, c_custkey // 50 AS y, 'r' || (c_nationkey % 5) AS name FROM customer),
+      f AS (SELECT name, (name, x + 1, y) IN (SELECT (name, x, y) FROM c) AS e, (name, x, y + 1) IN (SELECT (name, x, y) FROM c) AS n, (name, x + 1, y + 1) IN (SELECT (name, x, y) FROM c) AS d FROM c)
+    SELECT name, 100.0 * count(*) AS area, 10.0 * (4 * count(*) - 2 * sum(e::INT + n::INT)) AS perimeter, (count(*) - sum(e::INT + n::INT) + sum((e AND n AND d)::INT))::BIGINT AS parts_less_holes FROM f GROUP BY 1"""
+)
+def dissolve_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' squares, dissolved by name."""
+    x, y = (F.col("c_custkey") % 50) * 10.0, F.floor(F.col("c_custkey") / 50) * 10.0
+    squares = table(spark, sf_dir, "customer").select(F.concat(F.lit("r"), (F.col("c_nationkey") % 5).cast("string")).alias("name"), geom.box(x, y, x + 10.0, y + 10.0).alias("polygon"))
+    rim = F.aggregate("polygon", F.lit(0.0), lambda a, line: a + geom.line_length(line))
+    found = overlay.dissolve(squares, 100.0)
+    return found.groupBy("name").agg(F.sum("area").alias("area"), F.sum(rim).alias("perimeter"), F.sum(2 - F.size("polygon")).alias("parts_less_holes"))
+
+
+@query(
+    """WITH p AS (SELECT (p_partkey % 100) * 20.0 AS x, (p_partkey // 100) * 20.0 AS y, p_size > 25 AS island FROM part)
+    SELECT x, y, CASE WHEN island THEN 240.0 ELSE 256.0 END AS area, CASE WHEN island THEN 2 ELSE 1 END AS rings FROM p UNION ALL SELECT x + 6, y + 6, 16.0, 1 FROM p WHERE island"""
+)
+def face_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faces of the outlines of parts' plots, some with an island."""
+    x, y = (F.col("p_partkey") % 100) * 20.0, F.floor(F.col("p_partkey") / 100) * 20.0
+    outline = F.when(F.col("p_size") > 25, F.array(geom.box(x, y, x + 16.0, y + 16.0)[0], geom.box(x + 6.0, y + 6.0, x + 10.0, y + 10.0)[0])).otherwise(F.array(geom.box(x, y, x + 16.0, y + 16.0)[0]))
+    lines = table(spark, sf_dir, "part").select("p_partkey", F.explode(outline).alias("line"))
+    found = polygonize.face_polygons(grid.segments(lines, "p_partkey", "line"), 100.0)
+    corner = F.array_min(F.col("polygon")[0])
+    return found.select(corner["x"].alias("x"), corner["y"].alias("y"), "area", F.size("polygon").alias("rings"))
+
+
+CONCAVE = """shapes AS (SELECT n_name AS name, (n_nationkey % 5) * 1000.0 + 0.37 AS ax, floor(n_nationkey / 5) * 600.0 + 0.37 AS ay FROM nation),
+  boxes AS (SELECT name, 1 AS sign, ax AS l, ay AS b, ax + 1200 AS r, ay + 700 AS t FROM shapes UNION ALL SELECT name, -1, ax + 600, ay + 350, ax + 1200, ay + 700 FROM shapes
+    UNION ALL SELECT name, -1, ax + 100, ay + 100, ax + 300, ay + 250 FROM shapes)"""
+
+
+@query(
+    f"""WITH {POINTS}, {CONCAVE}, s AS (SELECT x AS x0, y AS y0, y + (point_id % 7 - 3) * 15.0 AS y1 FROM points),
+      c AS (SELECT name, sign, y0, y1, b, t, greatest(0.0, (l - x0) / 40.0, CASE WHEN y1 > y0 THEN (b - y0) / (y1 - y0) WHEN y1 < y0 THEN (t - y0) / (y1 - y0) ELSE 0.0 END) AS lo,
+        least(1.0, (r - x0) / 40.0, CASE WHEN y1 > y0 THEN (t - y0) / (y1 - y0) WHEN y1 < y0 THEN (b - y0) / (y1 - y0) ELSE 1.0 END) AS hi FROM s, boxes)
+    SELECT name, {r("sum(sign * (hi - lo) * sqrt(1600 + (y1 - y0) * (y1 - y0)))", 2)} AS length FROM c WHERE lo < hi AND NOT (y0 = y1 AND (y0 < b OR y0 > t)) GROUP BY 1"""
+)
+def clip_concave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lengths of strokes inside L-shaped areas with a hole."""
+    k = F.col("n_nationkey")
+    x, y = (k % 5) * 1000.0 + 0.37, F.floor(k / 5) * 600.0 + 0.37
+    corners = [(0, 0), (1200, 0), (1200, 350), (600, 350), (600, 700), (0, 700), (0, 0)]
+    shell = F.array(*[geom.point(x + float(a), y + float(b)) for a, b in corners])
+    hole = geom.box(x + 100.0, y + 100.0, x + 300.0, y + 250.0)[0]
+    shapes = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.array(shell, hole).alias("polygon"))
+    cut = clip_segments(_stroke_segments(spark, sf_dir), shapes, 200.0)
+    return cut.groupBy("name").agg(round_scaled(F.sum(_length()), 2).alias("length"))
+
+
+@query(
+    f"""WITH {POINTS}, {AREAS}, d AS (SELECT name, x, ax, greatest(ay - y, y - ay - 700, 0.0) AS dy FROM points, areas),
+      c AS (SELECT name, greatest(x, ax - sqrt(2500 - dy * dy)) AS lo, least(x + 40, ax + 1200 + sqrt(2500 - dy * dy)) AS hi FROM d WHERE dy <= 50)
+    SELECT name, {r("sum(hi - lo)", 2)} AS length FROM c WHERE lo < hi GROUP BY 1"""
+)
+def near_wards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lengths of level strokes inside areas or within 50 metres of them."""
+    segs = points(spark, sf_dir).select(F.col("point_id").alias("seg_id"), F.col("x").alias("x0"), F.col("y").alias("y0"), (F.col("x") + 40.0).alias("x1"), F.col("y").alias("y1"))
+    return clip_near(segs, areas(spark, sf_dir), 50.0, 200.0).groupBy("name").agg(round_scaled(F.sum(_length()), 2).alias("length"))
+
+
+@query(
+    """WITH h AS (SELECT 10.0 * (max(c_custkey) // 100 + 1) AS h FROM customer), w AS (SELECT unnest(range(5)) AS k),
+      s AS (SELECT DISTINCT s_suppkey * 3 AS j FROM supplier, h WHERE s_suppkey * 30 + 6 <= h), b AS (SELECT c_custkey % 100 // 20 AS k, c_custkey // 100 AS j FROM customer WHERE c_acctbal > 0),
+      n AS (SELECT k, count(*) AS blocks, sum(CASE WHEN j IN (SELECT j FROM s) THEN 1 ELSE 0 END) AS wet FROM b GROUP BY 1)
+    SELECT 'w' || w.k AS name, 200 * h - 64.0 * coalesce(blocks, 0) - 400.0 * (SELECT count(*) FROM s) + 16.0 * coalesce(wet, 0) AS area FROM w LEFT JOIN n USING (k), h"""
+)
+def road_space(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What customers' blocks and strips of water leave of five wards."""
+    customer = table(spark, sf_dir, "customer")
+    high = customer.agg(((F.floor(F.max("c_custkey") / 100) + 1) * 10.0).alias("h"))
+    k = F.col("k")
+    wards = high.select("h", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("k")).select(F.concat(F.lit("w"), k.cast("string")).alias("name"), geom.box(k * 200.0, F.lit(0.0), k * 200.0 + 200.0, F.col("h")).alias("polygon"))
+    x, y = (F.col("c_custkey") % 100) * 10.0, F.floor(F.col("c_custkey") / 100) * 10.0
+    blocks = customer.filter("c_acctbal > 0").select(geom.box(x + 1.0, y + 1.0, x + 9.0, y + 9.0).alias("polygon"))
+    low = F.col("s_suppkey") * 30.0 + 4.0
+    water = table(spark, sf_dir, "supplier").join(high, F.col("s_suppkey") * 30 + 6 <= F.col("h")).select(geom.box(F.lit(-5.0), low, F.lit(1005.0), low + 2.0).alias("polygon"))
+    return stages.road_space(wards, blocks, water).groupBy("name").agg(F.sum("area").alias("area"))
+
+
 # ---------------------------------------------------------------- graphs
 
 
@@ -430,6 +520,16 @@ def edge_contraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.contract(noded(spark, sf_dir)).select("ward", "chain", "u", "v", "length_m", "width_m")
 
 
+@query(f"{CHAINS} SELECT ward, chain, count(*) AS edges, (count(*) - 1)::BIGINT AS last_place, 0::BIGINT AS breaks FROM told GROUP BY 1, 2")
+def line_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streets' edges by their places: each begins where the one before it ends."""
+    told = graph.chains(noded(spark, sf_dir))
+    start, stop = F.when(F.col("forward"), F.col("u")).otherwise(F.col("v")), F.when(F.col("forward"), F.col("v")).otherwise(F.col("u"))
+    after = F.lead("start").over(Window.partitionBy("ward", "chain").orderBy("place"))
+    told = told.withColumn("start", start).withColumn("gap", F.when(after != stop, 1).otherwise(0))
+    return told.groupBy("ward", "chain").agg(F.count("*").alias("edges"), F.max("place").alias("last_place"), F.sum("gap").alias("breaks"))
+
+
 TREES = """t AS (SELECT 'i' || l_suppkey || '-' || l_orderkey || '-' || l_linenumber AS node, s_nationkey AS k FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
     UNION SELECT 's' || s_suppkey, s_nationkey FROM supplier UNION SELECT 'n' || s_nationkey, s_nationkey FROM supplier)"""
 
@@ -477,6 +577,11 @@ def _trips(edges: DataFrame) -> DataFrame:
     return each.select("ward", "trip_id", (F.col("trip_id") * 7 % 90 + 1).alias("origin"), (195 - F.col("trip_id") * 5).alias("goal"))
 
 
+def _quarter(node: Column) -> Column:
+    """Cell of a street node: a square of seven by seven."""
+    return F.concat_ws("/", F.floor(node % 14 / 7).cast("string"), F.floor(node / 98).cast("string"))
+
+
 STREETS = """c AS (SELECT 'w' || (p_partkey // 196) AS ward, p_partkey % 196 AS k, p_size FROM part),
   st AS (SELECT ward, k AS u, k + 1 AS v, p_size::DOUBLE AS len FROM c WHERE k % 14 < 13 UNION ALL SELECT ward, k, k + 14, p_size + 3.0 FROM c WHERE k // 14 < 13)"""
 
@@ -491,13 +596,39 @@ STREETS = """c AS (SELECT 'w' || (p_partkey // 196) AS ward, p_partkey % 196 AS
 )
 def shortest_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = streets(spark, sf_dir)
-    return graph.shortest_paths(edges, _trips(edges), "length_m").select("ward", "trip_id", "cost")
+    return routes.shortest_paths(edges, _trips(edges), "length_m", _quarter).select("ward", "trip_id", "cost")
 
 
 @query()
 def weighted_route_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = streets(spark, sf_dir)
-    return stats.route_shares(graph.shortest_paths(edges, _trips(edges), "length_m"), edges)
+    return stats.route_shares(routes.shortest_paths(edges, _trips(edges), "length_m", _quarter), edges)
+
+
+def strips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five wards of four lanes that grow with the parts, with lengths, widths and three costs."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    part = table(spark, sf_dir, "part").select(key, size, F.floor(key / 20).alias("x"), (key % 20).alias("y"))
+    part = part.select("*", F.floor(F.col("y") / 4).alias("k"), (F.col("x") * 4 + F.col("y") % 4).alias("u"))
+    ahead = part.withColumns({"v": F.col("u") + 4, "d": F.lit(0)})
+    aside = part.filter("y % 4 < 3").withColumns({"v": F.col("u") + 1, "d": F.lit(1)})
+    length = F.col("p_size") + F.col("d") * 3.0
+    return ahead.unionAll(aside).select(
+        F.concat(F.lit("w"), F.col("k").cast("string")).alias("ward"), (key * 2 + F.col("d")).alias("edge_id"), "u", "v", length.alias("length_m"), (1.0 + F.col("u") % 9).alias("width_m"),
+        ((F.col("u") % 10) / 10.0).alias("blockage_risk"), (F.col("u") % 12).cast("double").alias("slope_pct"), (length * (1.0 + F.col("u") % 3)).alias("normal"), (length * (1.0 + F.col("u") % 10)).alias("quake"),
+    )
+
+
+def _stretch(node: Column) -> Column:
+    return F.floor(node / 400).cast("string")
+
+
+@query()
+def routing_qc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten drawn trips in each ward: the shortest way, the usual one and the one after a quake."""
+    edges = strips(spark, sf_dir)
+    ways = {"shortest": "length_m", "normal": "normal", "quake": "quake"}
+    return routes.routing_qc(edges, routes.drawn_trips(edges, 10), ways, _stretch)
 
 
 @query()
@@ -506,7 +637,7 @@ def simplify_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.simplify_lines(lines, "line", 0.3).select("vec_id", F.size("line").alias("n_before"), F.size("simple").alias("n_after"))
 
 
-@query()
+@query("SELECT 100.0 AS area FROM nation WHERE n_nationkey % 5 < 4 AND n_nationkey < 20")
 def polygonize_faces(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("k"))
     x, y = (F.col("k") % 5) * 10.0, F.floor(F.col("k") / 5) * 10.0
