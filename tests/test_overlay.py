@@ -217,6 +217,15 @@ def test_clip_to_concave_areas_with_holes(spark, reach):
     assert many
 
 
+def test_borders_belong_to_one_side(spark):
+    """Lines along the left and lower border of an area are in it, along the right and upper one not, and so for holes."""
+    areas = spark.createDataFrame([("a", [box(0.25, 0.25, 90.5, 70.5), box(20, 20, 40, 40)])], AREAS)
+    segs = [(5, 0.25, 9, 0.25), (0.25, 5, 0.25, 9), (5, 70.5, 9, 70.5), (90.5, 5, 90.5, 9), (22, 20, 30, 20), (20, 22, 20, 30), (22, 40, 30, 40), (40, 22, 40, 30)]
+    table = spark.createDataFrame([(i, *map(float, s)) for i, s in enumerate(segs)], SEGS)
+    for size in (7.0, 50.0, 1000.0):
+        assert sorted(r.seg_id for r in clip.clip_segments(table, areas, size).collect()) == [0, 1, 6, 7]
+
+
 def test_long_diagonals_list_the_cells_along_them(spark):
     from wayweave.operators.grid import through_cells
 

@@ -147,9 +147,9 @@ def winding_at(points: DataFrame, edges: DataFrame, cell: float) -> DataFrame:
     rx, ry = (F.col("cx") + AT_X) * cell, (F.col("cy") + AT_Y) * cell
     ax, ay, bx, by, n, x, y = (F.col(c) for c in (*ENDS, "n", "x", "y"))
     yc = ay + (by - ay) * (rx - ax) / F.when(ax == bx, F.lit(1)).otherwise(bx - ax)
-    rise = F.when(yc >= ry, F.when(yc < y, 1).otherwise(0)).otherwise(F.when(yc >= y, -1).otherwise(0)) * F.when(bx > ax, n).otherwise(-n)
+    rise = F.when(yc > ry, F.when(yc <= y, 1).otherwise(0)).otherwise(F.when(yc > y, -1).otherwise(0)) * F.when(bx > ax, n).otherwise(-n)
     xc = ax + (bx - ax) * (y - ay) / F.when(ay == by, F.lit(1)).otherwise(by - ay)
-    run = F.when(xc >= rx, F.when(xc < x, 1).otherwise(0)).otherwise(F.when(xc >= x, -1).otherwise(0)) * F.when(by > ay, -n).otherwise(n)
+    run = F.when(xc > rx, F.when(xc <= x, 1).otherwise(0)).otherwise(F.when(xc > x, -1).otherwise(0)) * F.when(by > ay, -n).otherwise(n)
     turn = F.when((ax <= rx) != (bx <= rx), rise).otherwise(0) + F.when((ay <= y) != (by <= y), run).otherwise(0)
     beside = own.join(near, ["grp", "cx", "cy"]).select("grp", "id", "layer", turn.alias("w")).filter("w <> 0")
     base = own.join(covered_cells(edges, cell), ["grp", "cx", "cy"]).select("grp", "id", "layer", "w")

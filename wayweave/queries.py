@@ -378,7 +378,7 @@ def dissolve_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y = (F.col("c_custkey") % 50) * 10.0, F.floor(F.col("c_custkey") / 50) * 10.0
     squares = table(spark, sf_dir, "customer").select(F.concat(F.lit("r"), (F.col("c_nationkey") % 5).cast("string")).alias("name"), geom.box(x, y, x + 10.0, y + 10.0).alias("polygon"))
     rim = F.aggregate("polygon", F.lit(0.0), lambda a, line: a + geom.line_length(line))
-    found = overlay.dissolve(squares, 100.0)
+    found = overlay.dissolve(squares, 30.0)
     return found.groupBy("name").agg(F.sum("area").alias("area"), F.sum(rim).alias("perimeter"), F.sum(2 - F.size("polygon")).alias("parts_less_holes"))
 
 
@@ -391,7 +391,7 @@ def face_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y = (F.col("p_partkey") % 100) * 20.0, F.floor(F.col("p_partkey") / 100) * 20.0
     outline = F.when(F.col("p_size") > 25, F.array(geom.box(x, y, x + 16.0, y + 16.0)[0], geom.box(x + 6.0, y + 6.0, x + 10.0, y + 10.0)[0])).otherwise(F.array(geom.box(x, y, x + 16.0, y + 16.0)[0]))
     lines = table(spark, sf_dir, "part").select("p_partkey", F.explode(outline).alias("line"))
-    found = polygonize.face_polygons(grid.segments(lines, "p_partkey", "line"), 100.0)
+    found = polygonize.face_polygons(grid.segments(lines, "p_partkey", "line"), 40.0)
     corner = F.array_min(F.col("polygon")[0])
     return found.select(corner["x"].alias("x"), corner["y"].alias("y"), "area", F.size("polygon").alias("rings"))
 
@@ -446,7 +446,7 @@ def road_space(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = customer.filter("c_acctbal > 0").select(geom.box(x + 1.0, y + 1.0, x + 9.0, y + 9.0).alias("polygon"))
     low = F.col("s_suppkey") * 30.0 + 4.0
     water = table(spark, sf_dir, "supplier").join(high, F.col("s_suppkey") * 30 + 6 <= F.col("h")).select(geom.box(F.lit(-5.0), low, F.lit(1005.0), low + 2.0).alias("polygon"))
-    return stages.road_space(wards, blocks, water).groupBy("name").agg(F.sum("area").alias("area"))
+    return stages.road_space(wards, blocks, water, 30.0).groupBy("name").agg(F.sum("area").alias("area"))
 
 
 # ---------------------------------------------------------------- graphs
