@@ -141,7 +141,7 @@ _cost_query("cost_quake", 1.0, "bridge_penalty")
 def narrow_penalty(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = F.col("width_m")
     return roads(spark, sf_dir).select(
-        "ward", round_scaled(cost.narrow_penalty(w), 6).alias("narrow"), round_scaled(cost.narrow_penalty(w, True), 6).alias("narrow_wc")
+        "ward", round_scaled(cost.lack_of_width(w), 6).alias("narrow"), round_scaled(cost.lack_of_width(w, cost.ON_WHEELS), 6).alias("narrow_wc")
     )
 
 
