@@ -259,13 +259,13 @@ class JaccardJoin:
         cells = (
             columns.select("col", "cls", "n", "pos")
             .withColumn("live", F.count("*").over(own))
-            .join(labels, "cls", "left")
+            .join(labels.hint("merge"), "cls", "left")  # the plan of a small table too
             .withColumn("comp", F.coalesce("comp", "cls"))
             .withColumns({"x": F.min("comp").over(of_col), "y": F.max("comp").over(of_col)})
             .filter("x <> y")
             .drop("x", "y")
         )
-        cells = self.ws.save(cells.join(signs, "cls"), "open")
+        cells = self.ws.save(cells.join(signs.hint("merge"), "cls"), "open")
         # both sides have the same columns, so Spark shuffles them once
         l, r = (lambda c: F.col(f"l.{c}")), (lambda c: F.col(f"r.{c}"))
         rest = F.least(l("n") - l("pos"), r("n") - r("pos"))
