@@ -70,6 +70,14 @@ def test_features(spark, folder):
     assert len(got["AdmArea"].line) == 4 and got["AdmArea"].name == "North" and got["ElevPt"].name is None
 
 
+def test_malformed_files_are_left_out_and_named(spark, tmp_path):
+    inner = packed({"FG-GML-533925-A-1.xml": FEATURES, "FG-GML-533925-B-1.xml": FEATURES[:300], "FG-GML-533925-C-1.xml": ""})
+    (tmp_path / "a.zip").write_bytes(packed({"FG-GML-533925-02-1.zip": inner, "FG-GML-533926-02-1.zip": b"no archive"}))
+    files = archives.read_members(spark, archives.discover(spark, str(tmp_path)), str(tmp_path))
+    assert {r.file for r in archives.parse_features(files).collect()} == {"FG-GML-533925-A-1.xml"}
+    assert sorted(r.file for r in archives.unreadable_files(files).collect()) == ["FG-GML-533925-B-1.xml", "FG-GML-533925-C-1.xml"]
+
+
 def test_elevation(spark, folder):
     members = archives.discover(spark, str(folder), pattern=archives.ELEVATION)
     dem, meta = archives.parse_elevation(archives.read_members(spark, members, str(folder)))

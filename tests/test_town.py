@@ -1,6 +1,8 @@
 """A toy town from centrelines and archives to costs, slope and reports."""
 
+import io
 import math
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from wayweave.functions import cost, crs, geom
 from wayweave.operators import graph
 from wayweave.plans import stages
+from wayweave.plans.manifest import Manifest
 from wayweave.sources import layers
 
 
@@ -78,26 +81,98 @@ def test_clip(spark):
     assert [r.name for r in stages.missing_names(wards, names).collect()] == ["East"]
 
 
-def test_width_stage(spark, tmp_path):
-    """Four blocks of 40 m with streets of 6 m between them: archives' features to centrelines."""
-    deg = lambda x, y: crs.to_degrees(F.lit(float(x)), F.lit(float(y)))
-    ring = lambda a, b, c, d: F.array(*[deg(x, y) for x, y in ((a, b), (c, b), (c, d), (a, d), (a, b))])
-    rings = [("AdmArea", "North", ring(-100, -100, 200, 200))]
-    rings += [("RdEdg", None, ring(x, y, x + 40, y + 40)) for x in (0, 46) for y in (0, 46)]
-    points = lambda c: F.transform(c, lambda p: geom.point(p["lon"], p["lat"]))
-    features = None
-    for i, (ftype, name, line) in enumerate(rings):
-        kind = "Polygon" if name else "LineString"
-        one = spark.range(1).select(
-            F.lit("m").alias("member"), F.lit(str(i)).alias("file"), F.lit(ftype).alias("ftype"), F.lit(name).cast("string").alias("name"), F.lit(kind).alias("kind"), points(line).alias("line")
-        )
-        features = one if features is None else features.unionAll(one)
-    layers.write_layer(features, str(tmp_path / "features"), ["ftype"])
-    stages.main(["clip", "--root", str(tmp_path)], spark)
-    stages.main(["width", "--root", str(tmp_path)], spark)
-    lines = layers.read_layer(spark, str(tmp_path / "centrelines"))
+def packed(files):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for name, body in files.items():
+            z.writestr(name, body)
+    return out.getvalue()
+
+
+def ring(a, b, c, d):
+    return [(a, b), (c, b), (c, d), (a, d), (a, b)]
+
+
+#: Kind of feature, its name, whether it is an area, and its points in metres.
+TOWN = [
+    ("AdmArea", "North", True, ring(-100, -100, 50, 200)),
+    ("AdmArea", "North", True, ring(50, -100, 200, 200)),
+    *[("RdEdg", None, False, ring(x, y, x + 40, y + 40)) for x in (0, 46) for y in (0, 46)],
+    ("BldA", None, True, ring(10, 10, 20, 20)),
+    ("WL", None, False, [(43, -50), (43.5, 30)]),
+    ("CommBdry", None, False, ring(-5, -5, 95, 95)),
+    ("CommPt", "Block A", False, [(30, 60)]),
+]
+
+
+def archives_of(spark):
+    """Nested archives of the town and of ground that rises to the east."""
+    points = [p for *_, line in TOWN for p in line] + [(-300, -300)]
+    at = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(points)], "i int, x double, y double")
+    deg = [(r.d.lat, r.d.lon) for r in at.select("i", crs.to_degrees(F.col("x"), F.col("y")).alias("d")).orderBy("i").collect()]
+    rows, k = [], 0
+    for ftype, name, area, line in TOWN:
+        text = " ".join(f"{lat:.12f} {lon:.12f}" for lat, lon in deg[k : k + len(line)])
+        k += len(line)
+        tag = "pos" if len(line) == 1 else "posList"
+        shape = f"<gml:{tag}>{text}</gml:{tag}>"
+        rows.append(f"<{ftype}>{f'<name>{name}</name>' if name else ''}<g>{f'<gml:Surface>{shape}</gml:Surface>' if area else shape}</g></{ftype}>")
+    xml = f"""<D xmlns="urn:example" xmlns:gml="http://www.opengis.net/gml/3.2">{''.join(rows)}</D>"""
+    la, lo = deg[-1]
+    ground = "\n".join(f"ground,{c * 3.0}" for _ in range(10) for c in range(10))
+    dem = f"""<D xmlns:gml="http://www.opengis.net/gml/3.2"><gml:lowerCorner>{la} {lo}</gml:lowerCorner><gml:upperCorner>{la + 0.01} {lo + 0.01}</gml:upperCorner>
+<gml:high>9 9</gml:high><gml:tupleList>
+{ground}
+</gml:tupleList></D>"""
+    return {
+        "FG-GML-543900-02-1.zip": packed({"FG-GML-543900-All-1.xml": xml, "FG-GML-543900-Bad-1.xml": "<D><RdEdg>"}),
+        "FG-GML-543900-DEM5A-1.zip": packed({"FG-GML-5439-00-00-DEM5A-1.xml": dem}),
+    }
+
+
+def test_archives_to_report(spark, tmp_path):
+    """Four blocks of 40 m with streets of 6 m between them, through every stage."""
+    (tmp_path / "zips").mkdir()
+    (tmp_path / "zips/pack.zip").write_bytes(packed(archives_of(spark)))
+    root = str(tmp_path / "town")
+    run = lambda stage, *more: stages.main([stage, "--root", root, *more], spark)
+    read = lambda name: layers.read_layer(spark, f"{root}/{name}")
+    for stage in ("parse", "dem"):
+        run(stage, "--archives", str(tmp_path / "zips"))
+    features = read("features")
+    assert features.count() == len(TOWN)
+    for stage in ("clip", "width", "layers", "network", "slope", "recost"):
+        run(stage)
+    lines = read("centrelines")
     assert {r.ward for r in lines.select("ward").distinct().collect()} == {"North"}
     mid = lines.select(((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y"), "width_m")
     street = mid.filter("x BETWEEN 40 AND 46 AND y BETWEEN 8 AND 32").collect()
     assert len(street) >= 20 and all(4 <= r.width_m <= 8 for r in street)
     assert not mid.filter("x BETWEEN 3 AND 37 AND y BETWEEN 3 AND 37").count()
+    assert read("road_space").agg(F.sum("area")).first()[0] == pytest.approx(300 * 300 - 4 * 1600, rel=0.01)
+    assert sorted((r.ward, round(r.area, -2)) for r in read("blocks").collect()) == [("North", 1600.0)] * 4
+    assert [(r.name, round(r.area, -2)) for r in read("districts").collect()] == [("Block A", 10000.0)]
+    edges = read("edges_final")
+    assert edges.count() >= 5 and edges.filter("barrier_cross").count() >= 1 and edges.filter("slope_pct > 0").count() >= 1
+    run("report", "--min-len", "10")
+    assert [r.ward for r in spark.read.option("header", True).csv(f"{root}/reports/ward_summary").collect()] == ["North"]
+    assert spark.read.text(f"{root}/reports/web").count() == edges.filter("length_m >= 10").count()
+
+    # a second run leaves what is finished unread
+    for part in (tmp_path / "town/centrelines").glob("ward=*/*.parquet"):
+        part.write_bytes(b"no longer a table")
+    before = {r.edge_id for r in read("edges").collect()}
+    run("network", "--skip-done")
+    run("parse", "--skip-done", "--archives", str(tmp_path / "zips"))
+    assert {r.edge_id for r in read("edges").collect()} == before
+    with pytest.raises(Exception, match="(?i)parquet|footer|corrupt"):
+        run("network")
+
+
+def test_manifest_knows_empty_keys(spark, tmp_path):
+    log = Manifest(spark, str(tmp_path))
+    assert log.pending("network", [("a",), ("b",)]) == [("a",), ("b",)]
+    log.finish("network", [("a",)])
+    log.finish("network", [])
+    Manifest(spark, str(tmp_path), 3).finish("network", [("b",)])
+    assert log.pending("network", [("a",), ("b",)]) == [("b",)] and log.pending("slope", [("a",)]) == [("a",)]

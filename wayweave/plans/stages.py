@@ -219,10 +219,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         asked = [w for w in known if not a.ward or w in a.ward]
         return [k[0] for k in log.pending(stage, [(w,) for w in asked])] if a.skip_done else asked
 
-    def of_wards(stage: str, name: str) -> tuple[list[str], DataFrame]:
-        """The wards to do, and the layer's partitions of these."""
+    def of_wards(stage: str, name: str) -> tuple[list[str], DataFrame | None]:
+        """The wards to do, and the layer's partitions of these; no file is opened where there are none."""
         todo = wards_todo(stage, layers.partition_values(spark, where(name), "ward"))
-        return todo, layers.read_parts(spark, where(name), "ward", todo)
+        return todo, layers.read_parts(spark, where(name), "ward", todo) if todo else None
 
     if a.stage in ("parse", "dem"):
         vector = a.stage == "parse"
@@ -298,7 +298,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             save(cost.add_costs(edges.drop("blockage_risk", *cost.COSTS), weights_from(a.weights)), "edges_final", ["ward"])
             log.finish("recost", [(w,) for w in todo])
     else:
-        report(of_wards("report", "edges_final")[1], at("reports"), a.min_len)
+        wards = layers.partition_values(spark, where("edges_final"), "ward")
+        report(layers.read_parts(spark, where("edges_final"), "ward", [w for w in wards if not a.ward or w in a.ward]), at("reports"), a.min_len)
 
 
 if __name__ == "__main__":
