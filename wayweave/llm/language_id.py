@@ -141,7 +141,9 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", per_la
 
     Document frequencies cover all rows of ``train``. Centroids are fitted on at most
     ``per_lang`` rows of each language, taken by hash of the text. Rows without language are left
-    out; null texts are empty. The model is broadcast, so more than ``langs`` languages raise.
+    out; null texts are empty. Repeated rows count in the frequencies and are one row of a language's
+    sample. An empty table gives a model without languages. The model is broadcast, so more than
+    ``langs`` languages raise.
     """
     small_batches(train.sparkSession)
     rows = train.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(lang_col).alias("lang")).filter("lang IS NOT NULL")
@@ -175,7 +177,8 @@ def identify(spark, text: Column, model: Centroids) -> Column:
 
     lang is the nearest centroid's language, `und` for null, for a text without any letter, and
     without a model; score is the cosine, from 0 to 1; rejected tells that the text lies beyond
-    the centroid's reach (always with `und`).
+    the centroid's reach (always with `und`). Of equally near centroids that of the first language
+    by name holds. Equal texts get equal results; a long text is counted in parts, whole.
     """
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)

@@ -463,7 +463,8 @@ def encode_documents(docs: DataFrame, v: Vocabulary, nbest: int = 4, id_col: str
     nbest is the array of segmentations, best first, as (score, ids). score and n_pieces are of
     the best segmentation, ids_crc32 is of its ids as little-endian 32-bit integers, exact tells that all ``nbest`` segmentations decode to the text. Null text
     counts as empty: no pieces, score 0. Repeated rows give a row each; an empty table gives no
-    rows; other columns are ignored.
+    rows; other columns are ignored. A text is cut before blanks only, so one of many bytes
+    without any takes time and memory for all of it at once.
     """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(v)

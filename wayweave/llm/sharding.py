@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayweave.plans.workspace import Workspace
+from wayweave.plans.workspace import Workspace, free_name
 
 MULTIPLIER = np.uint64(2862933555777941757)  # fixed value of the published method
 
@@ -109,15 +109,16 @@ def assign_shards(
     )
 
 
-def write_shards(assigned: DataFrame, docs: DataFrame, path: str) -> None:
-    """Write the documents of each shard under ``path/shard=K``, in slot order within files.
+def write_shards(docs: DataFrame, path: str, shards: int = 8, id_col: str = "doc_id", files: int = 16) -> None:
+    """Write every row of ``docs`` once, with all its columns, under ``path/shard=K``.
 
-    ``docs`` must have unique doc_id here, since rows meet their shard by it.
+    A row's shard follows from its own id as in ``assign_shards``, so null and repeated ids are
+    rows like others and nothing is joined. The rows of a shard are dealt over ``files`` tasks by
+    what is in them and stand by id within a file. Where ``docs`` has a column named shard, the folders'
+    name gets underscores behind it. An empty table writes no rows.
     """
-    (
-        docs.join(assigned.select("doc_id", "shard", "slot"), "doc_id")
-        .repartition("shard", F.floor(F.col("slot") / 100_000))
-        .sortWithinPartitions("shard", "slot")
-        .write.partitionBy("shard")
-        .parquet(path)
-    )
+    shard = free_name(docs, "shard")
+    of = F.to_json(F.struct(*[F.col(c) for c in docs.columns]))
+    dealt = docs.withColumn(shard, shard_of(stable_key(F.col(id_col)), shards))
+    dealt = dealt.repartition(F.col(shard), F.pmod(F.xxhash64(of), F.lit(files)))
+    dealt.sortWithinPartitions(shard, id_col).write.partitionBy(shard).parquet(path)

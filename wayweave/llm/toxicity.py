@@ -150,7 +150,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     At most ``train_rows`` rows are used, half of each label where there are enough, taken by
     hash of the id. Labels without document or value are left out; of several labels of one id
-    the largest holds. Without both labels the machine scores the prior for every text.
+    the largest holds. Rows that repeat an id all count as examples of its label. Without both
+    labels, or from empty tables, the machine scores the prior for every text.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -180,7 +181,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def toxicity(spark, text: Column, model: Machine) -> Column:
-    """Probability of label 1, from 0 to 1, for every text; null counts as empty (the bias alone)."""
+    """Probability of label 1, from 0 to 1, for every text; null counts as empty (the bias alone).
+
+    Equal texts get equal scores; a term counts once however often it occurs, and a long text is read whole.
+    """
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # 2**18 slots and ``keep`` vectors
 
