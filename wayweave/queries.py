@@ -203,12 +203,11 @@ def area_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {STATS} SELECT ward, '<tr><td><a href="map_' || ward || '.html">' || ward || '</a></td><td>' || format('{{:,.0f}}', length_km)
-    || '</td><td>' || printf('%.1f', width_med) || '</td></tr>' AS row FROM stats"""
+    || '</td><td>' || printf('%.1f', width_med) || '</td><td>' || printf('%.1f', narrow_pct) || '</td><td>' || printf('%.2f', blockage)
+    || '</td><td>' || printf('%.1f', slope5) || '</td><td>' || coalesce(printf('%.1f', elev), '') || '</td></tr>' AS row FROM stats"""
 )
 def html_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    full = export.index_rows(stats.ward_stats(costed(spark, sf_dir)))
-    cells = F.split("row", "</td><td>")
-    return full.select("ward", F.concat(F.array_join(F.slice(cells, 1, 3), "</td><td>"), F.lit("</td></tr>")).alias("row"))
+    return export.index_rows(stats.ward_stats(costed(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- points and cells
@@ -831,13 +830,21 @@ def projection_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {COSTED} SELECT ward, count(*) AS features, sum(round_even(length_m, 0))::BIGINT AS metres FROM costed WHERE length_m >= 10 GROUP BY 1"""
+    f"""WITH {COSTED} SELECT ward, count(*) AS features, sum(round_even(length_m, 0))::BIGINT AS metres, {r("sum(width_m)", 3)} AS w, {r("sum(blockage_risk)", 3)} AS b, {r("sum(slope_pct)", 3)} AS s,
+      {r("sum(round_even(length_m * 10, 0) / 1e6)", 4)} AS east, {r("sum(round_even(slope_pct * 100, 0) / 1e6)", 4)} AS north FROM costed WHERE length_m >= 10 GROUP BY 1"""
 )
 def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.array(geom.point(F.lit(139.7), F.lit(35.6)), geom.point(F.lit(139.7) + F.col("length_m") / 1e5, F.lit(35.6)))
+    """Sums of what each feature's text holds."""
+    line = F.array(geom.point(F.lit(139.0), F.lit(35.0)), geom.point(F.lit(139.0) + F.rint(F.col("length_m") * 10) / 1e6, F.lit(35.0) + F.rint(F.col("slope_pct") * 100) / 1e6))
     found = export.features(costed(spark, sf_dir).withColumn("line", line), 10.0)
     read = F.from_json("feature", "type string, properties struct<w:double,b:double,s:double,l:long>, geometry struct<type:string,coordinates:array<array<double>>>")
-    return found.select("ward", read.alias("f")).groupBy("ward").agg(F.count("f.type").alias("features"), F.sum("f.properties.l").alias("metres"))
+    to = F.col("f.geometry.coordinates")[1]
+    own = found.select("ward", read.alias("f")).filter("f.type = 'Feature' AND f.geometry.type = 'LineString'")
+    sums = {"w": F.col("f.properties.w"), "b": F.col("f.properties.b"), "s": F.col("f.properties.s")}
+    return own.groupBy("ward").agg(
+        F.count("*").alias("features"), F.sum("f.properties.l").alias("metres"), *[round_scaled(F.sum(c), 3).alias(k) for k, c in sums.items()],
+        round_scaled(F.sum(to[0] - 139.0), 4).alias("east"), round_scaled(F.sum(to[1] - 35.0), 4).alias("north"),
+    )
 
 
 @query("SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, regexp_extract(url, '/([0-9]+)', 1) AS number, split_part(url, '://', 1) AS scheme, split(url, '/')[-1] AS tail FROM pages")
