@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from wayweave.llm import bytetext
 from wayweave.plans.workspace import small_batches
 
-WINDOW, LEVELS, NEIGHBOURS, POPULAR = 32, 1000, 64, 16
+WINDOW, LEVELS, NEIGHBOURS, POPULAR = 16, 1000, 32, 8
 BITS, HASHES, FULL, SLACK = 2048, 5, 160, 0.3
 #: count * log2(count) in fixed point: entropies are whole numbers, so equal windows have equal ones.
 _C = np.arange(WINDOW + 1)
