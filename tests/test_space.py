@@ -118,6 +118,28 @@ def test_mask_to_centrelines(spark):
     assert 7 <= np.median([r.width_m for r in lines]) <= 9
 
 
+def test_pixels_beside_a_long_diagonal(spark):
+    segs = [(3.3, -7.1, 260.4, 190.2), (10.0, 5.0, 10.0, 5.0), (-20.0, 40.0, 60.0, 40.0)]
+    got = {(r.px, r.py) for r in raster.near_pixels(spark.createDataFrame(segs, "x0 double, y0 double, x1 double, y1 double"), 4.0).collect()}
+
+    def gap(x, y, s):
+        dx, dy = s[2] - s[0], s[3] - s[1]
+        t = min(max(((x - s[0]) * dx + (y - s[1]) * dy) / (dx * dx + dy * dy), 0), 1) if dx or dy else 0
+        return math.hypot(x - s[0] - t * dx, y - s[1] - t * dy)
+
+    assert got == {(i, j) for i in range(-30, 270) for j in range(-20, 200) if min(gap(i + 0.5, j + 0.5, s) for s in segs) <= 4.0}
+
+
+def test_two_point_lines_only(spark):
+    line = "seg_id long, line array<struct<x:double,y:double>>"
+    two = [{"x": 0.0, "y": 1.0}, {"x": 2.0, "y": 3.0}]
+    r = graph.two_point_segments(spark.createDataFrame([(1, two)], line)).first()
+    assert (r.x0, r.y0, r.x1, r.y1) == (0.0, 1.0, 2.0, 3.0)
+    for bad in (two[:1], two + two[:1], None):
+        with pytest.raises(Exception, match="two points"):
+            graph.two_point_segments(spark.createDataFrame([(1, bad)], line)).collect()
+
+
 def test_polygonize(spark):
     segs = [(0, 0, 2, 0), (2, 0, 2, 1), (2, 1, 0, 1), (0, 1, 0, 0), (1, -1, 1, 2), (2, 1, 3, 2)]
     df = spark.createDataFrame([(i, *map(float, s)) for i, s in enumerate(segs)], "seg_id long, x0 double, y0 double, x1 double, y1 double")

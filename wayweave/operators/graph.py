@@ -34,6 +34,15 @@ def key_point(key: Column) -> Column:
     return F.struct(((high - SHIFT) / GRID).alias("x"), ((F.pmod(key, F.lit(MUL)) - SHIFT) / GRID).alias("y"))
 
 
+def two_point_segments(lines: DataFrame, line: str = "line") -> DataFrame:
+    """Adds x0, y0, x1, y1 to lines that have to be of two points; one of any other length, or none, stops the job."""
+    whole = F.coalesce(F.size(line), F.lit(-1)) == 2
+    told = F.assert_true(whole, F.concat(F.lit("a line of two points was expected, not of "), F.coalesce(F.size(line).cast("string"), F.lit("none"))))
+    a, b = F.try_element_at(F.col(line), F.lit(1)), F.try_element_at(F.col(line), F.lit(2))
+    ends = {"x0": a["x"], "y0": a["y"], "x1": b["x"], "y1": b["y"]}
+    return lines.withColumns({k: F.when(told.isNull(), v) for k, v in ends.items()})
+
+
 def node_segments(segs: DataFrame) -> DataFrame:
     """Adds u, v and length to segments (ward, seg_id, x0, y0, x1, y1, width_m)."""
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")

@@ -65,12 +65,21 @@ def rasterise(polygons: DataFrame, pixel: float = PIXEL) -> DataFrame:
 
 
 def near_pixels(segs: DataFrame, reach: float, pixel: float = PIXEL) -> DataFrame:
-    """(px, py): world pixels whose centre is within reach of a segment (x0, y0, x1, y1)."""
-    lo = lambda a, b: F.floor((F.least(a, b) - reach) / pixel)
-    hi = lambda a, b: F.floor((F.greatest(a, b) + reach) / pixel)
-    wide = segs.select("x0", "y0", "x1", "y1", F.explode(F.sequence(lo("x0", "x1"), hi("x0", "x1"))).alias("px"))
-    wide = wide.select("*", F.explode(F.sequence(lo("y0", "y1"), hi("y0", "y1"))).alias("py"))
-    d = geom.to_segment((F.col("px") + 0.5) * pixel, (F.col("py") + 0.5) * pixel, [F.col(c) for c in ("x0", "y0", "x1", "y1")])
+    """(px, py): world pixels whose centre is within reach of a segment (x0, y0, x1, y1).
+
+    A segment is gone along in steps of a few reaches, so a long diagonal lists the pixels beside
+    it, not those of its box; each is held against the whole segment.
+    """
+    ends = ("x0", "y0", "x1", "y1")
+    dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
+    steps = F.greatest(F.ceil(F.sqrt(dx * dx + dy * dy) / (4.0 * reach + 8.0 * pixel)), F.lit(1))
+    parts = segs.select(*ends, steps.alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), steps - 1)).alias("k"))
+    at = lambda c, d, k: F.col(c) + d * (k / F.col("n"))
+    lo = lambda c, d: F.floor((F.least(at(c, d, F.col("k")), at(c, d, F.col("k") + 1)) - reach) / pixel) - 1
+    hi = lambda c, d: F.floor((F.greatest(at(c, d, F.col("k")), at(c, d, F.col("k") + 1)) + reach) / pixel) + 1
+    wide = parts.select(*ends, lo("y0", dy).alias("low"), hi("y0", dy).alias("high"), F.explode(F.sequence(lo("x0", dx), hi("x0", dx))).alias("px"))
+    wide = wide.select(*ends, "px", F.explode(F.sequence("low", "high")).alias("py"))
+    d = geom.to_segment((F.col("px") + 0.5) * pixel, (F.col("py") + 0.5) * pixel, [F.col(c) for c in ends])
     return wide.filter(d <= reach).select("px", "py").distinct()
 
 

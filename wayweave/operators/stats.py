@@ -83,6 +83,20 @@ def coverage(samples: DataFrame, value: str) -> DataFrame:
     )
 
 
+def totals(edges: DataFrame, cells: DataFrame) -> DataFrame:
+    """One row of what a run reports: edges, kilometres, those over a barrier, cells with buildings and their mean density.
+
+    Null flags count as false; without rows counts are 0 and the mean is null.
+    """
+    none = lambda kind: F.lit(None).cast(kind)
+    both = edges.select("length_m", holds(F.col("barrier_cross")).alias("over"), none("double").alias("density"), F.lit(True).alias("edge"))
+    both = both.union(cells.select(none("double"), F.lit(False), "bld_density", F.lit(False)))
+    return both.agg(
+        F.count_if("edge").alias("edges"), F.coalesce(F.sum("length_m") / 1000.0, F.lit(0.0)).alias("km"), F.count_if("over").alias("crossings"),
+        F.count_if(~F.col("edge")).alias("cells"), F.avg("density").alias("mean_density"),
+    )
+
+
 def mesh_density(buildings: DataFrame, side: float = 250.0) -> DataFrame:
     """(mesh_x, mesh_y, bld_count, bld_area_m2, bld_density) of buildings with a centre x, y and area.
 

@@ -367,6 +367,21 @@ def tile_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- overlay
 
 
+@query(f"WITH {POINTS} SELECT point_id AS line_id, x AS x0, y AS y0, x + 40.0 AS x1, y + (point_id % 7 - 3) * 15.0 AS y1 FROM points")
+def two_point_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.two_point_segments(strokes(spark, sf_dir)).select("line_id", "x0", "y0", "x1", "y1")
+
+
+@query(
+    f"""WITH {ROADS}, {POINTS}, d AS (SELECT sum(area) / 62500.0 AS d FROM points GROUP BY floor(x / 250), floor(y / 250))
+    SELECT (SELECT count(*) FROM roads) AS edges, (SELECT {r("sum(length_m) / 1000.0", 3)} FROM roads) AS km, (SELECT count(*) FROM roads WHERE barrier_cross) AS crossings,
+      (SELECT count(*) FROM d) AS cells, (SELECT {r("avg(d)", 6)} FROM d) AS mean_density"""
+)
+def network_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stats.totals(roads(spark, sf_dir), stats.mesh_density(points(spark, sf_dir)))
+    return found.withColumns({"km": round_scaled(F.col("km"), 3), "mean_density": round_scaled(F.col("mean_density"), 6)})
+
+
 @query(
     """WITH c AS (SELECT c_custkey % 50 AS x, c_custkey // 50 AS y, 'r' || (c_nationkey % 5) AS name FROM customer),
       f AS (SELECT name, (name, x + 1, y) IN (SELECT (name, x, y) FROM c) AS e, (name, x, y + 1) IN (SELECT (name, x, y) FROM c) AS n, (name, x + 1, y + 1) IN (SELECT (name, x, y) FROM c) AS d FROM c)
@@ -529,6 +544,16 @@ def line_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.groupBy("ward", "chain").agg(F.count("*").alias("edges"), F.max("place").alias("last_place"), F.sum("gap").alias("breaks"))
 
 
+@query(
+    f"""{CHAINS}, ends_ AS (SELECT ward, chain, u AS n FROM told WHERE NOT u_inner UNION ALL SELECT ward, chain, v FROM told WHERE NOT v_inner),
+      two AS (SELECT ward, chain, min(n) AS u, max(n) AS v FROM ends_ GROUP BY 1, 2 HAVING min(n) <> max(n)), used AS (SELECT ward, u AS node FROM two UNION SELECT ward, v FROM two)
+    SELECT ward, node, ((node - node % 10000000) / 10000000 - 1000000) / 2.0 AS x, (node % 10000000 - 1000000) / 2.0 AS y FROM used"""
+)
+def used_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the junctions that contracted streets end in."""
+    return graph.nodes_of(graph.contract(noded(spark, sf_dir)))
+
+
 TREES = """t AS (SELECT 'i' || l_suppkey || '-' || l_orderkey || '-' || l_linenumber AS node, s_nationkey AS k FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
     UNION SELECT 's' || s_suppkey, s_nationkey FROM supplier UNION SELECT 'n' || s_nationkey, s_nationkey FROM supplier)"""
 
