@@ -757,13 +757,14 @@ def dem_priority_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = [F.floor(F.col("y") / 100).cast("int").alias("r"), F.floor(F.col("x") / 100).cast("int").alias("col")]
     third = F.col("point_id") % 3
     both = own.groupBy(*at).agg(F.avg(F.when(third == 0, F.col("area"))).alias("A"), F.max(F.when(third == 1, F.col("area"))).alias("B"))
-    # meshes of 5 by 5 kilometres, taken as degrees, as far north as the points go; rows count from the north
-    mesh = lambda k: F.format_string("m%06d", k)
+    # meshes of 5 by 5 kilometres, taken as degrees, as far north and east as the points go; rows count from the north
+    mesh = lambda k, j: F.format_string("m%06d-%06d", k, j)
     kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("elev")) for k in "AB"])).alias("e")
-    dem = both.select("r", "col", kinds).select(mesh(F.expr("r div 50")).alias("mesh"), "e.kind", (49 - F.col("r") % 50).alias("row"), "col", "e.elev").filter("elev IS NOT NULL")
-    north = own.agg(F.max(F.floor(F.col("y") / 5000)).alias("n")).select(F.explode(F.sequence(F.lit(0).cast("long"), "n")).alias("k"))
+    dem = both.select("r", "col", kinds).select(mesh(F.expr("r div 50"), F.expr("col div 50")).alias("mesh"), "e.kind", (49 - F.col("r") % 50).alias("row"), (F.col("col") % 50).alias("col"), "e.elev").filter("elev IS NOT NULL")
+    most = own.agg(F.max(F.floor(F.col("y") / 5000)).alias("n"), F.max(F.floor(F.col("x") / 5000)).alias("e"))
+    north = most.select("e", F.explode(F.sequence(F.lit(0).cast("long"), "n")).alias("k")).select("k", F.explode(F.sequence(F.lit(0).cast("long"), "e")).alias("j"))
     five, fifty = F.lit(5.0), F.lit(50)
-    meta = north.select(mesh("k").alias("mesh"), (F.col("k") * 5.0).alias("lat0"), F.lit(0.0).alias("lon0"), five.alias("lat_span"), five.alias("lon_span"), fifty.alias("rows"), fifty.alias("cols"))
+    meta = north.select(mesh("k", "j").alias("mesh"), (F.col("k") * 5.0).alias("lat0"), (F.col("j") * 5.0).alias("lon0"), five.alias("lat_span"), five.alias("lon_span"), fifty.alias("rows"), fifty.alias("cols"))
     # a cell's centre stands for its points, so that no point is on a border
     mid = lambda c: (F.floor(F.col(c) / 100) + 0.5) / 10.0
     found = raster.sample_elevation(own.select("point_id", mid("y").alias("lat"), mid("x").alias("lon")), meta, dem, ["A", "B"])
