@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayweave.functions.numeric import round_scaled
-from wayweave.operators.components import connected_components
+from wayweave.operators.components import component_sizes, connected_components
 from wayweave.operators.ranking import rank_lists
 from wayweave.plans.workspace import Workspace
 
@@ -85,11 +85,14 @@ def degrees(edges: DataFrame) -> DataFrame:
     return ends(edges).groupBy("ward", "node").agg(F.count("*").alias("degree"))
 
 
+def _ward_pairs(edges: DataFrame) -> DataFrame:
+    pair = lambda c: F.struct("ward", F.col(c).alias("node"))
+    return edges.select(pair("u").alias("u"), pair("v").alias("v"))
+
+
 def ward_components(edges: DataFrame) -> DataFrame:
     """(ward, node, component): components of each ward's graph."""
-    pair = lambda c: F.struct("ward", F.col(c).alias("node"))
-    both = edges.select(pair("u").alias("u"), pair("v").alias("v"))
-    found = connected_components(both)
+    found = connected_components(_ward_pairs(edges))
     return found.select("node.ward", "node.node", F.col("component.node").alias("component"))
 
 
@@ -194,5 +197,5 @@ def nodes_of(edges: DataFrame) -> DataFrame:
 
 def largest_component_pct(edges: DataFrame) -> DataFrame:
     """(ward, lcc_pct): share of nodes in the ward's largest component, to a tenth of a percent."""
-    sizes = ward_components(edges).groupBy("ward", "component").agg(F.count("*").alias("n"))
+    sizes = component_sizes(_ward_pairs(edges)).select(F.col("component.ward").alias("ward"), "n")
     return sizes.groupBy("ward").agg(round_scaled(F.max("n") * 100.0 / F.sum("n"), 1).alias("lcc_pct"))
