@@ -104,21 +104,28 @@ def chains(edges: DataFrame) -> DataFrame:
     inner node at its end; ranks along these lists give an edge's place in its street, in the way
     that starts at the smaller end; ``forward`` tells whether that way runs from u to v.
     """
-    way = lambda at, to, ahead: edges.select("ward", F.col(at).alias("at"), F.col(to).alias("to"), F.struct("ward", "seg_id", F.lit(ahead).alias("ahead")).alias("item"))
-    out = way("u", "v", True).unionAll(way("v", "u", False))
+    ws = Workspace(edges.sparkSession, "chains", release=False)
+    # edges are numbered in order of their keys; the two ways along edge e are the items 2 e and 2 e + 1
+    edges = ws.save(edges.sort("ward", "seg_id").withColumn("_e", F.monotonically_increasing_id()), "edges")
+    way = lambda at, to, ahead: edges.select("ward", F.col(at).alias("at"), F.col(to).alias("to"), (F.col("_e") * 2 + ahead).alias("item"))
+    out = way("u", "v", 1).unionAll(way("v", "u", 0))
     pairs = out.groupBy("ward", "at").agg(F.count("*").alias("n"), F.min("item").alias("p"), F.max("item").alias("q")).filter("n = 2")
-    back = lambda i: F.struct(i["ward"].alias("ward"), i["seg_id"].alias("seg_id"), (~i["ahead"]).alias("ahead"))
+    pairs = ws.save(pairs.select("ward", "at", "p", "q"), "pairs")
+    back = lambda i: i.bitwiseXOR(F.lit(1).cast("long"))
     p, q = F.col("p"), F.col("q")
     turns = pairs.select(F.explode(F.array(F.struct(back(p).alias("item"), q.alias("next")), F.struct(back(q).alias("item"), p.alias("next")))).alias("t")).select("t.*")
-    ranked = rank_lists(out.select("item").join(turns, "item", "left"))
-    inner = pairs.select("ward", "at", F.col("at").alias("inner"))
-    told = out.join(inner, ["ward", "at"], "left").join(ranked, "item")
-    ends = told.groupBy("list").agg(F.min("inner").alias("least"), F.min_by("at", "place").alias("start"), F.max_by("to", "place").alias("stop"))
-    told = told.join(ends, "list").select("item.ward", "item.seg_id", F.struct(F.col("start") > F.col("stop"), "list", "place", "item.ahead", "least").alias("way"), F.when(F.col("item.ahead"), F.col("inner").isNotNull()).alias("u_in"), F.when(~F.col("item.ahead"), F.col("inner").isNotNull()).alias("v_in"))
-    each = told.groupBy("ward", "seg_id").agg(F.min("way").alias("way"), F.max("u_in").alias("u_inner"), F.max("v_in").alias("v_inner"))
+    ranked = rank_lists(out.select("item").join(turns, "item", "left")).select("item", "list", "place")
+    inner = pairs.select(F.explode(F.array("p", "q")).alias("item"), F.lit(True).alias("inner"))
+    told = out.select("item", "at", "to").join(inner, "item", "left").join(ranked, "item")
+    ends = told.groupBy("list").agg(F.min(F.when(F.col("inner"), F.col("at"))).alias("least"), F.min_by("at", "place").alias("start"), F.max_by("to", "place").alias("stop"))
+    ends = ends.select("list", "least", (F.col("start") > F.col("stop")).alias("down"))
+    ahead = F.pmod("item", F.lit(2)) == 1
+    told = told.join(ends, "list").select(F.expr("item div 2").alias("_e"), F.struct("down", "list", "place", ahead.alias("ahead"), "least").alias("way"), F.when(ahead, F.col("inner").isNotNull()).alias("u_in"), F.when(~ahead, F.col("inner").isNotNull()).alias("v_in"))
+    each = told.groupBy("_e").agg(F.min("way").alias("way"), F.max("u_in").alias("u_inner"), F.max("v_in").alias("v_inner"))
+    each = each.select("_e", "u_inner", "v_inner", F.col("way.least").alias("least"), F.col("way.place").alias("place"), F.col("way.ahead").alias("forward"))
     solo = F.concat(F.lit("s"), F.col("seg_id").cast("string"))
-    each = each.select("ward", "seg_id", "u_inner", "v_inner", F.coalesce(F.col("way.least").cast("string"), solo).alias("chain"), F.col("way.place").alias("place"), F.col("way.ahead").alias("forward"))
-    return edges.join(each, ["ward", "seg_id"])
+    told = edges.join(each, "_e").withColumn("chain", F.coalesce(F.col("least").cast("string"), solo))
+    return told.select(*[c for c in edges.columns if c != "_e"], "u_inner", "v_inner", "chain", "place", "forward")
 
 
 def contract(edges: DataFrame, told: DataFrame | None = None) -> DataFrame:
@@ -129,7 +136,7 @@ def contract(edges: DataFrame, told: DataFrame | None = None) -> DataFrame:
     """
     if told is None:
         ws = Workspace(edges.sparkSession, "contract", release=False)
-        told = ws.save(chains(ws.save(edges, "edges")), "chains")
+        told = ws.save(chains(edges), "chains")
     sums = told.groupBy("ward", "chain").agg(
         F.sum("length").alias("length"), F.sum(F.col("length") * F.col("width_m")).alias("by_width")
     )
