@@ -16,6 +16,8 @@ from wayweave.functions.numeric import round_scaled
 
 #: Pixel, tile side, padding, widest street, reach of road edges and of bridges, in metres.
 PIXEL, TILE, PAD, WIDEST, NEAR, BRIDGE = 1.0, 2000.0, 60.0, 50.0, 25.0, 6.0
+#: Rows of a band in which distances go down columns, without the overlaps.
+BAND = 256
 #: East, south, south-east, south-west.
 FORWARD = [(0, 1), (1, 0), (1, 1), (1, -1)]
 
@@ -113,18 +115,23 @@ def distance_rows(mask: DataFrame, reach: int) -> DataFrame:
     """(tile, iy, ix, dist): distance of true pixels to the nearest false one, in pixels, relationally.
 
     mask has tile, iy, ix and on, with a row for every pixel of a tile. First along rows, by the last and next false pixel; then down
-    columns, as the least over ``reach`` rows each way. Distances beyond reach are left out.
+    columns, as the least over ``reach`` rows each way, in bands of rows that overlap by the reach. Distances beyond reach are left out.
     """
     row = Window.partitionBy("tile", "iy").orderBy("ix")
     back = row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ahead = row.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     off = F.when(~F.col("on"), F.col("ix"))
-    flat = mask.withColumns({"a": F.last(off, ignorenulls=True).over(back), "b": F.first(off, ignorenulls=True).over(ahead)})
-    flat = flat.withColumn("g", F.least(F.col("ix") - F.col("a"), F.col("b") - F.col("ix"))).filter(F.col("g") <= reach)
-    spread = flat.select("tile", "ix", "g", F.explode(F.sequence(F.col("iy") - reach, F.col("iy") + reach)).alias("jy"), "iy")
-    spread = spread.select("tile", "ix", F.col("jy").alias("iy"), (F.col("g") * F.col("g") + (F.col("jy") - F.col("iy")) * (F.col("jy") - F.col("iy"))).alias("d2"))
-    best = spread.groupBy("tile", "iy", "ix").agg(F.min("d2").alias("d2"))
-    return mask.filter("on").select("tile", "iy", "ix").join(best, ["tile", "iy", "ix"]).filter(F.col("d2") <= reach * reach).select("tile", "iy", "ix", F.sqrt("d2").alias("dist"))
+    flat = mask.select("tile", "iy", "ix", "on").withColumns({"a": F.last(off, ignorenulls=True).over(back), "b": F.first(off, ignorenulls=True).over(ahead)})
+    g = F.least(F.col("ix") - F.col("a"), F.col("b") - F.col("ix"))
+    flat = flat.select("tile", "iy", "ix", "on", F.when(g <= reach, g * g).alias("g2"))
+    high = BAND + 2 * reach
+    bands = F.sequence(F.floor((F.col("iy") - reach) / high), F.floor((F.col("iy") + reach) / high))
+    banded = flat.select("*", F.explode(bands).alias("band"))
+    column = Window.partitionBy("tile", "band", "ix").orderBy("iy")
+    # every row of a column is there, so the k-th row before or behind is k pixels away
+    near = [F.col("g2"), *[step("g2", k).over(column) + k * k for k in range(1, reach + 1) for step in (F.lag, F.lead)]]
+    best = banded.withColumn("d2", F.least(*near) if reach else F.col("g2")).filter(F.col("on") & (F.floor(F.col("iy") / high) == F.col("band")))
+    return best.filter(F.col("d2") <= reach * reach).select("tile", "iy", "ix", F.sqrt("d2").alias("dist"))
 
 
 def edt(mask: np.ndarray) -> np.ndarray:
