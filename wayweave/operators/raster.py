@@ -18,6 +18,8 @@ from wayweave.functions.numeric import round_scaled
 PIXEL, TILE, PAD, WIDEST, NEAR, BRIDGE = 1.0, 2000.0, 60.0, 50.0, 25.0, 6.0
 #: Rows of a band in which distances go down columns, without the overlaps.
 BAND = 256
+#: Pixels of a row that a word holds as bits.
+WORD = 64
 #: East, south, south-east, south-west.
 FORWARD = [(0, 1), (1, 0), (1, 1), (1, -1)]
 
@@ -45,13 +47,8 @@ def border_edges(polygons: DataFrame) -> DataFrame:
     return edges.select("poly_id", a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by"))
 
 
-def rasterise(polygons: DataFrame, pixel: float = PIXEL) -> DataFrame:
-    """(poly_id, px, py): world pixels whose centre lies in the polygon.
-
-    polygons have poly_id and polygon, or are border edges in any order. Each row of pixels is
-    cut by the border at its centre height; pixels between odd and even cuts are inside. Pixels
-    are listed per scan line, so the work follows the polygon's area.
-    """
+def _spans(polygons: DataFrame, pixel: float) -> DataFrame:
+    """(poly_id, py, start, stop): runs of pixels whose centre lies in the polygon; see ``rasterise``."""
     edges = (polygons if "ax" in polygons.columns else border_edges(polygons)).filter("ay <> by")
     low, high = F.least("ay", "by"), F.greatest("ay", "by")
     first = F.ceil(low / pixel - 0.5)
@@ -63,15 +60,28 @@ def rasterise(polygons: DataFrame, pixel: float = PIXEL) -> DataFrame:
     row = Window.partitionBy("poly_id", "py").orderBy("x")
     spans = cuts.withColumns({"k": F.row_number().over(row), "to": F.lead("x").over(row)}).filter("k % 2 = 1 AND to IS NOT NULL")
     start, stop = F.ceil(F.col("x") / pixel - 0.5), F.ceil(F.col("to") / pixel - 0.5) - 1
-    return spans.filter(stop >= start).select("poly_id", F.explode(F.sequence(start, stop)).alias("px"), F.col("py").cast("long").alias("py"))
+    return spans.filter(stop >= start).select("poly_id", F.col("py").cast("long").alias("py"), start.alias("start"), stop.alias("stop"))
 
 
-def near_pixels(segs: DataFrame, reach: float, pixel: float = PIXEL) -> DataFrame:
-    """(px, py): world pixels whose centre is within reach of a segment (x0, y0, x1, y1).
+def rasterise(polygons: DataFrame, pixel: float = PIXEL) -> DataFrame:
+    """(poly_id, px, py): world pixels whose centre lies in the polygon.
 
-    A segment is gone along in steps of a few reaches, so a long diagonal lists the pixels beside
-    it, not those of its box; each is held against the whole segment.
+    polygons have poly_id and polygon, or are border edges in any order. Each row of pixels is
+    cut by the border at its centre height; pixels between odd and even cuts are inside. Pixels
+    are listed per scan line, so the work follows the polygon's area.
     """
+    return _spans(polygons, pixel).select("poly_id", F.explode(F.sequence("start", "stop")).alias("px"), "py")
+
+
+def _filled_words(polygons: DataFrame, pixel: float) -> DataFrame:
+    """(wx, py, bits): pixels in any of the polygons, as words."""
+    words = _spans(polygons, pixel).select("py", "start", "stop", F.explode(F.sequence(F.floor(F.col("start") / WORD), F.floor(F.col("stop") / WORD))).alias("wx"))
+    low, high = f"cast(greatest(start - wx * {WORD}, 0) as int)", f"cast({WORD - 1} - least(stop - wx * {WORD}, {WORD - 1}) as int)"
+    return words.groupBy("wx", "py").agg(F.bit_or(F.expr(f"shiftleft(-1L, {low}) & shiftrightunsigned(-1L, {high})")).alias("bits"))
+
+
+def _near_words(segs: DataFrame, reach: float, pixel: float) -> DataFrame:
+    """(wx, py, bits): ``near_pixels`` as words, so that what is kept and sent is a word and not its pixels."""
     ends = ("x0", "y0", "x1", "y1")
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     steps = F.greatest(F.ceil(F.sqrt(dx * dx + dy * dy) / (4.0 * reach + 8.0 * pixel)), F.lit(1))
@@ -82,22 +92,42 @@ def near_pixels(segs: DataFrame, reach: float, pixel: float = PIXEL) -> DataFram
     wide = parts.select(*ends, lo("y0", dy).alias("low"), hi("y0", dy).alias("high"), F.explode(F.sequence(lo("x0", dx), hi("x0", dx))).alias("px"))
     wide = wide.select(*ends, "px", F.explode(F.sequence("low", "high")).alias("py"))
     d = geom.to_segment((F.col("px") + 0.5) * pixel, (F.col("py") + 0.5) * pixel, [F.col(c) for c in ends])
-    return wide.filter(d <= reach).select("px", "py").distinct()
+    word = F.floor(F.col("px") / WORD).alias("wx")
+    return wide.filter(d <= reach).groupBy(word, "py").agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(px, {WORD}) as int))")).alias("bits"))
+
+
+def _pixels(words: DataFrame) -> DataFrame:
+    """(px, py) of the words (wx, py, bits)."""
+    each = words.select("wx", "py", "bits", F.explode(F.sequence(F.lit(0), F.lit(WORD - 1))).alias("i")).filter("shiftright(bits, i) & 1 = 1")
+    return each.select((F.col("wx") * WORD + F.col("i")).alias("px"), "py")
+
+
+def _without(words: DataFrame, other: DataFrame) -> DataFrame:
+    """(wx, py, bits): the pixels of the words that the other words do not have."""
+    met = words.join(other.withColumnRenamed("bits", "less"), ["wx", "py"], "left")
+    return met.select("wx", "py", F.expr("bits & ~coalesce(less, 0L)").alias("bits")).filter("bits <> 0")
+
+
+def near_pixels(segs: DataFrame, reach: float, pixel: float = PIXEL) -> DataFrame:
+    """(px, py): world pixels whose centre is within reach of a segment (x0, y0, x1, y1).
+
+    A segment is gone along in steps of a few reaches, so a long diagonal lists the pixels beside
+    it, not those of its box; each is held against the whole segment.
+    """
+    return _pixels(_near_words(segs, reach, pixel))
 
 
 def road_mask(road_edges: DataFrame, blocks: DataFrame, water: DataFrame | None = None, pixel: float = PIXEL) -> DataFrame:
     """(px, py) of street space: near a road edge, in no block, in no water unless a bridge.
 
     road_edges are segments, blocks and water polygons or border edges (see rasterise). Water
-    stays where a road edge is within the bridge reach.
+    stays where a road edge is within the bridge reach. Masks meet as words of pixels.
     """
-    mask = near_pixels(road_edges, NEAR, pixel)
-    mask = mask.join(rasterise(blocks, pixel).select("px", "py"), ["px", "py"], "left_anti")
+    mask = _without(_near_words(road_edges, NEAR, pixel), _filled_words(blocks, pixel))
     if water is not None:
-        bridge = near_pixels(road_edges, BRIDGE, pixel)
-        wet = rasterise(water, pixel).select("px", "py").distinct().join(bridge, ["px", "py"], "left_anti")
-        mask = mask.join(wet, ["px", "py"], "left_anti")
-    return mask
+        wet = _without(_filled_words(water, pixel), _near_words(road_edges, BRIDGE, pixel))
+        mask = _without(mask, wet)
+    return _pixels(mask)
 
 
 def into_tiles(mask: DataFrame, side: float = TILE, pad: float = PAD, pixel: float = PIXEL) -> DataFrame:
