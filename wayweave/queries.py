@@ -865,7 +865,9 @@ def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = export.features(costed(spark, sf_dir).withColumn("line", line), 10.0)
     read = F.from_json("feature", "type string, properties struct<w:double,b:double,s:double,l:long>, geometry struct<type:string,coordinates:array<array<double>>>")
     to = F.col("f.geometry.coordinates")[1]
-    own = found.select("ward", read.alias("f")).filter("f.type = 'Feature' AND f.geometry.type = 'LineString'")
+    # as a generator's rows, texts are written once and read once; as columns they are for each field that is used
+    one = lambda c: F.explode(F.array(c))
+    own = found.select("ward", one("feature").alias("feature")).select("ward", one(read).alias("f")).filter("f.type = 'Feature' AND f.geometry.type = 'LineString'")
     sums = {"w": F.col("f.properties.w"), "b": F.col("f.properties.b"), "s": F.col("f.properties.s")}
     return own.groupBy("ward").agg(
         F.count("*").alias("features"), F.sum("f.properties.l").alias("metres"), *[round_scaled(F.sum(c), 3).alias(k) for k, c in sums.items()],
