@@ -71,14 +71,14 @@ def on_step(edges: DataFrame, step: float = STEP, total: Callable[[DataFrame], D
 
 
 def _cuts(geo: DataFrame, cell: float) -> DataFrame:
-    """(grp, a, b, t, c): points c inside the edges (grp, a, b) where another edge of the group meets them."""
-    spread = through_cells(geo.select("grp", "a", "b", *_ends()), cell, ENDS)
-    other = spread.select("grp", "cx", "cy", *[F.col(c).alias(f"o{c}") for c in ("a", "b", *ENDS)])
+    """(grp, a, b, stops): edges (grp, a, b) that another edge of the group meets, with the points (t, c) inside them, in order."""
+    spread = through_cells(geo.select("grp", *_ends()), cell, ENDS)
+    other = spread.select("grp", "cx", "cy", *[F.col(c).alias(f"o{c}") for c in ENDS])
     ax, ay, bx, by, px, py, qx, qy = (F.col(c) for c in (*ENDS, *[f"o{c}" for c in ENDS]))
     dx, dy, ex, ey = bx - ax, by - ay, qx - px, qy - py
     apart = (F.greatest(ax, bx) < F.least(px, qx)) | (F.greatest(px, qx) < F.least(ax, bx)) | (F.greatest(ay, by) < F.least(py, qy)) | (F.greatest(py, qy) < F.least(ay, by))
-    met = spread.join(other, ["grp", "cx", "cy"]).filter(((F.col("a") != F.col("oa")) | (F.col("b") != F.col("ob"))) & ~apart)
-    met = met.select("grp", "a", "b", *ENDS, *[f"o{c}" for c in ("a", "b", *ENDS)]).withColumn("cross", dx * ey - dy * ex)
+    met = spread.join(other, ["grp", "cx", "cy"]).filter(((ax != px) | (ay != py) | (bx != qx) | (by != qy)) & ~apart)
+    met = met.select("grp", *ENDS, *[f"o{c}" for c in ENDS]).withColumn("cross", dx * ey - dy * ex)
     up, down = (px - ax) * ey - (py - ay) * ex, (px - ax) * dy - (py - ay) * dx
     bottom = F.when(F.col("cross") == 0, F.lit(1)).otherwise(F.col("cross"))
     t, s = up / bottom, down / bottom
@@ -90,8 +90,10 @@ def _cuts(geo: DataFrame, cell: float) -> DataFrame:
         return F.struct(F.when(((x - ax) * dy == (y - ay) * dx) & (along > 0) & (along < 1), along).alias("t"), _point(x, y).alias("c"))
 
     found = F.when(F.col("cross") != 0, crossing).otherwise(F.array(resting(px, py), resting(qx, qy)))
-    cut = met.select("grp", "a", "b", F.explode(found).alias("k")).select("grp", "a", "b", "k.t", "k.c")
-    return cut.filter("t IS NOT NULL AND c <> a AND c <> b").groupBy("grp", "a", "b", "c").agg(F.min("t").alias("t"))
+    cut = met.select("grp", _point(ax, ay).alias("a"), _point(bx, by).alias("b"), F.explode(found).alias("k")).select("grp", "a", "b", "k.t", "k.c")
+    # dealt by edge once, for both sums
+    every = cut.filter("t IS NOT NULL AND c <> a AND c <> b").repartition("grp", "a", "b").groupBy("grp", "a", "b", "c").agg(F.min("t").alias("t"))
+    return every.groupBy("grp", "a", "b").agg(F.array_sort(F.collect_list(F.struct("t", "c"))).alias("stops"))
 
 
 def node(edges: DataFrame, cell: float, total: Callable[[DataFrame], DataFrame] = _summed, rounds: int = 12) -> DataFrame:
@@ -103,16 +105,13 @@ def node(edges: DataFrame, cell: float, total: Callable[[DataFrame], DataFrame]
     ws = Workspace(edges.sparkSession, "noding", release=False)
     now = ws.save(edges, "edges0")
     for i in range(1, rounds):
-        cuts, told = ws.save_and_tell(_cuts(now.select("grp", "a", "b").distinct(), cell), f"cuts{i}", n=F.count("*"))
+        cuts, told = ws.save_and_tell(_cuts(now, cell), f"cuts{i}", n=F.count("*"))
         if not told["n"]:
             return now
-        hit = cuts.select("grp", "a", "b").distinct()
-        ends = hit.select("grp", "a", "b", F.explode(F.array(F.struct(F.lit(0.0).alias("t"), F.col("a").alias("c")), F.struct(F.lit(1.0).alias("t"), F.col("b").alias("c")))).alias("k"))
-        stops = cuts.select("grp", "a", "b", "t", "c").unionByName(ends.select("grp", "a", "b", "k.t", "k.c"))
-        order = Window.partitionBy("grp", "a", "b").orderBy("t", "c")
-        pieces = stops.withColumn("to", F.lead("c").over(order)).filter("to IS NOT NULL").select("grp", "a", "b", F.col("c").alias("from"), "to")
-        cut = now.join(pieces, ["grp", "a", "b"]).select("grp", "layer", F.col("from").alias("a"), F.col("to").alias("b"), "n")
-        now = ws.save(total(cut.unionByName(now.join(hit, ["grp", "a", "b"], "left_anti").select("grp", "layer", "a", "b", "n"))), f"edges{i}")
+        inner = F.coalesce(F.transform("stops", lambda k: k["c"]), F.array().cast("array<struct<x:bigint,y:bigint>>"))
+        pieces = F.zip_with(F.concat(F.array("a"), inner), F.concat(inner, F.array("b")), lambda p, q: F.struct(p.alias("a"), q.alias("b")))
+        cut = now.join(cuts, ["grp", "a", "b"], "left").select("grp", "layer", "n", F.explode(pieces).alias("p"))
+        now = ws.save(total(cut.select("grp", "layer", "p.a", "p.b", "n")), f"edges{i}")
         ws.drop(f"edges{i - 1}", f"cuts{i}")
     raise RuntimeError(f"edges still meet after {rounds} rounds")
 
@@ -142,6 +141,11 @@ def winding_at(points: DataFrame, edges: DataFrame, cell: float) -> DataFrame:
     points are (grp, id, x, y), edges (grp, layer, ax, ay, bx, by, n). From the cell's reference
     point the way goes up or down to the point's height, then along it.
     """
+    return _turns(points, edges, cell).groupBy("grp", "id", "layer").agg(F.sum("w").alias("w")).filter("w <> 0")
+
+
+def _turns(points: DataFrame, edges: DataFrame, cell: float) -> DataFrame:
+    """(grp, id, layer, w): what ``winding_at`` sums."""
     own = points.select("grp", "id", "x", "y", F.floor(F.col("x") / cell).alias("cx"), F.floor(F.col("y") / cell).alias("cy"))
     near = through_cells(edges.select("grp", "layer", *ENDS, "n"), cell, ENDS)
     rx, ry = (F.col("cx") + AT_X) * cell, (F.col("cy") + AT_Y) * cell
@@ -153,7 +157,7 @@ def winding_at(points: DataFrame, edges: DataFrame, cell: float) -> DataFrame:
     turn = F.when((ax <= rx) != (bx <= rx), rise).otherwise(0) + F.when((ay <= y) != (by <= y), run).otherwise(0)
     beside = own.join(near, ["grp", "cx", "cy"]).select("grp", "id", "layer", turn.alias("w")).filter("w <> 0")
     base = own.join(covered_cells(edges, cell), ["grp", "cx", "cy"]).select("grp", "id", "layer", "w")
-    return base.unionByName(beside).groupBy("grp", "id", "layer").agg(F.sum("w").alias("w")).filter("w <> 0")
+    return base.unionByName(beside)
 
 
 def _beside(a: Column, b: Column, gap: float = 1e-4) -> tuple[Column, Column]:
@@ -173,28 +177,29 @@ def overlay(edges: DataFrame, layers: list[str], inside: Callable[..., Column],
     ws = Workspace(edges.sparkSession, "overlay", release=False)
     noded = ws.save(node(on_step(edges, step), cell), "noded")
     x, y = _beside(F.col("id")["a"], F.col("id")["b"])
-    points = noded.select("grp", F.struct("a", "b").alias("id")).distinct().select("grp", "id", x.alias("x"), y.alias("y"))
-    around = winding_at(points, noded.select("grp", "layer", *_ends(), "n"), cell)
+    ids = noded.select("grp", F.struct("a", "b").alias("id"))
+    points = (ids.distinct() if len(layers) > 1 else ids).select("grp", "id", x.alias("x"), y.alias("y"))
+    turns = _turns(points, noded.select("grp", "layer", *_ends(), "n"), cell)
+    none = F.lit(0).cast("long")
+    both = turns.select("grp", "id", "layer", F.col("w").cast("long").alias("w"), none.alias("n")).unionByName(noded.select("grp", F.struct("a", "b").alias("id"), "layer", none.alias("w"), "n"))
     of = lambda v: [F.sum(F.when(F.col("layer") == k, F.col(v)).otherwise(0)).alias(f"{v}{i}") for i, k in enumerate(layers)]
-    left = around.groupBy("grp", F.col("id")["a"].alias("a"), F.col("id")["b"].alias("b")).agg(*of("w"))
-    told = noded.groupBy("grp", "a", "b").agg(*of("n")).join(left, ["grp", "a", "b"], "left")
-    w = [F.coalesce(f"w{i}", F.lit(0)) for i in range(len(layers))]
+    told = both.groupBy("grp", "id").agg(*of("w"), *of("n")).select("grp", "id.a", "id.b", *[f"{v}{i}" for v in "wn" for i in range(len(layers))])
+    w = [F.col(f"w{i}") for i in range(len(layers))]
     here, there = inside(*w), inside(*[v - F.col(f"n{i}") for i, v in enumerate(w)])
     border = told.filter(here != there).select("grp", F.when(here, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(here, F.col("b")).otherwise(F.col("a")).alias("b"))
     return ws.save(border, "border")
 
 
 def _follow(border: DataFrame) -> DataFrame:
-    """(item, next): after edge (a, b) comes the edge that leaves b first clockwise of b to a."""
+    """(item, next), both ids of border edges (id, grp, a, b): after edge (a, b) comes the edge that leaves b first clockwise of b to a."""
     angle = lambda p, q: F.atan2((q["y"] - p["y"]).cast("double"), (q["x"] - p["x"]).cast("double"))
-    a, b = F.col("a"), F.col("b")
-    out = border.select("grp", a.alias("at"), angle(a, b).alias("angle"), b.alias("to"), F.lit(None).cast(border.schema["a"].dataType).alias("come"))
-    come = border.select("grp", b.alias("at"), angle(b, a).alias("angle"), F.lit(None).cast(border.schema["a"].dataType).alias("to"), a.alias("come"))
+    a, b, none = F.col("a"), F.col("b"), F.lit(None).cast("long")
+    out = border.select("grp", a.alias("at"), angle(a, b).alias("angle"), F.col("id").alias("to"), none.alias("come"))
+    come = border.select("grp", b.alias("at"), angle(b, a).alias("angle"), none.alias("to"), F.col("id").alias("come"))
     turn = Window.partitionBy("grp", "at").orderBy("angle", F.col("to").isNotNull())  # an edge's own way back comes last
     before, whole = turn.rowsBetween(Window.unboundedPreceding, -1), turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     goal = F.coalesce(F.last("to", True).over(before), F.last("to", True).over(whole))
-    told = out.unionByName(come).withColumn("goal", goal).filter("come IS NOT NULL")
-    return told.select(F.struct("grp", F.col("come").alias("a"), F.col("at").alias("b")).alias("item"), F.struct("grp", F.col("at").alias("a"), F.col("goal").alias("b")).alias("next"))
+    return out.unionByName(come).withColumn("goal", goal).filter("come IS NOT NULL").select(F.col("come").alias("item"), F.col("goal").alias("next"))
 
 
 def rings(border: DataFrame) -> DataFrame:
@@ -202,7 +207,8 @@ def rings(border: DataFrame) -> DataFrame:
 
     Rings keep to the area on their left: where rings touch in a point, each turns back to its own side.
     """
-    told = rank_lists(_follow(border))
+    own = Workspace(border.sparkSession, "follow", release=False).save(border.select(F.monotonically_increasing_id().alias("id"), "grp", "a", "b"), "edges")
+    told = rank_lists(_follow(own), own.select(F.col("id").alias("item"), F.struct("grp", "a", "b").alias("name")))
     return told.select(F.col("item.grp").alias("grp"), F.struct("list.a", "list.b").alias("ring"), "place", F.col("item.a").alias("a"), F.col("item.b").alias("b"))
 
 

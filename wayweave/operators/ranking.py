@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 from wayweave.plans.workspace import Workspace
 
 
-def rank_lists(follow: DataFrame, rounds: int = 60) -> DataFrame:
+def rank_lists(follow: DataFrame, names: DataFrame | None = None, rounds: int = 60) -> DataFrame:
     """(item, list, place, size, ring) of items (item, next), each next being an item or null.
 
     No item may be next of two. A list that ends is named by its last item and counts places from
     its first; a ring is named by its smallest item and counts from that. Items may be structs.
+    ``names`` (item, name) are names of items that are numbers already, and stand for them in the result.
     """
     ws = Workspace(follow.sparkSession, "ranking", release=False)
     steps = F.when(F.col("jump").isNull(), 0).otherwise(1).cast("long")
     whole = dict(follow.dtypes)["item"] == "bigint"
+    given = names.select(F.col("item").alias("id"), F.col("name").alias("item")) if names is not None else None
     if whole:
         begun = follow.select(F.col("item").alias("id"), F.col("next").alias("jump"))
     else:
@@ -50,7 +52,7 @@ def rank_lists(follow: DataFrame, rounds: int = 60) -> DataFrame:
     told = now.filter("jump IS NOT NULL").unionByName(ws.all_of("round*", begun).filter("jump IS NULL"))
     ring = F.col("jump").isNotNull()
     told = told.select("id", ring.alias("ring"), F.when(ring, F.col("least")).otherwise(F.col("tail")).alias("k"), F.when(ring, F.col("off")).otherwise(F.col("steps")).alias("back"))
-    told = told.withColumnRenamed("id", "item") if whole else ws.save(told.join(given.select("id", "item"), "id").drop("id"), "told")
+    told = told.withColumnRenamed("id", "item") if given is None else ws.save(told.join(given.select("id", "item"), "id").drop("id"), "told")
     # a ring's places were counted from its smallest number and are counted from its smallest item
     named = F.when(F.bool_or("ring"), F.min(F.struct("item", "back"))).otherwise(F.min_by(F.struct("item", "back"), "back"))
     lists = told.groupBy("k").agg((F.max("back") + 1).alias("size"), named.alias("first"))
