@@ -5,6 +5,8 @@ documents is an entry of the matrix times its transpose. The columns are dealt i
 fingerprint (the shuffle partitions). Only products that can matter are formed:
 
 * rows with the same n-gram set are one row (a class), so copies cost nothing;
+* prefix columns with the same rows are one column that counts as many times (its weight), so a
+  passage that some rows share costs a few columns however long it is;
 * a row takes part with its ``n - ceil(t n) + 1`` rarest columns, since two rows with similarity
   t or more share one of those; rare is judged by a sketch of all columns (any common order is
   lossless);
@@ -44,6 +46,8 @@ HOT_SALTS = 16
 #: Rows of a column, in each of two bands of like size, that all its rows are multiplied with in the
 #: first round. The bands overlap by half, so any two rows of sizes that can link share one of them.
 HEADS = 8
+#: Parts of the columns, a power of two: the shuffle files of one part are on disk at a time, and each reads the texts anew.
+PARTS = 2
 #: Words of a signature.
 WORDS = 8
 SIGNS = [f"s{i}" for i in range(WORDS)]
@@ -116,9 +120,9 @@ def _profile(size: int):
     return run
 
 
-def _prefixes(size: int, percent: int, ranks):
-    """Rows (col, cls, n, pos, rare): the prefix columns of each class, once a task; rare is how
-    many of them the sketch doesn't set apart as common."""
+def _prefixes(size: int, percent: int, ranks, part: int):
+    """Rows (col, cls, n, pos, rare): the prefix columns of each class that are of the part, once a
+    task; rare is how many of all of them the sketch doesn't set apart as common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = ranks.value, set()
@@ -130,11 +134,12 @@ def _prefixes(size: int, percent: int, ranks):
                 seen.add(c)
                 keys = np.sort(sketch.order_key(s, table))
                 k = len(s) - (percent * len(s) + 99) // 100 + 1
-                cols.append(keys[:k])
-                cls += [c] * k
-                n.append(np.full(k, len(s), np.int32))
-                pos.append(np.arange(k, dtype=np.int32))
-                rare.append(np.full(k, (keys[:k] < U64(1 << 56)).sum(), np.int32))
+                at = np.flatnonzero(keys[:k] & U64(PARTS - 1) == U64(part))
+                cols.append(keys[at])
+                cls += [c] * len(at)
+                n.append(np.full(len(at), len(s), np.int32))
+                pos.append(at.astype(np.int32))
+                rare.append(np.full(len(at), (keys[:k] < U64(1 << 56)).sum(), np.int32))
             if cols:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(as_long(np.concatenate(cols))), pa.array(cls, pa.binary()), *[pa.array(np.concatenate(x)) for x in (n, pos, rare)]],
@@ -194,10 +199,9 @@ class JaccardJoin:
         self.ranks = sketch.classes(sketch.total(both.filter("counts IS NOT NULL").select("slice", "part", "counts")))
         return both.filter("n IS NOT NULL").drop("slice", "part", "counts")
 
-    def columns(self) -> DataFrame:
-        """Prefix columns that two classes or more share, and the first classes of like size in each."""
-        ranks = self.spark.sparkContext.broadcast(self.ranks)  # 1 MB whatever the input
-        cells = self.docs.select("text").mapInArrow(_prefixes(self.size, self.percent, ranks), "col long, cls binary, n int, pos int, rare int")
+    def shared(self, ranks, part: int) -> DataFrame:
+        """Prefix columns of one part that two classes or more share, those with the same classes as one."""
+        cells = self.docs.select("text").mapInArrow(_prefixes(self.size, self.percent, ranks, part), "col long, cls binary, n int, pos int, rare int")
         hot = F.shiftrightunsigned("col", 56) > 0
         cells = cells.withColumn("salt", F.when(hot, F.pmod(F.xxhash64("cls"), F.lit(HOT_SALTS))).otherwise(0).cast("int"))
         by = Window.partitionBy("col", "salt").orderBy("n", "rare", "cls")
@@ -205,15 +209,42 @@ class JaccardJoin:
         # in this order a class that several tasks have met stands together, so one class alone has first = last
         shared = cells.withColumns({"first": F.first("cls").over(whole), "last": F.last("cls").over(whole), "before": F.lag("cls").over(by)})
         shared = shared.filter(((F.col("first") != F.col("last")) | hot) & ~F.col("before").eqNullSafe(F.col("cls")))
+        # columns with the same rows have the same u and v; a hot one, whose rows are dealt over salts, stands for itself
+        rows = Window.partitionBy("col", "salt")
+        shared = shared.withColumns(
+            {
+                "u": F.when(hot, F.col("col")).otherwise(F.bit_xor(F.xxhash64("cls")).over(rows)),
+                "v": F.when(hot, F.lit(0)).otherwise(F.bit_xor(F.xxhash64("cls", F.lit(1))).over(rows)),
+            }
+        )
+        return self.merged(shared.withColumns({"w": F.lit(1).cast("long"), "hot": hot}))
+
+    def merged(self, columns: DataFrame) -> DataFrame:
+        """Columns with the same rows as one. All rows have the columns in one order, so the least positions are of one column."""
+        return columns.groupBy("u", "v", "salt", "cls").agg(
+            F.first("n").alias("n"), F.min("pos").alias("pos"), F.first("rare").alias("rare"), F.sum("w").alias("w"), F.max("hot").alias("hot")
+        )
+
+    def columns(self) -> DataFrame:
+        """The shared columns of all parts, and the first classes of like size in each."""
+        ranks = self.spark.sparkContext.broadcast(self.ranks)  # 1 MB whatever the input
+        parts = []
+        for i in range(PARTS):
+            parts.append(self.ws.save(self.shared(ranks, i), f"part{i}"))
+            self.ws.settle()
+        # grouping and windows below all do with this one shuffle
+        merged = self.merged(reduce(DataFrame.unionByName, parts).repartition("u", "v", "salt"))
         size = F.log("n") / F.log(F.lit(100.0 / self.percent))
-        shared = shared.withColumns({"band0": F.floor(size / 2).cast("int"), "band1": F.floor((size + 1) / 2).cast("int")})
+        merged = merged.withColumns({"band0": F.floor(size / 2).cast("int"), "band1": F.floor((size + 1) / 2).cast("int")})
         for band in ("band0", "band1"):
-            alike = Window.partitionBy("col", "salt", band).orderBy("rare", "cls")
+            alike = Window.partitionBy("u", "v", "salt", band).orderBy("rare", "cls")
             alike = alike.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
             some = F.array(*[F.nth_value(F.struct("rare", "cls", "n"), i + 1).over(alike) for i in range(HEADS)])
-            shared = shared.withColumn(f"of_{band}", F.filter(some, lambda h: h < F.struct("rare", "cls", "n")))
+            merged = merged.withColumn(f"of_{band}", F.filter(some, lambda h: h < F.struct("rare", "cls", "n")))
         heads = F.array_union("of_band0", "of_band1").alias("heads")
-        return self.ws.save(shared.select("col", "cls", "n", "pos", "rare", "salt", "band0", heads), "columns")
+        saved = self.ws.save(merged.select("u", "v", "cls", "n", "pos", "w", "rare", "salt", "hot", "band0", heads), "columns")
+        self.ws.drop(*[f"part{i}" for i in range(PARTS)])
+        return saved
 
     def near(self, x: str, y: str) -> Column:
         """Sizes that allow the similarity."""
@@ -237,55 +268,62 @@ class JaccardJoin:
 
         Pairs that these columns alone don't support are left to the second round.
         """
-        pairs = columns.select("cls", "n", F.explode("heads").alias("head")).select("cls", "n", F.col("head.cls").alias("other"), F.col("head.n").alias("m"))
+        pairs = columns.select("cls", "n", "w", F.explode("heads").alias("head")).select("cls", "n", F.col("head.cls").alias("other"), F.col("head.n").alias("m"), "w")
         # the salts of a hot column meet through the first of each
-        hot = columns.filter(F.shiftrightunsigned("col", 56) > 0)
-        firsts = hot.groupBy("col", "band0", "salt").agg(F.min(F.struct("rare", "cls", "n")).alias("one"))
-        chain = Window.partitionBy("col", "band0").orderBy("one")  # HOT_SALTS rows at most
+        hot = columns.filter("hot")
+        firsts = hot.groupBy("u", "v", "band0", "salt").agg(F.min(F.struct("rare", "cls", "n")).alias("one"))
+        chain = Window.partitionBy("u", "v", "band0").orderBy("one")  # HOT_SALTS rows at most
         chained = firsts.withColumn("head", F.lag("one").over(chain)).filter("head IS NOT NULL")
-        pairs = pairs.union(chained.select("one.cls", "one.n", F.col("head.cls").alias("other"), F.col("head.n").alias("m")))
+        pairs = pairs.union(chained.select("one.cls", "one.n", F.col("head.cls").alias("other"), F.col("head.n").alias("m"), F.lit(1).cast("long").alias("w")))
         return (
             pairs.filter(self.near("n", "m"))
             .groupBy(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b"))
-            .agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("m").alias("m"))
+            .agg(F.sum("w").alias("shared"), F.first("n").alias("n"), F.first("m").alias("m"))
             .filter(self.enough("n", "m", F.col("shared")))
             .select("a", "b")
         )
 
+    def alike(self, pairs: DataFrame, members: DataFrame) -> DataFrame:
+        """The pairs whose signatures leave the similarity within reach."""
+        x, y = (members.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), *[F.col(s).alias(f"{s}{c}") for s in SIGNS]) for c in "ab")
+        differ = reduce(lambda p, q: p + q, [F.bit_count(F.col(f"{s}a").bitwiseXOR(F.col(f"{s}b"))) for s in SIGNS])
+        return pairs.join(x, "a").join(y, "b").filter(differ <= F.col("na") + F.col("nb") - 2 * self.need("na", "nb")).select("a", "b")
+
     def second_round(self, columns: DataFrame, linked: DataFrame, signs: DataFrame, done: DataFrame) -> DataFrame:
         """Pairs across the components of ``linked``: counts of all their shared columns, within the bounds."""
         labels = connected_components(linked, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
-        own, of_col = Window.partitionBy("cls"), Window.partitionBy("col")
+        own, of_col = Window.partitionBy("cls"), Window.partitionBy("u", "v")
         cells = (
-            columns.select("col", "cls", "n", "pos")
-            .withColumn("live", F.count("*").over(own))
+            columns.select("u", "v", "cls", "n", "pos", "w")
+            .withColumn("live", F.sum("w").over(own))
             .join(labels, "cls", "left")
+            .join(signs, "cls")
             .withColumn("comp", F.coalesce("comp", "cls"))
             .withColumns({"x": F.min("comp").over(of_col), "y": F.max("comp").over(of_col)})
             .filter("x <> y")
             .drop("x", "y")
         )
-        cells = self.ws.save(cells.join(signs, "cls"), "open")
+        cells = self.ws.save(cells, "open")
         # both sides have the same columns, so Spark shuffles them once
         l, r = (lambda c: F.col(f"l.{c}")), (lambda c: F.col(f"r.{c}"))
         rest = F.least(l("n") - l("pos"), r("n") - r("pos"))
         need = self.need("l.n", "r.n")
         differ = reduce(lambda x, y: x + y, [F.bit_count(l(s).bitwiseXOR(r(s))) for s in SIGNS])
         pairs = (
-            cells.alias("l").join(cells.alias("r"), l("col") == r("col"))
+            cells.alias("l").join(cells.alias("r"), (l("u") == r("u")) & (l("v") == r("v")))
             .filter((l("cls") < r("cls")) & (l("comp") != r("comp")))
             .filter(self.near("l.n", "r.n") & (F.least("l.pos", "r.pos") + rest >= need))
             .filter(self.enough("l.n", "r.n", F.least("l.live", "r.live")) & (differ <= l("n") + r("n") - 2 * need))
             .groupBy(l("cls").alias("a"), r("cls").alias("b"))
-            .agg(F.count("*").alias("shared"), F.first("l.n").alias("n"), F.first("r.n").alias("m"))
-            .filter(self.enough("n", "m", F.col("shared")))
+            .agg(F.sum(F.least("l.w", "r.w")).alias("shared"), F.max(rest >= need).alias("ahead"), F.first("l.n").alias("n"), F.first("r.n").alias("m"))
+            .filter(F.col("ahead") & self.enough("n", "m", F.col("shared")))  # all of an overlap lies at its first column and after
             .select("a", "b")
         )
         return pairs.join(done, ["a", "b"], "left_anti")
 
     def links(self, pairs: DataFrame, members: DataFrame, name: str) -> DataFrame:
         """The pairs whose exact similarity reaches the bound; one text of each class is fetched."""
-        ids = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct().join(members, "cls")
+        ids = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct().join(members.select("cls", "key"), "cls")
         ids = self.ws.save(ids.select("cls", "key"), f"ids-{name}")
         wanted = ids.count()
         found = self.docs.select("key", "text").join(F.broadcast(ids) if wanted <= BROADCAST_IDS else ids, "key")
@@ -305,10 +343,10 @@ class JaccardJoin:
     def components(self) -> DataFrame:
         """(doc_id, key, n_shingles, component_id) of every row."""
         rows = self.profile()
-        members = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), *[F.max(s).alias(s) for s in SIGNS])
+        members = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.max("n").alias("n"), *[F.max(s).alias(s) for s in SIGNS])
         members = self.ws.save(members, "members")
         columns = self.columns()
-        pairs = self.ws.save(self.first_round(columns), "pairs")
+        pairs = self.ws.save(self.alike(self.first_round(columns), members), "pairs")
         one = self.links(pairs, members, "one")
         more = self.ws.save(self.second_round(columns, one, members.select("cls", *SIGNS), pairs), "more")
         self.ws.drop("columns", "open", "pairs")

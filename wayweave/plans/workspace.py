@@ -8,6 +8,7 @@ setting is missing, as in local tests.
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -55,14 +56,21 @@ class Workspace:
 
         Spark removes the shuffle files of a plan when the driver's JVM finds it unreferenced, which
         may never happen in a small job. With ``release`` the JVM is asked to look, so that disk
-        holds one step's; rounds of small tables do without.
+        holds one step's; rounds of small tables do without. It is asked before the write, as Spark
+        holds a plan for a moment after its end.
         """
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
         if self.release:
             self.spark._jvm.System.gc()
+        df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def settle(self, seconds: float = 1.5) -> None:
+        """Let Spark remove the shuffle files of a large save before the next one."""
+        time.sleep(seconds)
+        self.spark._jvm.System.gc()
+        time.sleep(seconds)
+
     def save_and_tell(self, df: DataFrame, name: str, **what: Column) -> tuple[DataFrame, dict]:
         """``save``, and the values of aggregates over the rows, taken while they are written."""
         told = Observation()
