@@ -121,3 +121,25 @@ def test_a_shared_passage_is_few_columns(spark):
     assert most <= len(text) < 20 < columns_of
     assert columns.groupBy("u", "v", "cls").count().filter("count > 1").isEmpty()
     assert {r.doc_id: r.component_id for r in ngram_join.jaccard_components(docs).collect()} == near_groups(text)
+
+
+def test_a_pair_meets_once(spark):
+    """Near copies just below and above the bound share many columns of unlike rows; the product has one row a pair, not one a column."""
+    rng = random.Random(4)
+    base = words(rng, 200)
+    text = {i: near(base, *[(60 * k + rng.randint(0, 50)) for k in range(3)]) for i in range(40)}
+    docs = spark.createDataFrame(list(text.items()), "doc_id long, text string").repartition(3)
+    join = ngram_join.JaccardJoin(docs)
+    signs = join.profile().filter("n > 0").groupBy("cls").agg(*[F.max(s).alias(s) for s in ngram_join.SIGNS])
+    columns = join.columns()
+    none = columns.select(F.col("cls").alias("a"), F.col("cls").alias("b")).limit(0)
+    pairs = join.second_round(columns, none, signs, none)
+    made = join.meetings(spark.read.parquet(f"{join.ws.root}/cells"))
+    assert 300 < pairs.count() <= 780 and made.count() <= 1.2 * pairs.count()
+    # no pair that links is lost
+    found = {(r.a, r.b) for r in pairs.collect()}
+    cls = {r.doc_id: r.cls for r in join.profile().collect()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split(" ")) for i, t in text.items())}
+    linked = [(i, j) for i, j in itertools.combinations(text, 2) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    assert linked and all(tuple(sorted((cls[i], cls[j]))) in found for i, j in linked if cls[i] != cls[j])
+    assert {r.doc_id: r.component_id for r in ngram_join.jaccard_components(docs).collect()} == near_groups(text)
