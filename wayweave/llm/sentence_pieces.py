@@ -30,6 +30,7 @@ from wayweave.plans.workspace import small_batches
 
 LOW = -1e18
 TABLE_BITS = 20
+HEAD_BITS = 18
 MARK = "▁"  # the vocabulary's sign for a space
 
 
@@ -44,6 +45,7 @@ class Vocabulary:
     lengths: list[int]
     slot: np.ndarray
     prints: np.ndarray
+    begins: np.ndarray
     cache: UnitCache | None = None
 
 
@@ -54,6 +56,11 @@ def _print(piece: bytes) -> int:
         return int(mix(np.array([((d.astype(U64) + U64(1)) * up[: len(d)]).sum(dtype=U64) + U64(len(d))], U64))[0])
 
 
+def _head(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Place of three bytes in the table of the lengths of pieces that may begin with them."""
+    return ((a.astype(np.uint32) << np.uint32(16) | b.astype(np.uint32) << np.uint32(8) | c) * np.uint32(2654435761)) >> np.uint32(32 - HEAD_BITS)
+
+
 def vocabulary(pieces_: list[tuple[str, float, str]]) -> Vocabulary:
     """From (piece, score, kind), kind one of normal, byte, other; other pieces spell nothing."""
     spelled, score = [], np.full(len(pieces_), LOW)
@@ -86,7 +93,12 @@ def vocabulary(pieces_: list[tuple[str, float, str]]) -> Vocabulary:
             at = (at + 1) & ((1 << TABLE_BITS) - 1)
         slot[at] = i
     lengths = sorted({len(spelled[i]) for i in np.flatnonzero(score > LOW)})
-    return Vocabulary(spelled, score, byte_id, byte_score, lengths, slot, prints)
+    begins = np.zeros(1 << HEAD_BITS, U64)
+    long = [spelled[i] for i in np.flatnonzero(score > LOW) if len(spelled[i]) >= 3]
+    if long:
+        firsts = np.frombuffer(b"".join(b[:3] for b in long), np.uint8).reshape(-1, 3)
+        np.bitwise_or.at(begins, _head(*firsts.T), np.array([1 << min(len(b), 63) for b in long], U64))
+    return Vocabulary(spelled, score, byte_id, byte_score, lengths, slot, prints, begins)
 
 
 def load(path: str) -> Vocabulary:
@@ -117,17 +129,17 @@ def _find(v: Vocabulary, h: np.ndarray) -> np.ndarray:
 class Lattices:
     """Lattices of units of like length, padded to one length, with their Viterbi scores.
 
-    piece[k][u, t] is the piece of k bytes that begins at byte t of unit u, -1 for none.
-    forward[u, t] is the best score of bytes 0..t, via[u, t] the length of its last piece, gap
-    how far the unit's second best path stands behind.
+    piece[t, k - 1, u] is the piece of k bytes that begins at byte t of unit u, -1 for none.
+    forward[t, u] is the best score of bytes 0..t, via[t, u] the length of its last piece, gap
+    how far the unit's second best path stands behind; without ``whole`` there are pieces and forward scores only.
     """
 
     size: np.ndarray
-    piece: dict[int, np.ndarray]
-    score: dict[int, np.ndarray]
+    piece: np.ndarray
+    score: np.ndarray
     forward: np.ndarray
-    via: np.ndarray
-    gap: np.ndarray
+    via: np.ndarray | None = None
+    gap: np.ndarray | None = None
 
     def best(self) -> tuple[np.ndarray, np.ndarray]:
         """(pieces in order, their number by unit) of the best paths."""
@@ -135,91 +147,103 @@ class Lattices:
         live = np.flatnonzero(at > 0)
         who, what = [], []
         while len(live):
-            k = self.via[live, at[live]].astype(np.int64)
+            k = self.via[at[live], live].astype(np.int64)
             at[live] -= k
-            got = np.empty(len(live), np.int64)
-            for length in np.unique(k):
-                mine = k == length
-                got[mine] = self.piece[int(length)][live[mine], at[live[mine]]]
             who.append(live)
-            what.append(got)
+            what.append(self.piece[at[live], k - 1, live])
             live = live[at[live] > 0]
         if not who:
             return np.zeros(0, np.int64), np.zeros(len(self.size), np.int64)
         units = np.concatenate(who[::-1])
         order = np.argsort(units, kind="stable")
-        return np.concatenate(what[::-1])[order], np.bincount(units, minlength=len(self.size))
+        return np.concatenate(what[::-1])[order].astype(np.int64), np.bincount(units, minlength=len(self.size))
 
     def edges(self, u: int) -> tuple[list[float], list[list[tuple[int, float, int]]]]:
         """Forward scores of a unit's nodes, and by end node its edges (begin, score, piece)."""
         n = int(self.size[u])
         into: list[list[tuple[int, float, int]]] = [[] for _ in range(n + 1)]
-        for k in self.piece:
-            if k <= n:
-                ids, scores = self.piece[k][u, : n - k + 1].tolist(), self.score[k][u, : n - k + 1].tolist()
-                for t, i in enumerate(ids):
-                    if i >= 0:
-                        into[t + k].append((t, scores[t], i))
-        return self.forward[u, : n + 1].tolist(), into
+        ids = self.piece[:n, :, u].T
+        k, t = np.nonzero(ids >= 0)
+        for end, begin, s, i in zip((t + k + 1).tolist(), t.tolist(), self.score[t, k, u].tolist(), ids[k, t].tolist(), strict=True):
+            into[end].append((begin, s, i))
+        return self.forward[: n + 1, u].tolist(), into
+
+
+def _edges(v: Vocabulary, d: np.ndarray, sums: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Unit, begin, length, piece and score of all edges of the units."""
+    unit = np.repeat(np.arange(len(size)), size)
+    begin = np.arange(len(unit)) - np.repeat(np.cumsum(size) - size, size)
+    at, left = start[unit] + begin, size[unit] - begin
+    # only lengths that some piece with these three bytes has are looked up
+    wide = np.flatnonzero(left >= 3)
+    may = v.begins[_head(d[at[wide]], d[at[wide] + 1], d[at[wide] + 2])]
+    wide, may = wide[may > 0], may[may > 0]
+    nodes, ks = [], []
+    for k in v.lengths:
+        if k < 3:
+            nodes.append(np.flatnonzero(left >= k))
+        else:
+            some = wide[(may >> U64(min(k, 63))) & U64(1) > 0]
+            nodes.append(some[left[some] >= k])
+        ks.append(np.full(len(nodes[-1]), k, np.int64))
+    node, k = np.concatenate(nodes), np.concatenate(ks)
+    b = at[node]
+    _, down = powers(len(d) + 1)
+    with np.errstate(over="ignore"):
+        piece = _find(v, mix((sums[b + k] - sums[b]) * down[b] + k.astype(U64)))
+    score = np.where(piece >= 0, v.score[piece], v.byte_score)
+    piece = np.where((piece < 0) & (k == 1), v.byte_id[d[b]], piece)  # byte fallback where the byte is no piece
+    hit = piece >= 0
+    return unit[node[hit]], begin[node[hit]], k[hit], piece[hit], score[hit]
 
 
-def lattices(v: Vocabulary, d: np.ndarray, sums: np.ndarray, start: np.ndarray, size: np.ndarray) -> Lattices:
+def lattices(v: Vocabulary, d: np.ndarray, sums: np.ndarray, start: np.ndarray, size: np.ndarray, whole: bool = True) -> Lattices:
     """Lattices of the units d[start:start + size]; sums are the prefix sums of d's fingerprints."""
     n, width = len(size), int(size.max(initial=0))
-    _, down = powers(len(d) + 1)
-    piece, score = {}, {}
-    for k in v.lengths:
-        if k > width:
-            break
-        cols = width - k + 1
-        ids = np.full((n, cols), -1, np.int32)
-        got = np.full((n, cols), LOW)
-        u, t = np.nonzero(np.arange(cols)[None, :] + k <= size[:, None])
-        b = start[u] + t
-        with np.errstate(over="ignore"):
-            found = _find(v, mix((sums[b + k] - sums[b]) * down[b] + U64(k)))
-        hit = found >= 0
-        ids[u[hit], t[hit]] = found[hit]
-        got[u[hit], t[hit]] = v.score[found[hit]]
-        if k == 1:  # byte fallback where the byte is no piece
-            u, t, b = u[~hit], t[~hit], b[~hit]
-            ids[u, t] = v.byte_id[d[b]]
-            got[u, t] = v.byte_score
-        piece[k], score[k] = ids, got
-    lengths = list(piece)
-    forward = np.full((n, width + 1), LOW)
-    forward[:, 0] = 0.0
-    via = np.zeros((n, width + 1), np.int16)
+    unit, begin, k, ids, scores = _edges(v, d, sums, start, size)
+    span = int(k.max(initial=1))
+    piece = np.full((width, span, n), -1, np.int32)
+    piece[begin, k - 1, unit] = ids
+    # span rows before the first node, which no path comes from
+    padded = np.full((span + width, span, n), LOW)
+    score = padded[span:]
+    score[begin, k - 1, unit] = scores
+    rows, of_length, of_unit = padded.strides
+    # ending[t, k - 1] is the score of the piece of k bytes that ends at node t
+    ending = np.lib.stride_tricks.as_strided(padded[span - 1 :], (width + 1, span, n), (rows, of_length - rows, of_unit), writeable=False)
+    reach = np.full((span + width + 1, n), LOW)
+    reach[span] = 0.0
+    forward = reach[span:]
+    via = np.zeros((width + 1, n), np.int16)
+    each = np.arange(n)
     for t in range(1, width + 1):
-        for k in lengths:
-            if k > t:
-                break
-            s = forward[:, t - k] + score[k][:, t - k]
-            better = s > forward[:, t]
-            forward[better, t] = s[better]
-            via[better, t] = k
-    back = np.full((n, width + 1), LOW)
-    back[np.arange(n), size] = 0.0
+        s = reach[t : span + t][::-1] + ending[t]
+        if whole:
+            last = s.argmax(0)  # the shortest of equal ones
+            via[t] = last + 1
+            np.maximum(s[last, each], LOW, out=forward[t])
+        else:
+            np.maximum(s.max(0), LOW, out=forward[t])
+    if not whole:
+        return Lattices(size, piece, score, forward)
+    back = np.full((width + 1 + span, n), LOW)
+    back[size, each] = 0.0
     for t in range(width - 1, -1, -1):
-        for k in lengths:
-            if t + k > width:
-                break
-            np.maximum(back[:, t], back[:, t + k] + score[k][:, t], out=back[:, t])
+        np.maximum(back[t], (back[t + 1 : t + 1 + span] + score[t]).max(0), out=back[t])
     # the best path that leaves the best one: over each edge off it, the best path through
-    top = forward[np.arange(n), size]
-    on = np.zeros((n, width + 1), np.int16)  # by end node, the length of the best path's edge
+    top = forward[size, each]
+    on = np.zeros((width + 1, n), np.int16)  # by end node, the length of the best path's edge
     at = size.astype(np.int64)
     live = np.flatnonzero(at > 0)
     while len(live):
-        k = via[live, at[live]]
-        on[live, at[live]] = k
-        at[live] -= k
+        last = via[at[live], live]
+        on[at[live], live] = last
+        at[live] -= last
         live = live[at[live] > 0]
     second = np.full(n, LOW)
-    for k in lengths:
-        through = forward[:, : width - k + 1] + score[k] + back[:, k:]
-        through[on[:, k:] == k] = LOW
-        np.maximum(second, through.max(1), out=second)
+    off = on[begin + k, unit] != k
+    unit, begin, k = unit[off], begin[off], k[off]
+    np.maximum.at(second, unit, forward[begin, unit] + scores[off] + back[begin + k, unit])
     gap = np.where(second > LOW / 2, top - second, np.inf)
     return Lattices(size, piece, score, forward, via, gap)
 
@@ -262,13 +286,13 @@ def a_star(units: list[tuple[list[float], list[list[tuple[int, float, int]]]]],
 #: Units are padded to the next of these lengths, or to their own if longer.
 WIDTHS = [4, 6, 8, 10, 12, 14, 16, 20, 24, 32, 48, 64]
 #: Lattices are built for as many units at a time as fill this many nodes, or for one unit.
-NODES = 1 << 18
+NODES = 1 << 16
 #: Segmentations leave a task in batches of about so many piece ids.
 IDS = 1 << 19
 
 
 class Units:
-    """Best paths, gaps and, where the lattices are kept, edges on demand of a set of distinct units."""
+    """Best paths and gaps of a set of distinct units or, where the lattices are kept, their edges on demand."""
 
     def __init__(self, v: Vocabulary, d: np.ndarray, sums: np.ndarray, start: np.ndarray, size: np.ndarray, keep: bool = True):
         n = len(size)
@@ -281,12 +305,13 @@ class Units:
         alike = [np.flatnonzero(group == g) for g in np.unique(group)]
         steps = [max(1, NODES // (int(size[m].max()) + 1)) for m in alike]
         for mine in (m[i : i + step] for m, step in zip(alike, steps, strict=True) for i in range(0, len(m), step)):
-            x = lattices(v, d, sums, start[mine], size[mine])
+            x = lattices(v, d, sums, start[mine], size[mine], whole=not keep)
             if keep:
                 self.of[mine] = len(self.kept)
                 self.kept.append(x)
-            self.row[mine] = np.arange(len(mine))
-            self.top[mine] = x.forward[np.arange(len(mine)), x.size]
+                self.row[mine] = np.arange(len(mine))
+                continue
+            self.top[mine] = x.forward[x.size, np.arange(len(mine))]
             self.gap[mine] = x.gap
             got, many = x.best()
             ids.append(got)
