@@ -145,17 +145,25 @@ def winding_at(points: DataFrame, edges: DataFrame, cell: float) -> DataFrame:
 
 
 def _turns(points: DataFrame, edges: DataFrame, cell: float) -> DataFrame:
-    """(grp, id, layer, w): what ``winding_at`` sums."""
+    """(grp, id, layer, w): what ``winding_at`` sums.
+
+    What hangs on an edge and a cell alone is told before the join. That leaves a pair little to do, in
+    a generated method short enough for Java to compile (8,000 bytes; longer ones are interpreted).
+    """
     own = points.select("grp", "id", "x", "y", F.floor(F.col("x") / cell).alias("cx"), F.floor(F.col("y") / cell).alias("cy"))
     near = through_cells(edges.select("grp", "layer", *ENDS, "n"), cell, ENDS)
     rx, ry = (F.col("cx") + AT_X) * cell, (F.col("cy") + AT_Y) * cell
     ax, ay, bx, by, n, x, y = (F.col(c) for c in (*ENDS, "n", "x", "y"))
+    over = (ax <= rx) != (bx <= rx)
     yc = ay + (by - ay) * (rx - ax) / F.when(ax == bx, F.lit(1)).otherwise(bx - ax)
-    rise = F.when(yc > ry, F.when(yc <= y, 1).otherwise(0)).otherwise(F.when(yc > y, -1).otherwise(0)) * F.when(bx > ax, n).otherwise(-n)
-    xc = ax + (bx - ax) * (y - ay) / F.when(ay == by, F.lit(1)).otherwise(by - ay)
-    run = F.when(xc > rx, F.when(xc <= x, 1).otherwise(0)).otherwise(F.when(xc > x, -1).otherwise(0)) * F.when(by > ay, -n).otherwise(n)
-    turn = F.when((ax <= rx) != (bx <= rx), rise).otherwise(0) + F.when((ay <= y) != (by <= y), run).otherwise(0)
-    beside = own.join(near, ["grp", "cx", "cy"]).select("grp", "id", "layer", turn.alias("w")).filter("w <> 0")
+    # an edge on the way up or down has yc; a level one elsewhere is on no way
+    near = near.filter(over | (ay != by)).select(
+        "grp", "layer", "cx", "cy", "ax", "ay", "bx", "by", F.when(over, yc).alias("yc"), F.when(bx > ax, n).otherwise(-n).alias("up"), F.when(by > ay, -n).otherwise(n).alias("side"),
+    )
+    yc, xc = F.col("yc"), ax + (bx - ax) * (y - ay) / F.when(ay == by, F.lit(1)).otherwise(by - ay)
+    rise = F.when((yc > ry) & (yc <= y), F.col("up")).when((yc <= ry) & (yc > y), -F.col("up")).otherwise(0)
+    run = F.when((ay <= y) != (by <= y), F.when(xc > rx, F.when(xc <= x, 1).otherwise(0)).otherwise(F.when(xc > x, -1).otherwise(0)) * F.col("side")).otherwise(0)
+    beside = own.join(near, ["grp", "cx", "cy"]).select("grp", "id", "layer", (rise + run).alias("w")).filter("w <> 0")
     base = own.join(covered_cells(edges, cell), ["grp", "cx", "cy"]).select("grp", "id", "layer", "w")
     return base.unionByName(beside)
 
